@@ -136,3 +136,184 @@ SQL: dict[str, str] = {
         "WHERE delivery_ts >= TIMESTAMP '2024-10-01 00:00:00' AND delivery_ts < TIMESTAMP '2024-11-01 00:00:00'"),
     "delivery_pay_lines": DELIVERY_PAY_LINES,
 }
+
+
+# ---------------------------------------------------------------- documents, dims, facts
+
+ORDERS = """
+od AS (
+  SELECT 'O' || o_orderkey AS order_id,
+         CASE WHEN ms.min_supp IS NULL THEN NULL ELSE 'R' || ms.min_supp END AS restaurant_id,
+         o_orderdate + INTERVAL 28 YEAR + to_seconds((o_orderkey * 37) % 86400) AS order_date,
+         'U' || o_custkey AS user_id,
+         CASE o_orderstatus WHEN 'F' THEN 'CLOSED' WHEN 'O' THEN 'CANCELLED' WHEN 'P' THEN 'DELIVERING'
+              ELSE o_orderstatus END AS final_status,
+         o_orderkey
+  FROM orders LEFT JOIN (SELECT l_orderkey, min(l_suppkey) AS min_supp FROM lineitem GROUP BY 1) ms
+    ON ms.l_orderkey = o_orderkey),
+odu AS (
+  SELECT *, CASE WHEN o_orderkey % 50 = 0 THEN order_date + INTERVAL 1 HOUR ELSE order_date END AS update_ts
+  FROM od)"""
+
+USERS = """
+ud AS (
+  SELECT 'U' || c_custkey AS user_id, c_name AS user_name,
+         'user' || CASE WHEN c_custkey % 10 = 9 THEN c_custkey - 1 ELSE c_custkey END AS user_login,
+         TIMESTAMP '2022-06-01 00:00:00' + to_minutes(c_custkey) AS update_ts
+  FROM customer),
+du AS (
+  SELECT user_id, user_name, user_login FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_login ORDER BY update_ts DESC, user_id DESC) AS rn FROM ud)
+  WHERE rn = 1)"""
+
+RESTAURANTS = """
+r1 AS (
+  SELECT s_suppkey, 'R' || s_suppkey AS restaurant_id,
+         s_name || CASE WHEN s_suppkey % 10 = 0 THEN ' "Grill" (north) [1]' ELSE '' END AS name1,
+         TIMESTAMP '2022-06-01 00:00:00' + to_hours(s_suppkey) AS ts1
+  FROM supplier),
+rest AS (
+  SELECT restaurant_id,
+         CASE WHEN s_suppkey % 7 = 0 THEN name1 || ' II' ELSE name1 END AS restaurant_name,
+         CASE WHEN s_suppkey % 7 = 0 THEN ts1 + INTERVAL 1 YEAR ELSE ts1 END AS active_from,
+         TIMESTAMP '2099-12-31 00:00:00' AS active_to,
+         s_suppkey, ts1
+  FROM r1)"""
+
+MENU = """
+menu AS (
+  SELECT 'R' || l_suppkey AS restaurant_id, 'P' || l_partkey || '-' || l_suppkey AS product_id,
+         p_name || CASE WHEN l_partkey % 9 = 0 THEN ' (' || p_brand || ') [hot]' ELSE '' END AS product_name,
+         CAST(round(p_retailprice * 100) AS BIGINT) AS price1, l_suppkey
+  FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) s JOIN part ON p_partkey = l_partkey),
+prod AS (
+  SELECT menu.restaurant_id, product_id, product_name, """ + m("price1") + """ AS product_price,
+         r1.ts1 AS active_from, TIMESTAMP '2099-12-31 00:00:00' AS active_to,
+         CASE WHEN l_suppkey % 7 = 0 THEN r1.ts1 + INTERVAL 1 YEAR ELSE TIMESTAMP '2099-12-31 00:00:00' END AS closed_to
+  FROM menu JOIN r1 ON r1.s_suppkey = menu.l_suppkey
+  UNION ALL
+  SELECT menu.restaurant_id, product_id, product_name, """ + m("(price1 * 110) // 100") + """,
+         r1.ts1 + INTERVAL 1 YEAR, TIMESTAMP '2099-12-31 00:00:00', TIMESTAMP '2099-12-31 00:00:00'
+  FROM menu JOIN r1 ON r1.s_suppkey = menu.l_suppkey WHERE l_suppkey % 7 = 0)"""
+
+PAYMENTS = """
+pl0 AS (
+  SELECT l_orderkey, l_partkey, l_suppkey, CAST(max(l_quantity) AS INTEGER) AS quantity,
+         max(CAST(round(l_extendedprice * 100) AS BIGINT) // CAST(l_quantity AS BIGINT)) AS price_cents,
+         max(CAST(round(l_discount * 100) AS INTEGER)) AS discount_pct
+  FROM lineitem GROUP BY 1, 2, 3),
+pl AS (
+  SELECT pl0.*, 'O' || l_orderkey AS order_id, 'P' || l_partkey || '-' || l_suppkey AS product_id,
+         p_name AS product_name, CAST(quantity AS BIGINT) * price_cents AS cost_cents,
+         (CAST(quantity AS BIGINT) * price_cents * discount_pct) // 100 AS bp_cents,
+         (CAST(quantity AS BIGINT) * price_cents) // 50 AS bg_cents
+  FROM pl0 LEFT JOIN part ON p_partkey = l_partkey)"""
+
+DIM_ORDERS = f"""
+tk0 AS (SELECT date_trunc('second', update_ts) AS sec, min(update_ts) AS dim_ts FROM odu
+        WHERE update_ts > TIMESTAMP '2022-01-01 00:00:00' GROUP BY 1),
+dord AS (
+  SELECT odu.order_id AS order_key, odu.user_id, odu.restaurant_id, tk0.dim_ts AS order_ts,
+         odu.final_status AS order_status
+  FROM odu JOIN tk0 ON tk0.sec = date_trunc('second', odu.order_date)
+           JOIN du ON du.user_id = odu.user_id
+           JOIN rest ON rest.restaurant_id = odu.restaurant_id
+  WHERE odu.order_date > TIMESTAMP '2022-01-01 00:00:00')"""
+
+WH = f"{DELIVERIES}, {COURIERS}, {ORDERS}, {USERS}, {RESTAURANTS}, {DIM_ORDERS}"
+
+FACTS = f"""
+fl AS (
+  SELECT pl.order_id, pl.product_id, pl.quantity AS count, {m('pl.price_cents')} AS price,
+         {m('pl.cost_cents')} AS total_sum, {m('pl.bp_cents')} AS bonus_payment,
+         {m('pl.bg_cents')} AS bonus_grant, dord.restaurant_id, dord.order_ts, dord.order_status
+  FROM pl JOIN dord ON dord.order_key = pl.order_id
+  WHERE pl.l_orderkey % 10 <> 0)"""
+
+
+def _report(count: str) -> str:
+    return f"""
+WITH {WH}, {PAYMENTS}, {FACTS},
+g AS (SELECT restaurant_id, {count} AS n, CAST(sum(total_sum) AS DECIMAL(18,2)) AS total,
+             CAST(sum(bonus_payment) AS DECIMAL(18,2)) AS paid, CAST(sum(bonus_grant) AS DECIMAL(18,2)) AS granted
+      FROM fl WHERE order_status = 'CLOSED' AND order_ts > TIMESTAMP '2026-01-01 00:00:00' GROUP BY 1)
+SELECT g.restaurant_id, rest.restaurant_name, DATE '2029-12-10' AS settlement_date,
+       CAST(n AS INTEGER) AS orders_count, CAST(total AS {MONEY}) AS orders_total_sum,
+       CAST(paid AS {MONEY}) AS orders_bonus_payment_sum, CAST(granted AS {MONEY}) AS orders_bonus_granted_sum,
+       CAST(total * 0.25 AS {MONEY}) AS order_processing_fee,
+       CAST(total - paid - total * 0.25 AS {MONEY}) AS restaurant_reward_sum
+FROM g JOIN rest ON rest.restaurant_id = g.restaurant_id"""
+
+
+TS_ALL = """
+tsu AS (
+  SELECT DISTINCT update_ts AS ts, 0 AS special_mark FROM odu WHERE update_ts > TIMESTAMP '2022-01-01 00:00:00'
+  UNION
+  SELECT DISTINCT delivery_ts, 1 FROM deliv WHERE delivery_ts > TIMESTAMP '2022-01-01 00:00:00'),
+tk1 AS (SELECT date_trunc('second', ts) AS sec, min(ts) AS dim_ts FROM tsu WHERE special_mark = 1 GROUP BY 1)"""
+
+SQL.update({
+    "stg_deliveries": f"WITH {DELIVERIES} SELECT order_id, delivery_id, courier_id, address, order_ts, "
+                      "delivery_ts, rate, sum, tip_sum FROM deliv",
+    "land_delivery_pages": f"WITH {DELIVERIES} SELECT delivery_id, order_id, courier_id, delivery_ts FROM deliv",
+    "land_courier_pages": f"WITH {COURIERS} SELECT courier_id, courier_name FROM cour",
+    "stg_couriers": "SELECT 'C' || s_suppkey AS courier_id, "
+                    "s_name || CASE WHEN s_suppkey % 10 = 0 THEN ' Jr.' ELSE '' END AS courier_name FROM supplier",
+    "dim_couriers": f"WITH {COURIERS} SELECT courier_id, courier_name FROM cour",
+    "dim_timestamps": f"""WITH {DELIVERIES}, {ORDERS}, {TS_ALL}
+SELECT ts, CAST(year(ts) AS SMALLINT) AS year, CAST(month(ts) AS SMALLINT) AS month,
+       CAST(day(ts) AS SMALLINT) AS day, strftime(ts, '%H:%M:%S.%f') AS time, CAST(ts AS DATE) AS date,
+       CAST(special_mark AS INTEGER) AS special_mark FROM tsu""",
+    "join_second_precision": f"""WITH {DELIVERIES}, {ORDERS}, {TS_ALL}
+SELECT delivery_id, dim_ts FROM deliv JOIN tk1 ON tk1.sec = date_trunc('second', deliv.delivery_ts)""",
+    "dim_deliveries": f"""WITH {DELIVERIES}, {COURIERS}, {ORDERS}, {TS_ALL}
+SELECT delivery_id, order_id, deliv.courier_id, delivery_ts, rate, sum AS order_sum, tip_sum
+FROM deliv JOIN tk1 ON tk1.sec = date_trunc('second', deliv.delivery_ts)
+           JOIN cour ON cour.courier_id = deliv.courier_id""",
+    "dim_restaurants": f"WITH {RESTAURANTS} SELECT restaurant_id, restaurant_name, active_from, active_to FROM rest",
+    "dim_users": f"WITH {USERS} SELECT user_id, user_name, user_login FROM du",
+    "menu_explode": f"""WITH {RESTAURANTS}, {MENU}
+SELECT restaurant_id, product_id, product_name, regexp_replace(product_name, '[()\\]]', '', 'g') AS product_name_clean,
+       {m('price1')} AS product_price FROM menu""",
+    "dim_products": f"""WITH {RESTAURANTS}, {MENU}
+SELECT restaurant_id, product_id, product_name, product_price, active_from, active_to FROM prod""",
+    "products_versions_closed": f"""WITH {RESTAURANTS}, {MENU}
+SELECT restaurant_id, product_id, product_name, product_price, active_from, closed_to AS active_to FROM prod""",
+    "order_doc_fields": f"WITH {ORDERS} SELECT order_id, restaurant_id, order_date, user_id, final_status FROM od",
+    "order_items_explode": f"""WITH {PAYMENTS}
+SELECT order_id, product_id, product_name, {m('price_cents')} AS price, quantity FROM pl""",
+    "order_statuses_explode": f"""WITH {ORDERS}
+SELECT order_id, 'OPEN' AS status, order_date AS dttm FROM odu
+UNION ALL SELECT order_id, final_status, update_ts FROM odu""",
+    "dim_orders": f"WITH {WH} SELECT order_key, user_id, restaurant_id, order_ts, order_status FROM dord",
+    "orders_unmatched": f"""WITH {WH}
+SELECT odu.order_id AS order_key,
+       CASE WHEN tk0.sec IS NULL THEN 'timestamp' WHEN rest.restaurant_id IS NULL THEN 'restaurant'
+            WHEN du.user_id IS NULL THEN 'user' END AS reason
+FROM odu LEFT JOIN tk0 ON tk0.sec = date_trunc('second', odu.order_date)
+         LEFT JOIN rest ON rest.restaurant_id = odu.restaurant_id
+         LEFT JOIN du ON du.user_id = odu.user_id
+WHERE odu.order_date > TIMESTAMP '2022-01-01 00:00:00'
+  AND (tk0.sec IS NULL OR rest.restaurant_id IS NULL OR du.user_id IS NULL)""",
+    "fct_product_sales": f"""WITH {WH}, {PAYMENTS}, {FACTS}
+SELECT order_id, product_id, count, price, total_sum, bonus_payment, bonus_grant FROM fl""",
+    "facts_unmatched": f"""WITH {WH}, {PAYMENTS}
+SELECT pl.order_id, pl.product_id, 'order' AS reason
+FROM pl LEFT JOIN dord ON dord.order_key = pl.order_id
+WHERE pl.l_orderkey % 10 <> 0 AND dord.order_key IS NULL""",
+    "settlement_report": _report("count(DISTINCT order_id)"),
+    "settlement_report_as_coded": _report("count(*)"),
+    "fk_deliveries_orders": f"""WITH {WH},
+unm AS (
+  SELECT odu.order_id,
+         CASE WHEN tk0.sec IS NULL THEN 'timestamp' WHEN rest.restaurant_id IS NULL THEN 'restaurant'
+              WHEN du.user_id IS NULL THEN 'user' END AS reason
+  FROM odu LEFT JOIN tk0 ON tk0.sec = date_trunc('second', odu.order_date)
+           LEFT JOIN rest ON rest.restaurant_id = odu.restaurant_id
+           LEFT JOIN du ON du.user_id = odu.user_id)
+SELECT coalesce(unm.reason, 'missing') AS reason, CAST(count(*) AS BIGINT) AS deliveries
+FROM deliv LEFT JOIN dord ON dord.order_key = deliv.order_id
+           LEFT JOIN unm ON unm.order_id = deliv.order_id
+WHERE dord.order_key IS NULL
+GROUP BY 1""",
+})

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from .. import params
+from ..functions import json as J
+from . import dims, facts, marts
 from .catalog import query
 from .warehouse import Warehouse
-from . import marts
 
 
 # ---------------------------------------------------------------- marts
@@ -28,3 +32,135 @@ def courier_ledger_prev_month(w: Warehouse):
 @query("delivery_pay_lines")
 def delivery_pay_lines(w: Warehouse):
     return marts.delivery_pay_lines(w.ledger_input)
+
+
+@query("settlement_report")
+def settlement_report(w: Warehouse):
+    """Restaurant settlement over CLOSED orders after the settlement watermark; orders counted once."""
+    return w.settlement_report(distinct_orders=True)
+
+
+@query("settlement_report_as_coded")
+def settlement_report_as_coded(w: Warehouse):
+    """Same report counting fact lines as orders, like the original job."""
+    return w.settlement_report(distinct_orders=False)
+
+
+# ---------------------------------------------------------------- API landing and staging
+
+@query("land_courier_pages")
+def land_courier_pages(w: Warehouse):
+    e = J.parse(F.col("content"), J.COURIER)
+    return w.courier_landing(1).select(e["_id"].alias("courier_id"), e["name"].alias("courier_name"))
+
+
+@query("land_delivery_pages")
+def land_delivery_pages(w: Warehouse):
+    e = J.parse(F.col("content"), J.DELIVERY)
+    return w.delivery_landing().select(e["delivery_id"].alias("delivery_id"), e["order_id"].alias("order_id"),
+                                       e["courier_id"].alias("courier_id"), e["delivery_ts"].alias("delivery_ts"))
+
+
+@query("stg_couriers")
+def stg_couriers(w: Warehouse):
+    """Staging couriers after the second API run (truncate + insert: only that run's names)."""
+    return dims.stg_couriers(w.courier_landing(2)).drop("load_ts")
+
+
+@query("stg_deliveries")
+def stg_deliveries(w: Warehouse):
+    return dims.stg_deliveries(w.delivery_landing()).drop("load_ts")
+
+
+# ---------------------------------------------------------------- dds
+
+@query("dim_couriers")
+def dim_couriers(w: Warehouse):
+    return w.dim_couriers
+
+
+@query("dim_timestamps")
+def dim_timestamps(w: Warehouse):
+    return w.dim_timestamps
+
+
+@query("join_second_precision")
+def join_second_precision(w: Warehouse):
+    return dims.join_second_precision(w.deliveries, w.dim_timestamps)
+
+
+@query("dim_deliveries")
+def dim_deliveries(w: Warehouse):
+    return w.dim_deliveries
+
+
+@query("dim_restaurants")
+def dim_restaurants(w: Warehouse):
+    return w.dim_restaurants
+
+
+@query("dim_users")
+def dim_users(w: Warehouse):
+    return w.dim_users
+
+
+@query("menu_explode")
+def menu_explode(w: Warehouse):
+    return dims.menu_explode(w.restaurant_docs_v1)
+
+
+@query("dim_products")
+def dim_products(w: Warehouse):
+    return w.dim_products
+
+
+@query("products_versions_closed")
+def products_versions_closed(w: Warehouse):
+    return w.products_closed
+
+
+@query("order_doc_fields")
+def order_doc_fields(w: Warehouse):
+    return dims.order_doc_fields(w.order_docs)
+
+
+@query("order_items_explode")
+def order_items_explode(w: Warehouse):
+    return dims.order_items_explode(w.order_docs)
+
+
+@query("order_statuses_explode")
+def order_statuses_explode(w: Warehouse):
+    return dims.order_statuses_explode(w.order_docs)
+
+
+@query("dim_orders")
+def dim_orders(w: Warehouse):
+    return w.dim_orders
+
+
+@query("orders_unmatched")
+def orders_unmatched(w: Warehouse):
+    return dims.orders_unmatched(w.order_docs, w.dim_timestamps, w.dim_users, w.dim_restaurants)
+
+
+@query("fct_product_sales")
+def fct_product_sales(w: Warehouse):
+    return facts.fct_product_sales(w.payment_lines, w.dim_orders, w.products_closed)
+
+
+@query("facts_unmatched")
+def facts_unmatched(w: Warehouse):
+    return facts.facts_unmatched(w.payment_lines, w.dim_orders, w.products_closed)
+
+
+@query("fk_deliveries_orders")
+def fk_deliveries_orders(w: Warehouse):
+    """Deliveries whose order is not in dm_orders, counted by why the order is missing."""
+    unmatched = dims.orders_unmatched(w.order_docs, w.dim_timestamps, w.dim_users, w.dim_restaurants,
+                                      watermark=params.DEFAULT_WATERMARK.replace(year=1900))
+    d = w.deliveries.select("order_id")
+    missing = d.join(w.dim_orders.select(F.col("order_key").alias("order_id")), "order_id", "left_anti")
+    return (missing.join(unmatched.select(F.col("order_key").alias("order_id"), "reason"), "order_id", "left")
+            .groupBy(F.coalesce(F.col("reason"), F.lit("missing")).alias("reason"))
+            .agg(F.count(F.lit(1)).alias("deliveries")))
