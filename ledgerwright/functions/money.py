@@ -7,7 +7,8 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(14,2)"
+MONEY = "decimal(14,2)"   # contract type of a row amount
+TOTAL = "decimal(20,2)"   # table-wide totals, which outgrow the row type at scale
 
 
 def to_cents(amount: Column) -> Column:

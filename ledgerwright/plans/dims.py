@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import params
 from ..functions import json as J
+from ..functions.text import strip_brackets
 from ..functions.timeparts import calendar_parts, ntz, trunc_second
 from ..operators.conflict import insert_if_absent, upsert_partial
 from ..operators.dedup import first_by, last_by
@@ -144,7 +145,7 @@ def menu_explode(docs: DataFrame) -> DataFrame:
     items = docs.select(F.col("object_id").alias("restaurant_id"), F.explode(doc["menu"]).alias("m"))
     name = F.col("m.name")
     return items.select("restaurant_id", F.col("m._id").alias("product_id"), name.alias("product_name"),
-                        F.regexp_replace(name, r"[()\]]", "").alias("product_name_clean"),
+                        strip_brackets(name).alias("product_name_clean"),
                         F.col("m.price").alias("product_price"))
 
 

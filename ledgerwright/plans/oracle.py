@@ -317,3 +317,242 @@ FROM deliv LEFT JOIN dord ON dord.order_key = deliv.order_id
 WHERE dord.order_key IS NULL
 GROUP BY 1""",
 })
+
+
+# ---------------------------------------------------------------- ledger / report as CTEs
+
+def ledger_cte(name: str, where: str = "") -> str:
+    """A CTE ``name`` holding the documented ledger of the deliveries matching ``where``."""
+    body = _ledger_groups(where).replace("lg AS (", f"{name}_g AS (", 1)
+    sel = LEDGER_SELECT.replace("FROM lg) lg", f"FROM {name}_g) lg")
+    return f"{body},\n{name} AS ({sel})"
+
+
+def report_cte(name: str = "rep") -> str:
+    """Payments, facts and a CTE ``name`` holding the (distinct-order) settlement report."""
+    tail = _report("count(DISTINCT order_id)").split(f"{FACTS},", 1)[1]
+    groups, select = tail.split("\nSELECT ", 1)
+    groups = groups.replace("g AS (", f"{name}_g AS (", 1).strip()
+    select = "SELECT " + select.replace("FROM g JOIN", f"FROM {name}_g g JOIN")
+    return f"{PAYMENTS}, {FACTS}, {groups},\n{name} AS ({select})"
+
+
+# ---------------------------------------------------------------- events: extraction, watermarks, policies
+
+T1 = "TIMESTAMP '2024-01-11 00:00:00'"
+T2 = "TIMESTAMP '2024-01-21 00:00:00'"
+DEFAULT_WM = "TIMESTAMP '2022-01-01 00:00:00'"
+TOTAL = "DECIMAL(20,2)"
+
+
+def _last(partition: str, cols: str, where: str = "", desc: bool = True) -> str:
+    d = "DESC" if desc else ""
+    w = f"WHERE {where}" if where else ""
+    return (f"SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY {partition} "
+            f"ORDER BY ts {d}, event_id {d}) AS rn FROM events {w}) WHERE rn = 1")
+
+
+SQL.update({
+    "extract_by_id": """SELECT event_id, event_type, value FROM events
+WHERE event_id > (SELECT coalesce(max(event_id), -1) FROM events
+                  WHERE event_id * 2 < (SELECT max(event_id) FROM events))""",
+    "extract_bind_columns": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+    "quarantine_split": f"""WITH r AS (
+  SELECT CAST(event_id AS VARCHAR) AS eid,
+         CASE WHEN event_id % 17 = 0 THEN printf('%.2f', value) || 'x' ELSE printf('%.2f', value) END AS v
+  FROM events),
+k AS (SELECT TRY_CAST(v AS DECIMAL(14,2)) AS d,
+             (TRY_CAST(eid AS BIGINT) IS NULL AND eid IS NOT NULL)
+             OR (TRY_CAST(v AS DECIMAL(14,2)) IS NULL AND v IS NOT NULL) AS bad
+      FROM r)
+SELECT 'good' AS status, CAST(count(*) AS BIGINT) AS rows, CAST(sum(d) AS {TOTAL}) AS value_sum FROM k WHERE NOT bad
+UNION ALL
+SELECT 'bad', CAST(count(*) AS BIGINT), CAST(NULL AS {TOTAL}) FROM k WHERE bad""",
+    "extract_documents_since": f"SELECT event_id, ts, user_id FROM events WHERE ts > {T2}",
+    "extract_newest_n": "SELECT event_id, ts FROM events ORDER BY ts DESC, event_id DESC LIMIT 1000",
+    "window_yesterday": f"SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-20 00:00:00' AND ts < {T2}",
+    "watermark_read": f"""WITH c AS (SELECT event_type AS target, max(ts) AS w FROM events
+           WHERE ts < {T1} AND event_type IN ('click', 'view') GROUP BY 1)
+SELECT t.target, coalesce(c.w, {DEFAULT_WM}) AS watermark
+FROM (SELECT DISTINCT event_type AS target FROM events) t LEFT JOIN c ON c.target = t.target""",
+    "watermark_advance": f"""SELECT target, max(watermark) AS watermark FROM (
+  SELECT event_type AS target, max(ts) AS watermark FROM events WHERE ts < {T1} GROUP BY 1
+  UNION ALL
+  SELECT event_type, max(ts) FROM events WHERE ts >= {T1} AND ts < {T2} AND event_type <> 'signup' GROUP BY 1)
+GROUP BY 1""",
+    "settings_upsert": f"""SELECT event_type AS key, event_id AS last_event_id, ts AS last_ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY b DESC, ts DESC, event_id DESC) AS rn FROM (
+    SELECT event_type, event_id, ts, CASE WHEN ts < {T1} THEN 1 ELSE 2 END AS b FROM events
+    WHERE ts < {T1} OR (ts < {T2} AND event_type <> 'signup')))
+WHERE rn = 1""",
+    "timestamps_time_of_day_filter": """SELECT CAST(ts AS DATE) AS day, CAST(count(*) AS BIGINT) AS rows FROM events
+WHERE strftime(ts, '%H:%M:%S.%f') > '12:00:00' GROUP BY 1""",
+    "load_report": f"""WITH c AS (
+  SELECT event_type, max(ts) AS watermark FROM events WHERE ts < {T2} AND event_type <> 'signup' GROUP BY 1
+  UNION ALL
+  SELECT event_type, max(ts) FROM events WHERE event_type = 'signup' GROUP BY 1),
+g AS (SELECT e.event_type, count(*) AS n,
+             sum(CASE WHEN e.ts > coalesce(c.watermark, {DEFAULT_WM}) THEN 1 ELSE 0 END) AS k
+      FROM events e LEFT JOIN c ON c.event_type = e.event_type GROUP BY 1)
+SELECT event_type, CAST(n AS BIGINT) AS rows_read, CAST(k AS BIGINT) AS rows_new, k = 0 AS is_empty FROM g""",
+    "events_ordered": _last("user_id", "user_id, event_id, ts"),
+    "append_facts": f"""SELECT event_type, CAST(count(*) AS BIGINT) AS rows,
+       CAST(sum({m('CAST(round(value * 100) AS BIGINT)')}) AS {TOTAL}) AS value_sum
+FROM events GROUP BY 1""",
+    "insert_if_absent": _last("user_id, event_type", "user_id, event_type, event_id", desc=False),
+    "upsert_by_key": _last("user_id", "user_id, event_id, ts, value"),
+    "upsert_composite_key": _last("user_id, event_type", "user_id, event_type, event_id, ts, value"),
+    "upsert_partial": f"""WITH b AS (
+  SELECT *, CASE WHEN ts < {T1} THEN 1 WHEN ts < {T2} THEN 2 ELSE 3 END AS batch FROM events),
+lb AS (SELECT user_id, batch, value, ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, batch ORDER BY ts DESC, event_id DESC) AS rn FROM b)
+  WHERE rn = 1),
+f AS (SELECT user_id, ts AS first_ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY batch) AS rn FROM lb) WHERE rn = 1),
+l AS (SELECT user_id, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY batch DESC) AS rn FROM lb) WHERE rn = 1)
+SELECT l.user_id, l.value, f.first_ts FROM l JOIN f ON f.user_id = l.user_id""",
+    "courier_ledger_upsert": f"""WITH {DELIVERIES}, {COURIERS}, {ledger_cte('full_l')}, {ledger_cte('five_l', 'WHERE rate = 5')}
+SELECT * FROM five_l
+WHERE (courier_id, settlement_year, settlement_month) NOT IN (
+  SELECT (courier_id, settlement_year, settlement_month) FROM full_l WHERE settlement_year = 2024)
+UNION ALL
+SELECT * FROM full_l WHERE settlement_year = 2024""",
+    "json_paths": """SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+       json_extract_string(props, '$.missing') AS missing FROM events""",
+    "timestamp_parts": """SELECT event_id, CAST(year(ts) AS SMALLINT) AS year, CAST(month(ts) AS SMALLINT) AS month,
+       CAST(day(ts) AS SMALLINT) AS day, strftime(ts, '%H:%M:%S.%f') AS time, CAST(ts AS DATE) AS date,
+       date_trunc('second', ts) AS ts_second FROM events""",
+    "text_clean": """SELECT p_partkey, replace(p_name, ' ', '_') AS replaced,
+       regexp_replace(p_name || ' (' || p_brand || ') [x]', '[()\\]]', '', 'g') AS stripped,
+       starts_with(p_name, 'small') AS starts_small, ends_with(p_name, 'gear') AS ends_gear,
+       CAST(length(p_name) AS INTEGER) AS name_length FROM part""",
+    "fee_arithmetic": f"""SELECT l_returnflag, CAST(t AS {TOTAL}) AS total, CAST(t * 0.25 AS {TOTAL}) AS fee,
+       CAST(t - t * 0.25 AS {TOTAL}) AS remainder
+FROM (SELECT l_returnflag, CAST(sum({m('CAST(round(l_extendedprice * 100) AS BIGINT)')}) AS DECIMAL(20,2)) AS t
+      FROM lineitem GROUP BY 1)""",
+})
+
+
+# ---------------------------------------------------------------- contracts
+
+DIM_DELIVERIES = """
+ddel AS (
+  SELECT delivery_id, order_id, deliv.courier_id, delivery_ts, rate, sum AS order_sum, tip_sum
+  FROM deliv JOIN tk1 ON tk1.sec = date_trunc('second', deliv.delivery_ts)
+             JOIN cour ON cour.courier_id = deliv.courier_id),
+dts AS (SELECT ts, year(ts) AS year, month(ts) AS month, day(ts) AS day, special_mark FROM tsu)"""
+
+
+
+def _rows(parts: list[str]) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+def _nn(cte: str, table: str, cols: list[str]) -> list[str]:
+    return [f"SELECT '{table}' AS \"table\", 'not_null:{c}' AS rule, "
+            f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS violations FROM {cte}" for c in cols]
+
+
+def _uq(cte: str, table: str, keys: list[str]) -> str:
+    k = ", ".join(keys)
+    nn = " AND ".join(f"{c} IS NOT NULL" for c in keys)
+    return (f"SELECT '{table}' AS \"table\", 'unique:{','.join(keys)}' AS rule, CAST(count(*) AS BIGINT) AS violations "
+            f"FROM (SELECT {k} FROM {cte} WHERE {nn} GROUP BY {k} HAVING count(*) > 1)")
+
+
+def _fk(cte: str, table: str, col: str, parent: str, pcol: str, pname: str) -> str:
+    return (f"SELECT '{table}' AS \"table\", 'fk:{col}->{pname}' AS rule, CAST(count(*) AS BIGINT) AS violations "
+            f"FROM {cte} c WHERE c.{col} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pcol} = c.{col})")
+
+
+def _ck(cte: str, table: str, rules: dict[str, str]) -> list[str]:
+    return [f"SELECT '{table}' AS \"table\", 'check:{n}' AS rule, "
+            f"CAST(count(*) FILTER (WHERE NOT ({p})) AS BIGINT) AS violations FROM {cte}" for n, p in rules.items()]
+
+
+def _df(cte: str, table: str, cols: list[str]) -> list[str]:
+    return [f"SELECT '{table}' AS \"table\", 'default:{c}' AS rule, "
+            f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS violations FROM {cte}" for c in cols]
+
+
+_BASE = f"WITH {WH}, {TS_ALL}, {DIM_DELIVERIES}, {ledger_cte('led')}"
+_FULL = f"{_BASE}, {MENU}, {report_cte('rep')}"
+LEDGER_MONEY = ["orders_total_sum", "order_processing_fee", "courier_order_sum", "courier_tips_sum",
+                "courier_reward_sum"]
+FACT_MONEY = ["price", "total_sum", "bonus_payment", "bonus_grant"]
+
+
+def _between(c: str, lo, hi) -> str:
+    return f"{c} >= {lo} AND {c} <= {hi}"
+
+
+SQL.update({
+    "qc_not_null": f"{_BASE}\n" + _rows(
+        _nn("dord", "dm_orders", ["order_key", "user_id", "restaurant_id", "order_ts", "order_status"])
+        + _nn("ddel", "dm_deliveries", ["delivery_id", "order_id", "courier_id", "delivery_ts", "rate",
+                                        "order_sum", "tip_sum"])
+        + _nn("od", "ordersystem_orders", ["order_id", "restaurant_id", "order_date", "user_id"])
+        + _nn("led", "dm_courier_ledger", ["courier_id", "courier_name", "rate_avg"])),
+    "qc_unique": f"{_BASE}\n" + _rows([
+        _uq("ddel", "dm_deliveries", ["delivery_id"]),
+        _uq("dl", "deliveries_raw", ["delivery_id"]),
+        _uq("du", "dm_users", ["user_login"]),
+        _uq("du", "dm_users", ["user_id"]),
+        _uq("ud", "ordersystem_users", ["user_login"]),
+        _uq("rest", "dm_restaurants", ["restaurant_id"]),
+        _uq("cour", "dm_couriers", ["courier_id"]),
+        _uq("dord", "dm_orders", ["order_key"])]),
+    "qc_unique_composite": f"{_FULL}\n" + _rows([
+        _uq("led", "dm_courier_ledger", ["courier_id", "settlement_year", "settlement_month"]),
+        _uq("fl", "fct_product_sales", ["order_id", "product_id"]),
+        _uq("lineitem", "lineitem", ["l_orderkey", "l_linenumber"]),
+        _uq("tsu", "dm_timestamps", ["ts", "special_mark"])]),
+    "qc_foreign_key": f"{_FULL}\n" + _rows([
+        _fk("ddel", "dm_deliveries", "courier_id", "cour", "courier_id", "dm_couriers"),
+        _fk("ddel", "dm_deliveries", "order_id", "dord", "order_key", "dm_orders"),
+        _fk("dord", "dm_orders", "user_id", "du", "user_id", "dm_users"),
+        _fk("dord", "dm_orders", "restaurant_id", "rest", "restaurant_id", "dm_restaurants"),
+        _fk("fl", "fct_product_sales", "order_id", "dord", "order_key", "dm_orders"),
+        _fk("fl", "fct_product_sales", "product_id", "prod", "product_id", "dm_products"),
+        _fk("prod", "dm_products", "restaurant_id", "rest", "restaurant_id", "dm_restaurants"),
+        _fk("od", "ordersystem_orders", "restaurant_id", "rest", "restaurant_id", "dm_restaurants")]),
+    "qc_check": f"{_FULL}, li AS (SELECT year(l_shipdate) AS year FROM lineitem)\n" + _rows(
+        _ck("dts", "dm_timestamps", {"year": _between("year", 2022, 2200), "month": _between("month", 1, 12),
+                                     "day": _between("day", 1, 31)})
+        + _ck("li", "lineitem", {"year": _between("year", 2022, 2200)})
+        + _ck("led", "dm_courier_ledger", {
+            "settlement_year": _between("settlement_year", 2022, 2200),
+            "settlement_month": _between("settlement_month", 1, 12),
+            "orders_count": "orders_count >= 0", "rate_avg": "rate_avg >= 0",
+            **{c: f"{c} >= 0" for c in LEDGER_MONEY}})
+        + _ck("fl", "fct_product_sales", {"count": "count >= 0", **{c: f"{c} >= 0" for c in FACT_MONEY}})
+        + _ck("ddel", "dm_deliveries", {"order_sum": "order_sum >= 0"})
+        + _ck("rep", "dm_settlement_report", {
+            "settlement_date": "settlement_date >= DATE '2022-01-01' AND settlement_date < DATE '2500-01-01'",
+            "restaurant_reward_sum": "restaurant_reward_sum >= 0"})),
+    "qc_defaults": f"{_FULL}\n" + _rows(
+        _df("fl", "fct_product_sales", FACT_MONEY)
+        + _df("prod", "dm_products", ["product_price"])
+        + _df("tsu", "dm_timestamps", ["special_mark"])
+        + _df("led", "dm_courier_ledger", LEDGER_MONEY + ["rate_avg"])),
+})
+
+_PRESENT = {
+    "bonussystem_events": "orders", "ordersystem_orders": "od", "ordersystem_restaurants": "r1",
+    "ordersystem_users": "ud", "couriers": "cour", "deliveries": "deliv", "api_couriers": "cour",
+    "api_deliveries": "deliv", "dm_restaurants": "rest", "dm_users": "du", "dm_timestamps": "tsu",
+    "dm_products": "prod", "dm_orders": "dord", "fct_product_sales": "fl", "dm_couriers": "cour",
+    "dm_deliveries": "ddel", "dm_courier_ledger": "led", "dm_settlement_report": "rep",
+}
+_CONTRACT = ["srv_etl_settings", "bonussystem_users", "bonussystem_ranks", "bonussystem_events",
+             "ordersystem_orders", "ordersystem_restaurants", "ordersystem_users", "couriers", "deliveries",
+             "api_couriers", "api_deliveries", "dm_restaurants", "dm_users", "dm_timestamps", "dm_products",
+             "dm_orders", "fct_product_sales", "dm_couriers", "dm_deliveries", "dm_courier_ledger",
+             "dm_settlement_report"]
+
+SQL["missing_tables"] = (
+    f"{_FULL},\ncontract AS (SELECT * FROM (VALUES {', '.join(f'({chr(39)}{n}{chr(39)})' for n in _CONTRACT)}) t(table_name)),\n"
+    "present AS (\n" + "\nUNION ALL\n".join(
+        f"SELECT '{n}' AS table_name WHERE EXISTS (SELECT 1 FROM {c})" for n, c in _PRESENT.items())
+    + ")\nSELECT table_name FROM contract WHERE table_name NOT IN (SELECT table_name FROM present)")

@@ -6,7 +6,12 @@ from pyspark.sql import functions as F
 
 from .. import params
 from ..functions import json as J
-from . import dims, facts, marts
+from ..functions.money import TOTAL, cents_to_money, pct, to_cents
+from ..functions.text import strip_brackets
+from ..functions.timeparts import calendar_parts, trunc_second
+from ..operators import conflict
+from ..sources import extract
+from . import contracts, dims, facts, incremental, marts
 from .catalog import query
 from .warehouse import Warehouse
 
@@ -164,3 +169,157 @@ def fk_deliveries_orders(w: Warehouse):
     return (missing.join(unmatched.select(F.col("order_key").alias("order_id"), "reason"), "order_id", "left")
             .groupBy(F.coalesce(F.col("reason"), F.lit("missing")).alias("reason"))
             .agg(F.count(F.lit(1)).alias("deliveries")))
+
+
+# ---------------------------------------------------------------- extraction and watermarks (events)
+
+@query("extract_by_id")
+def extract_by_id(w: Warehouse):
+    return incremental.extract_by_id(w.t.events)
+
+
+@query("extract_bind_columns")
+def extract_bind_columns(w: Warehouse):
+    return incremental.extract_bind_columns(w.t.events)
+
+
+@query("quarantine_split")
+def quarantine_split(w: Warehouse):
+    return incremental.quarantine_summary(w.t.events)
+
+
+@query("extract_documents_since")
+def extract_documents_since(w: Warehouse):
+    return extract.since(w.t.events, "ts", params.EVENTS_WATERMARK).select("event_id", "ts", "user_id")
+
+
+@query("extract_newest_n")
+def extract_newest_n(w: Warehouse):
+    """Top-k by design: the 1000 newest documents (the limit is the operator)."""
+    return extract.newest_n(w.t.events.select("event_id", "ts"), 1000, ["ts", "event_id"])
+
+
+@query("document_envelope")
+def document_envelope(w: Warehouse):
+    return extract.document_envelope(w.t.events, "event_id", "ts")
+
+
+@query("window_yesterday")
+def window_yesterday(w: Warehouse):
+    return extract.window_yesterday(w.t.events, "ts", params.BATCH_CUT_2).select("event_id", "ts")
+
+
+@query("watermark_read")
+def watermark_read(w: Warehouse):
+    return incremental.watermark_read(w.t.events)
+
+
+@query("watermark_advance")
+def watermark_advance(w: Warehouse):
+    return incremental.watermark_advance(w.t.events)
+
+
+@query("settings_upsert")
+def settings_upsert(w: Warehouse):
+    return incremental.settings_upsert(w.t.events)
+
+
+@query("timestamps_time_of_day_filter")
+def timestamps_time_of_day_filter(w: Warehouse):
+    """The literal time-of-day watermark filter, counted per day."""
+    kept = dims.timestamps_time_of_day_filter(w.t.events.withColumnRenamed("ts", "update_ts"))
+    return kept.groupBy(F.to_date("update_ts").alias("day")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("load_report")
+def load_report(w: Warehouse):
+    return incremental.load_report(w.t.events)
+
+
+@query("events_ordered")
+def events_ordered(w: Warehouse):
+    return incremental.events_ordered(w.t.events)
+
+
+# ---------------------------------------------------------------- conflict policies
+
+@query("append_facts")
+def append_facts(w: Warehouse):
+    return incremental.append_facts(w.t.events)
+
+
+@query("insert_if_absent")
+def insert_if_absent(w: Warehouse):
+    return incremental.insert_if_absent(w.t.events)
+
+
+@query("upsert_by_key")
+def upsert_by_key(w: Warehouse):
+    return incremental.upsert_by_key(w.t.events)
+
+
+@query("upsert_composite_key")
+def upsert_composite_key(w: Warehouse):
+    return incremental.upsert_composite_key(w.t.events)
+
+
+@query("upsert_partial")
+def upsert_partial(w: Warehouse):
+    return incremental.upsert_partial(w.t.events)
+
+
+@query("courier_ledger_upsert")
+def courier_ledger_upsert(w: Warehouse):
+    """Ledger of rate-5 deliveries, then the full 2024 ledger upserted by (courier, year, month)."""
+    keys = ["courier_id", "settlement_year", "settlement_month"]
+    first = marts.courier_ledger(w.ledger_input.filter(F.col("rate") == 5), w.dim_couriers)
+    update = w.courier_ledger().filter(F.col("settlement_year") == 2024)
+    return conflict.upsert(first, update, keys, ["orders_count"])
+
+
+@query("missing_tables")
+def missing_tables(w: Warehouse):
+    return contracts.missing_tables(w)
+
+
+# ---------------------------------------------------------------- scalar functions
+
+@query("json_paths")
+def json_paths(w: Warehouse):
+    e = w.t.events
+    return e.select("event_id", J.path_text(F.col("props"), "$.k").cast("int").alias("k"),
+                    J.path_text(F.col("props"), "$.missing").alias("missing"))
+
+
+@query("timestamp_parts")
+def timestamp_parts(w: Warehouse):
+    parts = calendar_parts(F.col("ts"))
+    return w.t.events.select("event_id", *[v.alias(k) for k, v in parts.items()],
+                             trunc_second(F.col("ts")).alias("ts_second"))
+
+
+@query("text_clean")
+def text_clean(w: Warehouse):
+    p = w.t.part
+    decorated = F.concat(F.col("p_name"), F.lit(" ("), F.col("p_brand"), F.lit(") [x]"))
+    return p.select("p_partkey",
+                    F.replace(F.col("p_name"), F.lit(" "), F.lit("_")).alias("replaced"),
+                    strip_brackets(decorated).alias("stripped"),
+                    F.startswith(F.col("p_name"), F.lit("small")).alias("starts_small"),
+                    F.endswith(F.col("p_name"), F.lit("gear")).alias("ends_gear"),
+                    F.length(F.col("p_name")).alias("name_length"))
+
+
+@query("fee_arithmetic")
+def fee_arithmetic(w: Warehouse):
+    li = w.t.lineitem
+    g = li.groupBy("l_returnflag").agg(F.sum(cents_to_money(to_cents(F.col("l_extendedprice")))).alias("t"))
+    fee = pct(F.col("t"), "0.25")
+    return g.select("l_returnflag", F.col("t").cast(TOTAL).alias("total"), fee.cast(TOTAL).alias("fee"),
+                    (F.col("t") - fee).cast(TOTAL).alias("remainder"))
+
+
+# ---------------------------------------------------------------- contracts
+
+for _name in ("qc_not_null", "qc_unique", "qc_unique_composite", "qc_foreign_key", "qc_check", "qc_defaults"):
+    query(_name)(getattr(contracts, _name))
