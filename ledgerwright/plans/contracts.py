@@ -39,7 +39,7 @@ def qc_unique(w: Warehouse) -> DataFrame:
         F.get_json_object("object_value", "$.login").alias("user_login"))
     return Q.union_all([
         Q.unique(w.dim_deliveries, "dm_deliveries", ["delivery_id"]),
-        Q.unique(fx.delivery_lines(w.t), "deliveries_raw", ["delivery_id"]),
+        Q.unique(fx.delivery_candidates(w.t), "deliveries_raw", ["delivery_id"]),
         Q.unique(w.dim_users, "dm_users", ["user_login"]),
         Q.unique(w.dim_users, "dm_users", ["user_id"]),
         Q.unique(user_docs, "ordersystem_users", ["user_login"]),

@@ -53,10 +53,33 @@ def _id(prefix: str, *parts: Column) -> Column:
 # ---------------------------------------------------------------- deliveries
 
 def delivery_lines(t: Tables) -> DataFrame:
-    """One candidate delivery per lineitem, before deduplication."""
-    li = t.lineitem
-    oc = idiv(to_cents(F.col("l_extendedprice")), 25)
-    taxp = F.round(F.col("l_tax") * 100).cast("int")
+    """One candidate delivery per lineitem, before deduplication (numeric columns only)."""
+    return t.lineitem.select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_shipdate",
+        idiv(to_cents(F.col("l_extendedprice")), 25).alias("oc"),
+        F.round(F.col("l_tax") * 100).cast("int").alias("taxp"),
+    )
+
+
+def delivery_candidates(t: Tables) -> DataFrame:
+    """Candidates with their delivery id (for contract checks on the raw input)."""
+    return delivery_lines(t).select(
+        _id("D", F.col("l_orderkey"), F.col("l_linenumber")).alias("delivery_id"), "*")
+
+
+def stg_deliveries(t: Tables) -> DataFrame:
+    """Staging contract of deliveries: the first candidate per (order, line).
+
+    Candidates are ordered by (delivery_ts, courier_id, order cents, tax percent,
+    l_partkey). Inside one (order, line) the delivery time differs only by the
+    ship day and the courier id only by the decimal text of the supplier key, so
+    the same order is taken on those numeric/short fields. The deduplication
+    runs on numeric keys with a narrow payload; ids, texts and timestamps are
+    built afterwards, on the deduplicated rows only.
+    """
+    d = first_by(delivery_lines(t).withColumn("supp_text", F.col("l_suppkey").cast("string")),
+                 ["l_orderkey", "l_linenumber"],
+                 ["l_shipdate", "supp_text", "oc", "taxp", "l_partkey"])
     sk4 = F.col("l_suppkey") % 4
     pk5 = (F.col("l_partkey") % 5) == 0
     rate = (F.when(sk4 == 0, F.lit(5))
@@ -65,27 +88,15 @@ def delivery_lines(t: Tables) -> DataFrame:
              .otherwise(F.lit(2) + (F.col("l_partkey") % 3))).cast("int")
     day = shift_years(F.col("l_shipdate"), params.YEAR_SHIFT)
     secs = (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 101) % 86400
-    return li.select(
-        _id("D", F.col("l_orderkey"), F.col("l_linenumber")).alias("delivery_id"),
+    tip_cents = idiv(F.col("oc") * F.col("taxp"), 100)
+    return d.select(
         _id("O", F.col("l_orderkey")).alias("order_id"),
+        _id("D", F.col("l_orderkey"), F.col("l_linenumber")).alias("delivery_id"),
         _id("C", F.col("l_suppkey")).alias("courier_id"),
         F.concat(F.lit("addr "), F.col("l_orderkey").cast("string")).alias("address"),
         day.alias("order_ts"),
         plus_seconds(day, secs).alias("delivery_ts"),
         rate.alias("rate"),
-        oc.alias("oc"),
-        taxp.alias("taxp"),
-        F.col("l_partkey"),
-    )
-
-
-def stg_deliveries(t: Tables) -> DataFrame:
-    """Staging contract of deliveries: first candidate per delivery_id."""
-    d = first_by(delivery_lines(t), ["delivery_id"],
-                 ["delivery_ts", "courier_id", "oc", "taxp", "l_partkey"])
-    tip_cents = idiv(F.col("oc") * F.col("taxp"), 100)
-    return d.select(
-        "order_id", "delivery_id", "courier_id", "address", "order_ts", "delivery_ts", "rate",
         cents_to_money(F.col("oc")).alias("sum"),
         cents_to_money(tip_cents).alias("tip_sum"),
     )
