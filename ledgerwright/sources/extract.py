@@ -87,3 +87,13 @@ def document_envelope(rows: DataFrame, id_column: str, ts_column: str) -> DataFr
     return rows.select(F.col(id_column).cast("string").alias("object_id"),
                        F.col(ts_column).alias("update_ts"),
                        J.to_text(F.struct(*[F.col(c) for c in rest])).alias("object_value"))
+
+
+def split_malformed(docs: DataFrame, text_column: str) -> tuple[DataFrame, DataFrame]:
+    """Documents whose text is valid JSON, and the rest (quarantine), from one scan.
+
+    ``try_parse_json`` is NULL exactly for malformed text, so a document is
+    never dropped silently: it lands on one side or the other.
+    """
+    ok = F.try_parse_json(F.col(text_column)).isNotNull()
+    return docs.filter(ok), docs.filter(~ok | F.col(text_column).isNull())
