@@ -56,6 +56,11 @@ ORDER = T.StructType([
     T.StructField("statuses", T.ArrayType(STATUS)),
     T.StructField("final_status", T.StringType())])
 
+# Narrow views of the same documents: the parser skips every field not named,
+# so loaders that need only scalar fields never materialise the arrays.
+ORDER_HEADER = T.StructType([f for f in ORDER.fields if f.name in ("restaurant", "date", "user", "final_status")])
+RESTAURANT_HEADER = T.StructType([f for f in RESTAURANT.fields if f.name == "name"])
+
 PAYMENT = T.StructType([
     T.StructField("product_id", T.StringType()), T.StructField("product_name", T.StringType()),
     T.StructField("price", MONEY_T), T.StructField("quantity", T.IntegerType()),

@@ -112,7 +112,7 @@ def timestamps_time_of_day_filter(orders: DataFrame, watermark_time: str = "12:0
 # ---------------------------------------------------------------- restaurants, users, products
 
 def restaurant_rows(docs: DataFrame) -> DataFrame:
-    doc = J.parse(F.col("object_value"), J.RESTAURANT)
+    doc = J.parse(F.col("object_value"), J.RESTAURANT_HEADER)
     return docs.select(F.col("object_id").alias("restaurant_id"), doc["name"].alias("restaurant_name"),
                        F.col("update_ts").alias("active_from"), ntz(OPEN_END).alias("active_to"))
 
@@ -179,7 +179,7 @@ def products_versions_closed(products: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- orders
 
 def order_doc_fields(docs: DataFrame) -> DataFrame:
-    doc = J.parse(F.col("object_value"), J.ORDER)
+    doc = J.parse(F.col("object_value"), J.ORDER_HEADER)
     return docs.select(F.col("object_id").alias("order_id"), doc["restaurant"]["id"].alias("restaurant_id"),
                        doc["date"].alias("order_date"), doc["user"]["id"].alias("user_id"),
                        doc["final_status"].alias("final_status"))
