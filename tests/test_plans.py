@@ -68,7 +68,10 @@ def test_top_k_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in p
 
 
-def test_dedup_combines_map_side(spark):
-    """First/last-wins keeps a partial aggregate before the shuffle (hot keys are reduced early)."""
+def test_dedup_reduces_map_side(spark):
+    """First/last-wins keeps a partial group limit before the shuffle (hot keys are reduced early)."""
     p = plan_of(QUERIES["stg_deliveries"](spark, SF_SMOKE), "extended")
-    assert re.search(r"partial_min\(struct", p)
+    physical = p.split("== Physical Plan ==")[1]
+    partial = physical.index("WindowGroupLimit")
+    assert "Partial" in physical and physical.rindex("Exchange hashpartitioning") < physical.rindex("Partial")
+    assert partial >= 0
