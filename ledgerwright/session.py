@@ -24,6 +24,26 @@ SESSION_CONF = {
 }
 
 
+# Sizing for the target deployment (about 100 TB of sources on ~1000 executors).
+# Shuffles start fine-grained and AQE coalesces them to ~256 MB partitions, so
+# the same job fits both a small month and a full backfill; skewed join
+# partitions above 5x the median are split; scans read 256 MB splits; a
+# dimension is broadcast only while it stays under 64 MB (estimated at plan
+# time or measured at run time), otherwise the join stays a shuffled join.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.files.maxRecordsPerFile": "20000000",
+}
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app: str = "ledgerwright", extra: dict | None = None) -> SparkSession:
     builder = (SparkSession.builder.master(master).appName(app)
@@ -39,9 +59,14 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-def apply_conf(spark: SparkSession) -> SparkSession:
-    """Apply the session settings to a session someone else built (the driver's)."""
-    for k, v in SESSION_CONF.items():
+def apply_conf(spark: SparkSession, cluster: bool = False) -> SparkSession:
+    """Apply the session settings to a session someone else built (the driver's).
+
+    ``cluster=True`` also applies :data:`CLUSTER_CONF`; it is left off for local
+    runs, whose partition counts the caller chose.
+    """
+    conf = {**SESSION_CONF, **(CLUSTER_CONF if cluster else {})}
+    for k, v in conf.items():
         if k.startswith("spark.sql."):
             spark.conf.set(k, v)
     return spark

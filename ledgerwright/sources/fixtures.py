@@ -68,7 +68,12 @@ def delivery_candidates(t: Tables) -> DataFrame:
 
 
 def stg_deliveries(t: Tables) -> DataFrame:
-    """Staging contract of deliveries: the first candidate per (order, line).
+    """Staging contract of deliveries (see :func:`deliveries_keyed`)."""
+    return deliveries_keyed(t).drop("l_orderkey")
+
+
+def deliveries_keyed(t: Tables) -> DataFrame:
+    """Staging deliveries plus their numeric order key: the first candidate per (order, line).
 
     Candidates are ordered by (delivery_ts, courier_id, order cents, tax percent,
     l_partkey). Inside one (order, line) the delivery time differs only by the
@@ -90,6 +95,7 @@ def stg_deliveries(t: Tables) -> DataFrame:
     secs = (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 101) % 86400
     tip_cents = idiv(F.col("oc") * F.col("taxp"), 100)
     return d.select(
+        "l_orderkey",
         _id("O", F.col("l_orderkey")).alias("order_id"),
         _id("D", F.col("l_orderkey"), F.col("l_linenumber")).alias("delivery_id"),
         _id("C", F.col("l_suppkey")).alias("courier_id"),
@@ -116,10 +122,9 @@ def courier_entities(t: Tables, batch: int = 1) -> DataFrame:
 
 def delivery_entities(t: Tables) -> DataFrame:
     """Delivery API entities (the staging deliveries with JSON field names)."""
-    d = stg_deliveries(t)
-    key = F.regexp_extract(F.col("order_id"), r"^O(\d+)$", 1).cast("bigint")
-    return d.select(key.alias("page_key"), "order_id", "order_ts", "delivery_id", "courier_id",
-                    "address", "delivery_ts", "rate", "sum", "tip_sum")
+    return deliveries_keyed(t).select(
+        F.col("l_orderkey").alias("page_key"), "order_id", "order_ts", "delivery_id", "courier_id",
+        "address", "delivery_ts", "rate", "sum", "tip_sum")
 
 
 def pages(entities: DataFrame, stride: int = PAGE_STRIDE, overlap: int = PAGE_OVERLAP) -> DataFrame:
