@@ -64,3 +64,15 @@ def test_watermarks_recorded(run):
     store, out = run
     targets = {r.target for r in store.read("srv_etl_settings").collect()}
     assert {"dm_timestamps_order", "dm_timestamps_delivery", "dm_restaurants", "dm_settlement_report"} <= targets
+
+
+def test_failed_write_is_invisible_and_retry_succeeds(spark):
+    store = TableStore(spark, tempfile.mkdtemp(prefix="lw-store-", dir="/tmp"))
+    store.write("t", spark.range(3))
+    # a crashed attempt: a version directory without the committer's _SUCCESS marker
+    spark.range(100).write.parquet(f"{store.root}/t/v=2")
+    import os
+    os.remove(f"{store.root}/t/v=2/_SUCCESS")
+    assert store.versions("t") == [1] and store.read("t").count() == 3
+    store.write("t", spark.range(5))
+    assert store.versions("t") == [1, 3] and store.read("t").count() == 5
