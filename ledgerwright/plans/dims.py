@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import params
 from ..functions import json as J
 from ..functions.text import strip_brackets
-from ..functions.timeparts import calendar_parts, ntz, trunc_second
+from ..functions.timeparts import calendar_parts, ntz, time_of_day, trunc_second
 from ..operators.conflict import insert_if_absent, upsert_partial
 from ..operators.dedup import first_by, last_by
 
@@ -105,7 +105,6 @@ def dim_timestamps(orders: DataFrame, deliveries: DataFrame,
 
 def timestamps_time_of_day_filter(orders: DataFrame, watermark_time: str = "12:00:00") -> DataFrame:
     """The original time-of-day filter: keep rows whose *time of day* is after the watermark's."""
-    from ..functions.timeparts import time_of_day
     return orders.filter(time_of_day(F.col("update_ts")) > F.lit(watermark_time))
 
 
@@ -198,9 +197,12 @@ def order_statuses_explode(docs: DataFrame) -> DataFrame:
             .select("order_id", F.col("s.status").alias("status"), F.col("s.dttm").alias("dttm")))
 
 
-def _order_candidates(docs: DataFrame, watermark: _dt.datetime) -> DataFrame:
+def _order_candidates(docs: DataFrame, watermark: _dt.datetime | None) -> DataFrame:
+    """Order fields with their second; ``watermark=None`` takes every document."""
     f = order_doc_fields(docs)
-    return f.filter(F.col("order_date") > ntz(watermark)).withColumn("sec", trunc_second(F.col("order_date")))
+    if watermark is not None:
+        f = f.filter(F.col("order_date") > ntz(watermark))
+    return f.withColumn("sec", trunc_second(F.col("order_date")))
 
 
 def dim_orders(docs: DataFrame, timestamps: DataFrame, users: DataFrame, restaurants: DataFrame,
@@ -215,7 +217,7 @@ def dim_orders(docs: DataFrame, timestamps: DataFrame, users: DataFrame, restaur
 
 
 def orders_unmatched(docs: DataFrame, timestamps: DataFrame, users: DataFrame, restaurants: DataFrame,
-                     watermark: _dt.datetime = params.DEFAULT_WATERMARK) -> DataFrame:
+                     watermark: _dt.datetime | None = params.DEFAULT_WATERMARK) -> DataFrame:
     """Orders the inner joins of :func:`dim_orders` drop, with the first failing lookup."""
     f = _order_candidates(docs, watermark)
     j = (f.join(timestamp_keys(timestamps, 0).withColumn("has_ts", F.lit(True)), "sec", "left")

@@ -163,7 +163,7 @@ def facts_unmatched(w: Warehouse):
 def fk_deliveries_orders(w: Warehouse):
     """Deliveries whose order is not in dm_orders, counted by why the order is missing."""
     unmatched = dims.orders_unmatched(w.order_docs, w.dim_timestamps, w.dim_users, w.dim_restaurants,
-                                      watermark=params.DEFAULT_WATERMARK.replace(year=1900))
+                                      watermark=None)
     d = w.deliveries.select("order_id")
     missing = d.join(w.dim_orders.select(F.col("order_key").alias("order_id")), "order_id", "left_anti")
     return (missing.join(unmatched.select(F.col("order_key").alias("order_id"), "reason"), "order_id", "left")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from ledgerwright.plans import contracts, dims, facts
+from ledgerwright.plans import contracts, dims, facts, marts
 from ledgerwright.plans.warehouse import Warehouse
 from tests.conftest import SF_SMOKE
 
@@ -86,3 +86,13 @@ def test_planted_violations_are_found(w):
 def test_missing_tables_lists_only_unbuilt_sources(w):
     assert sorted(r.table_name for r in contracts.missing_tables(w).collect()) == [
         "bonussystem_ranks", "bonussystem_users", "srv_etl_settings"]
+
+
+def test_single_groupby_ledger_equals_window_form(w):
+    """The candidate-sum ledger equals summing per-delivery pay with the monthly tier."""
+    lines = (w.ledger_input.select("delivery_id", F.year("delivery_ts").alias("y"), F.month("delivery_ts").alias("m"))
+             .join(marts.delivery_pay_lines(w.ledger_input), "delivery_id")
+             .groupBy("courier_id", "y", "m").agg(F.sum("pay").cast("decimal(14,2)").alias("pay")))
+    ledger = w.courier_ledger().select("courier_id", F.col("settlement_year").alias("y"),
+                                       F.col("settlement_month").alias("m"), F.col("courier_order_sum").alias("pay"))
+    assert sorted(map(tuple, lines.collect())) == sorted(map(tuple, ledger.collect()))
