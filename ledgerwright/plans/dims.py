@@ -15,8 +15,8 @@ from .. import params
 from ..functions import json as J
 from ..functions.text import strip_brackets
 from ..functions.timeparts import calendar_parts, ntz, time_of_day, trunc_second
-from ..operators.conflict import insert_if_absent, upsert_partial
-from ..operators.dedup import first_by, last_by
+from ..operators.conflict import insert_if_absent, insert_if_absent_all, upsert_partial
+from ..operators.dedup import last_by
 
 OPEN_END = params.OPEN_END
 
@@ -50,17 +50,17 @@ def stg_deliveries(landing: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- couriers, deliveries
 
-def dim_couriers(*batches: DataFrame) -> DataFrame:
-    """Couriers, first name wins: every batch is inserted if absent by courier_id."""
+def dim_couriers(*batches: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """Couriers, first name wins: the batches are inserted if absent by courier_id, in order.
+
+    All batches of a run are applied in one pass; an ``existing`` table is
+    kept as is and only absent couriers are added.
+    """
     cols = ["courier_id", "courier_name"]
-    target = None
-    for b in batches:
-        b = b.select(*cols)
-        if target is None:
-            target = first_by(b, ["courier_id"], ["courier_name"])
-        else:
-            target = insert_if_absent(target, b, ["courier_id"], ["courier_name"])
-    return target
+    fresh = insert_if_absent_all([b.select(*cols) for b in batches], ["courier_id"], ["courier_name"])
+    if existing is None:
+        return fresh
+    return insert_if_absent(existing.select(*cols), fresh, ["courier_id"], ["courier_name"])
 
 
 def timestamp_keys(timestamps: DataFrame, mark: int) -> DataFrame:

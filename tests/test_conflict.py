@@ -88,3 +88,16 @@ def test_dedup_is_deterministic_under_repartitioning(spark):
     a = as_set(first_by(df, ["k"], ["ts", "v"]))
     b = as_set(first_by(df.repartition(7), ["k"], ["ts", "v"]))
     assert a == b
+
+
+@settings(max_examples=6, deadline=None)
+@given(rows_strategy())
+def test_one_pass_batches_equal_sequential_policies(spark, rows):
+    chunks = [to_df(spark, c) for c in split(rows, 3)]
+    seq_ins = first_by(chunks[0], ["k"], ["ts", "v"])
+    seq_up = last_by(chunks[0], ["k"], ["ts", "v"])
+    for c in chunks[1:]:
+        seq_ins = conflict.insert_if_absent(seq_ins, c, ["k"], ["ts", "v"])
+        seq_up = conflict.upsert(seq_up, c, ["k"], ["ts", "v"])
+    assert as_set(conflict.insert_if_absent_all(chunks, ["k"], ["ts", "v"])) == as_set(seq_ins)
+    assert as_set(conflict.upsert_all(chunks, ["k"], ["ts", "v"])) == as_set(seq_up)
