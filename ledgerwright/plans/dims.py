@@ -17,21 +17,24 @@ from ..functions.text import strip_brackets
 from ..functions.timeparts import calendar_parts, ntz, time_of_day, trunc_second
 from ..operators.conflict import insert_if_absent, insert_if_absent_all, upsert_partial
 from ..operators.dedup import last_by
+from ..sources.extract import quarantine_split
 
 OPEN_END = params.OPEN_END
 
 
 # ---------------------------------------------------------------- API landing and staging
 
-def land_pages(pages: DataFrame, entity, run_ts: _dt.datetime = params.RUN_TS) -> DataFrame:
+def land_pages(pages: DataFrame, run_ts: _dt.datetime = params.RUN_TS) -> DataFrame:
     """Landing table of an API: one JSON text per entity, unique on the text.
 
-    Pages overlap, so the same entity arrives more than once; uniqueness on the
-    whole content keeps one copy. ``load_ts`` is the run time parameter.
+    Each page is a JSON array; its elements are kept as their raw JSON text
+    (typing happens in staging, where bad values are quarantined rather than
+    nulled). Pages overlap, so the same entity arrives more than once;
+    uniqueness on the whole content keeps one copy. ``load_ts`` is the run
+    time parameter.
     """
-    items = J.parse(F.col("content"), J.T.ArrayType(entity))
-    return (pages.select(F.explode(items).alias("e"))
-            .select(J.to_text(F.col("e")).alias("content"))
+    items = J.parse(F.col("content"), J.T.ArrayType(J.T.StringType()))
+    return (pages.select(F.explode(items).alias("content"))
             .distinct()
             .withColumn("load_ts", ntz(run_ts)))
 
@@ -41,11 +44,25 @@ def stg_couriers(landing: DataFrame) -> DataFrame:
     return landing.select(e["_id"].alias("courier_id"), e["name"].alias("courier_name"), "load_ts")
 
 
+def stg_deliveries_checked(landing: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Landing -> staging deliveries, row-tolerant: (typed rows, quarantined rows).
+
+    Every field is read as text and cast with ``try_cast`` to its contract
+    type; a delivery whose value does not cast (a rating "4.7", an amount
+    "abc") is quarantined with the failing columns instead of becoming NULL.
+    """
+    text = J.T.StructType([J.T.StructField(f.name, J.T.StringType()) for f in J.DELIVERY.fields])
+    e = J.parse(F.col("content"), text)
+    raw = landing.select(*[e[f.name].alias(f.name) for f in J.DELIVERY.fields], "load_ts")
+    casts = {f.name: f.dataType.simpleString() for f in J.DELIVERY.fields
+             if not isinstance(f.dataType, J.T.StringType)}
+    return quarantine_split(raw, casts)
+
+
 def stg_deliveries(landing: DataFrame) -> DataFrame:
-    e = J.parse(F.col("content"), J.DELIVERY).alias("e")
-    return landing.select(e.alias("e"), "load_ts").select(
-        "e.order_id", "e.delivery_id", "e.courier_id", "e.address", "e.order_ts", "e.delivery_ts",
-        "e.rate", "e.sum", "e.tip_sum", "load_ts")
+    good, _ = stg_deliveries_checked(landing)
+    return good.select("order_id", "delivery_id", "courier_id", "address", "order_ts", "delivery_ts",
+                       "rate", "sum", "tip_sum", "load_ts")
 
 
 # ---------------------------------------------------------------- couriers, deliveries

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import params
-from ..functions import json as J
 from ..sources import fixtures as fx
 from ..sources.tables import Tables
 from . import dims, facts, marts
@@ -58,10 +57,10 @@ class Warehouse:
 
     # ------------------------------------------------ API landing path
     def delivery_landing(self) -> DataFrame:
-        return dims.land_pages(fx.pages(fx.delivery_entities(self.t)), J.DELIVERY)
+        return dims.land_pages(fx.pages(fx.delivery_entities(self.t)))
 
     def courier_landing(self, batch: int = 1) -> DataFrame:
-        return dims.land_pages(fx.pages(fx.courier_entities(self.t, batch)), J.COURIER)
+        return dims.land_pages(fx.pages(fx.courier_entities(self.t, batch)))
 
     # ------------------------------------------------ dds
     @cached_property

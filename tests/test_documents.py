@@ -50,3 +50,19 @@ def test_quarantine_split_routes_bad_casts(spark):
     good, bad = extract.quarantine_split(raw, {"id": "bigint", "amount": "decimal(14,2)"})
     assert sorted((r.id, str(r.amount)) for r in good.collect()) == [(1, "4.70"), (4, "None")]
     assert sorted((r.id, r.failed_columns) for r in bad.collect()) == [("3", ["amount"]), ("x", ["id"])]
+
+
+def test_api_deliveries_quarantine_bad_values(spark):
+    good_page = ('[{"order_id":"O1","order_ts":"2024-10-01T10:00:00","delivery_id":"D1","courier_id":"C1",'
+                 '"address":"a","delivery_ts":"2024-10-01T11:00:00","rate":5,"sum":100.50,"tip_sum":1.00},'
+                 '{"order_id":"O2","order_ts":"2024-10-01T10:00:00","delivery_id":"D2","courier_id":"C1",'
+                 '"address":"b","delivery_ts":"2024-10-01T11:00:00","rate":"4.7","sum":100.50,"tip_sum":1.00},'
+                 '{"order_id":"O3","order_ts":"2024-10-01T10:00:00","delivery_id":"D3","courier_id":"C1",'
+                 '"address":"c","delivery_ts":"not a time","rate":4,"sum":"abc","tip_sum":1.00}]')
+    pages = spark.createDataFrame([(0, good_page)], "page_no bigint, content string")
+    landing = dims.land_pages(pages)
+    good, bad = dims.stg_deliveries_checked(landing)
+    g = good.collect()
+    assert [(r.delivery_id, r.rate, str(r.sum)) for r in g] == [("D1", 5, "100.50")]
+    assert sorted((r.delivery_id, sorted(r.failed_columns)) for r in bad.collect()) == [
+        ("D2", ["rate"]), ("D3", ["delivery_ts", "sum"])]
