@@ -87,6 +87,29 @@ def upsert_all(batches: Sequence[DataFrame], keys: Sequence[str], order: Sequenc
     return last_by(_tagged(batches), keys, ["__batch", *order]).drop("__batch")
 
 
+def upsert_partial_all(batches: Sequence[DataFrame], keys: Sequence[str], update: Sequence[str],
+                       order: Sequence[str]) -> DataFrame:
+    """``upsert_partial`` of ``batches`` in sequence, computed in one ``groupBy``.
+
+    Per key, the ``update`` columns come from the last row by (batch, order);
+    every other column comes from the batch that first had the key (its last
+    row by order), exactly as applying the batches one after another. Both
+    picks are ``max_by`` over a total order, aggregated partially before the
+    shuffle.
+    """
+    rows = _tagged(batches)
+    cols = [c for c in rows.columns if c not in keys and c != "__batch"]
+    kept = [c for c in cols if c not in update]
+    tail = [F.col(c) for c in cols if c not in order]
+    newest = F.struct(F.col("__batch"), *[F.col(c) for c in order], *tail)
+    first_batch = F.struct((-F.col("__batch")).alias("__nb"), *[F.col(c) for c in order], *tail)
+    g = rows.groupBy(*keys).agg(
+        F.max_by(F.struct(*[F.col(c) for c in update]), newest).alias("__u"),
+        F.max_by(F.struct(*[F.col(c) for c in kept]), first_batch).alias("__k"))
+    return g.select(*keys, *[F.col(f"__u.{c}").alias(c) if c in update else F.col(f"__k.{c}").alias(c)
+                             for c in cols])
+
+
 def apply_batches(policy, target: DataFrame, batches: Sequence[DataFrame], **kw) -> DataFrame:
     for b in batches:
         target = policy(target, b, **kw)

@@ -15,7 +15,7 @@ from .. import params
 from ..functions import json as J
 from ..functions.text import strip_brackets
 from ..functions.timeparts import calendar_parts, ntz, time_of_day, trunc_second
-from ..operators.conflict import insert_if_absent, insert_if_absent_all, upsert_partial
+from ..operators.conflict import insert_if_absent, insert_if_absent_all, upsert_partial_all
 from ..operators.dedup import last_by
 from ..sources.extract import quarantine_split
 
@@ -135,16 +135,13 @@ def restaurant_rows(docs: DataFrame) -> DataFrame:
 
 def dim_restaurants(*doc_batches: DataFrame,
                     watermark: _dt.datetime = params.DEFAULT_WATERMARK) -> DataFrame:
-    """Restaurants upserted by restaurant_id: name and active_from replaced, active_to kept."""
-    target = None
-    for docs in doc_batches:
-        rows = restaurant_rows(docs.filter(F.col("update_ts") > ntz(watermark)))
-        if target is None:
-            target = last_by(rows, ["restaurant_id"], ["active_from", "restaurant_name"])
-        else:
-            target = upsert_partial(target, rows, ["restaurant_id"],
-                                    ["restaurant_name", "active_from"], ["active_from", "restaurant_name"])
-    return target
+    """Restaurants upserted by restaurant_id: name and active_from replaced, active_to kept.
+
+    All document batches of a run are applied in one pass.
+    """
+    rows = [restaurant_rows(docs.filter(F.col("update_ts") > ntz(watermark))) for docs in doc_batches]
+    return upsert_partial_all(rows, ["restaurant_id"], ["restaurant_name", "active_from"],
+                              ["active_from", "restaurant_name"])
 
 
 def dim_users(docs: DataFrame) -> DataFrame:

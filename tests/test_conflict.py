@@ -3,6 +3,7 @@
 import datetime as dt
 
 from hypothesis import given, settings
+from pyspark.sql import functions as F
 from hypothesis import strategies as st
 
 from ledgerwright.operators import conflict
@@ -101,3 +102,17 @@ def test_one_pass_batches_equal_sequential_policies(spark, rows):
         seq_up = conflict.upsert(seq_up, c, ["k"], ["ts", "v"])
     assert as_set(conflict.insert_if_absent_all(chunks, ["k"], ["ts", "v"])) == as_set(seq_ins)
     assert as_set(conflict.upsert_all(chunks, ["k"], ["ts", "v"])) == as_set(seq_up)
+
+
+@settings(max_examples=6, deadline=None)
+@given(rows_strategy())
+def test_one_pass_partial_upsert_equals_sequential(spark, rows):
+    def shaped(rs):
+        return to_df(spark, rs).withColumn("kept", F.concat(F.col("v"), F.lit("-"), F.col("k").cast("string"),
+                                                            F.minute("ts").cast("string")))
+    chunks = [shaped(c) for c in split(rows, 3)]
+    seq = last_by(chunks[0], ["k"], ["ts", "v", "kept"])
+    for c in chunks[1:]:
+        seq = conflict.upsert_partial(seq, c, ["k"], ["ts", "v"], ["ts", "v", "kept"])
+    one = conflict.upsert_partial_all(chunks, ["k"], ["ts", "v"], ["ts", "v", "kept"])
+    assert as_set(one.select(*seq.columns)) == as_set(seq)
