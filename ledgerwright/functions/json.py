@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,17 @@ def parse(text: Column, schema: T.DataType) -> Column:
     return F.from_json(text, schema, JSON_OPTIONS)
 
 
+def parse_fields(df: DataFrame, text_column: str, schema: T.StructType, *keep: str) -> DataFrame:
+    """``keep`` columns plus every field of ``schema`` parsed from ``text_column``.
+
+    The parsed row is produced by a generator (``inline`` of a one-element
+    array). Filters on parsed fields then stay above it instead of being pushed
+    below with the parse inlined, so each document is parsed once, not once
+    per filter and once per projection.
+    """
+    return df.select(*keep, F.inline(F.array(parse(F.col(text_column), schema))))
+
+
 def path_text(text: Column, path: str) -> Column:
     """``text #>> '{path}'``: one JSON path as text, NULL when absent."""
     return F.get_json_object(text, path)

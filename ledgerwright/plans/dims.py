@@ -52,8 +52,7 @@ def stg_deliveries_checked(landing: DataFrame) -> tuple[DataFrame, DataFrame]:
     "abc") is quarantined with the failing columns instead of becoming NULL.
     """
     text = J.T.StructType([J.T.StructField(f.name, J.T.StringType()) for f in J.DELIVERY.fields])
-    e = J.parse(F.col("content"), text)
-    raw = landing.select(*[e[f.name].alias(f.name) for f in J.DELIVERY.fields], "load_ts")
+    raw = J.parse_fields(landing, "content", text, "load_ts").select(*text.names, "load_ts")
     casts = {f.name: f.dataType.simpleString() for f in J.DELIVERY.fields
              if not isinstance(f.dataType, J.T.StringType)}
     return quarantine_split(raw, casts)
@@ -213,7 +212,9 @@ def order_statuses_explode(docs: DataFrame) -> DataFrame:
 
 def _order_candidates(docs: DataFrame, watermark: _dt.datetime | None) -> DataFrame:
     """Order fields with their second; ``watermark=None`` takes every document."""
-    f = order_doc_fields(docs)
+    f = (J.parse_fields(docs, "object_value", J.ORDER_HEADER, "object_id")
+         .select(F.col("object_id").alias("order_id"), F.col("restaurant.id").alias("restaurant_id"),
+                 F.col("date").alias("order_date"), F.col("user.id").alias("user_id"), "final_status"))
     if watermark is not None:
         f = f.filter(F.col("order_date") > ntz(watermark))
     return f.withColumn("sec", trunc_second(F.col("order_date")))

@@ -21,12 +21,11 @@ def payment_lines(events: DataFrame, watermark: _dt.datetime = params.DEFAULT_WA
     The event type and the order date are filtered before the payment array is
     exploded, so only qualifying payloads are expanded.
     """
-    v = J.parse(F.col("event_value"), J.BONUS_EVENT)
-    e = (events.filter(F.col("event_type") == "bonus_transaction")
-         .select(F.col("id").alias("event_id"), v.alias("v"))
-         .select("event_id", F.col("v.order_id").alias("order_id"),
-                 F.to_timestamp_ntz(F.col("v.order_date"), F.lit(J.ORDER_DATE_FORMAT)).alias("order_date"),
-                 F.col("v.product_payments").alias("pp"))
+    bonus = events.filter(F.col("event_type") == "bonus_transaction")
+    e = (J.parse_fields(bonus, "event_value", J.BONUS_EVENT, "id")
+         .select(F.col("id").alias("event_id"), "order_id",
+                 F.to_timestamp_ntz(F.col("order_date"), F.lit(J.ORDER_DATE_FORMAT)).alias("order_date"),
+                 F.col("product_payments").alias("pp"))
          .filter(F.col("order_date") > ntz(watermark)))
     return (e.select("event_id", "order_id", "order_date", F.inline("pp"))
             .select("event_id", "order_id", "order_date", "product_id",
