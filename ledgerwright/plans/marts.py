@@ -134,10 +134,16 @@ def settlement_report(lines: DataFrame, restaurants: DataFrame, settlement_date:
     total_sum, bonus_payment, bonus_grant). ``distinct_orders`` counts orders;
     ``False`` counts fact lines like the original job.
     """
-    count = (F.countDistinct("order_id") if distinct_orders else F.count(F.lit(1)))
-    g = (lines.groupBy("restaurant_id")
-         .agg(count.alias("n"), F.sum("total_sum").alias("total"),
-              F.sum("bonus_payment").alias("paid"), F.sum("bonus_grant").alias("granted")))
+    # Two partial aggregations instead of a distinct aggregate (which Spark
+    # rewrites with an Expand that duplicates every line before the shuffle):
+    # per (restaurant, order) first, then per restaurant.
+    per_order = (lines.groupBy("restaurant_id", "order_id")
+                 .agg(F.count(F.lit(1)).alias("lines"), F.sum("total_sum").alias("total"),
+                      F.sum("bonus_payment").alias("paid"), F.sum("bonus_grant").alias("granted")))
+    count = F.count(F.lit(1)) if distinct_orders else F.sum("lines")
+    g = (per_order.groupBy("restaurant_id")
+         .agg(count.alias("n"), F.sum("total").alias("total"),
+              F.sum("paid").alias("paid"), F.sum("granted").alias("granted")))
     fee = pct(F.col("total"), str(pay.FEE))
     out = g.select(
         "restaurant_id",
