@@ -112,3 +112,12 @@ def test_late_users_load_their_orders_on_the_next_run(spark):
         cols = sorted(c for c in full.read(t).columns if c != "id")
         assert sorted(map(tuple, store.read(t).select(*cols).collect())) == \
             sorted(map(tuple, full.read(t).select(*cols).collect())), t
+
+
+def test_vacuum_keeps_newest_versions(spark):
+    store = TableStore(spark, tempfile.mkdtemp(prefix="lw-store-", dir="/tmp"))
+    for n in range(4):
+        store.write("t", spark.range(n + 1))
+    assert store.vacuum("t", keep=2) == [1, 2]
+    assert store.versions("t") == [3, 4] and store.read("t").count() == 4
+    assert store.vacuum("t", keep=2) == []
