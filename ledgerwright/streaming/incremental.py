@@ -79,3 +79,36 @@ def load_landed_files(spark: SparkSession, landing_dir: str, schema: T.StructTyp
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start())
+
+
+def load_delivery_pages(spark: SparkSession, landing_dir: str, store: TableStore,
+                        table: str = "deliveries", checkpoint: str | None = None) -> StreamingQuery:
+    """Courier-API delivery pages (one JSON array per line of the landed files) into staging.
+
+    Each micro-batch lands the page elements as raw text (unique content),
+    types them with quarantine, inserts the deliveries whose id is new and
+    appends rejected rows to ``<table>_quarantine``. Re-delivered pages and
+    overlapping elements are absorbed by the insert-if-absent policy.
+    """
+    from ..plans import dims
+
+    checkpoint = checkpoint or f"{store.root}/_streams/{table}"
+    stream_tag = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+    policy = insert_if_absent_policy(["delivery_id"], ["delivery_ts", "courier_id"])
+    pages = spark.readStream.text(landing_dir).withColumnRenamed("value", "content")
+
+    def apply(batch: DataFrame, epoch_id: int) -> None:
+        marker = f"{stream_tag}-{epoch_id}"
+        if store.has_marker(table, marker):
+            return
+        good, bad = dims.stg_deliveries_checked(dims.land_pages(batch))
+        good = good.drop("load_ts")
+        store.write(f"{table}_quarantine", bad if not store.exists(f"{table}_quarantine")
+                    else append_policy()(store.read(f"{table}_quarantine"), bad))
+        current = store.read(table) if store.exists(table) else None
+        store.write(table, policy(current, good), marker=marker)
+
+    return (pages.writeStream.foreachBatch(apply)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start())
