@@ -39,6 +39,27 @@ def _with_names(ledger: DataFrame, couriers: DataFrame) -> DataFrame:
             .select(*LEDGER_COLUMNS))
 
 
+def _ledger(g, pay_sum, reward) -> DataFrame:
+    """Contract columns of the ledger from the per-(courier, year, month) aggregate ``g``."""
+    return g.select(
+        "courier_id",
+        F.col("settlement_year").cast("int").alias("settlement_year"),
+        F.col("settlement_month").cast("int").alias("settlement_month"),
+        F.col("n").cast("bigint").alias("orders_count"),
+        F.col("total").cast(MONEY).alias("orders_total_sum"),
+        pay.rate_avg(F.col("sum_rate"), F.col("n")).alias("rate_avg"),
+        pct(F.col("total"), str(pay.FEE)).cast(MONEY).alias("order_processing_fee"),
+        pay_sum.cast(MONEY).alias("courier_order_sum"),
+        F.col("tips").cast(MONEY).alias("courier_tips_sum"),
+        reward.cast(MONEY).alias("courier_reward_sum"),
+    )
+
+
+def _base_measures():
+    return [F.count(F.lit(1)).alias("n"), F.sum(F.col("rate").cast("bigint")).alias("sum_rate"),
+            F.sum("order_sum").alias("total"), F.sum("tip_sum").alias("tips")]
+
+
 def courier_ledger(deliveries: DataFrame, couriers: DataFrame) -> DataFrame:
     """Ledger by the documented rules: tier by the courier's average rating in the month.
 
@@ -50,27 +71,13 @@ def courier_ledger(deliveries: DataFrame, couriers: DataFrame) -> DataFrame:
     """
     g = (_month_keys(deliveries)
          .groupBy("courier_id", "settlement_year", "settlement_month")
-         .agg(F.count(F.lit(1)).alias("n"),
-              F.sum(F.col("rate").cast("bigint")).alias("sum_rate"),
-              F.sum("order_sum").alias("total"),
-              F.sum("tip_sum").alias("tips"),
+         .agg(*_base_measures(),
               *[F.sum(pay.tier_pay(F.col("order_sum"), t)).alias(f"cand{i}")
                 for i, t in enumerate(pay.TIERS)]))
     idx = pay.tier_index(F.col("sum_rate"), F.col("n"))
     pay_sum = pay.pick(idx, [F.col(f"cand{i}") for i in range(len(pay.TIERS))])
-    out = g.select(
-        "courier_id",
-        F.col("settlement_year").cast("int").alias("settlement_year"),
-        F.col("settlement_month").cast("int").alias("settlement_month"),
-        F.col("n").cast("bigint").alias("orders_count"),
-        F.col("total").cast(MONEY).alias("orders_total_sum"),
-        pay.rate_avg(F.col("sum_rate"), F.col("n")).alias("rate_avg"),
-        pct(F.col("total"), str(pay.FEE)).cast(MONEY).alias("order_processing_fee"),
-        pay_sum.cast(MONEY).alias("courier_order_sum"),
-        F.col("tips").cast(MONEY).alias("courier_tips_sum"),
-        (pay_sum + pct(F.col("tips"), str(pay.TIPS_KEPT))).cast(MONEY).alias("courier_reward_sum"),
-    )
-    return _with_names(out, couriers)
+    reward = pay_sum + pct(F.col("tips"), str(pay.TIPS_KEPT))
+    return _with_names(_ledger(g, pay_sum, reward), couriers)
 
 
 def courier_ledger_as_coded(deliveries: DataFrame, couriers: DataFrame) -> DataFrame:
@@ -84,24 +91,9 @@ def courier_ledger_as_coded(deliveries: DataFrame, couriers: DataFrame) -> DataF
     g = (_month_keys(deliveries)
          .withColumn("line_pay", pay.coded_delivery_pay(F.col("rate"), F.col("order_sum")))
          .groupBy("courier_id", "settlement_year", "settlement_month")
-         .agg(F.count(F.lit(1)).alias("n"),
-              F.sum(F.col("rate").cast("bigint")).alias("sum_rate"),
-              F.sum("order_sum").alias("total"),
-              F.sum("tip_sum").alias("tips"),
-              F.sum("line_pay").alias("pay_sum")))
-    out = g.select(
-        "courier_id",
-        F.col("settlement_year").cast("int").alias("settlement_year"),
-        F.col("settlement_month").cast("int").alias("settlement_month"),
-        F.col("n").cast("bigint").alias("orders_count"),
-        F.col("total").cast(MONEY).alias("orders_total_sum"),
-        pay.rate_avg(F.col("sum_rate"), F.col("n")).alias("rate_avg"),
-        pct(F.col("total"), str(pay.FEE)).cast(MONEY).alias("order_processing_fee"),
-        F.col("pay_sum").cast(MONEY).alias("courier_order_sum"),
-        F.col("tips").cast(MONEY).alias("courier_tips_sum"),
-        pct(F.col("pay_sum") + F.col("tips"), str(pay.TIPS_KEPT)).cast(MONEY).alias("courier_reward_sum"),
-    )
-    return _with_names(out, couriers)
+         .agg(*_base_measures(), F.sum("line_pay").alias("pay_sum")))
+    reward = pct(F.col("pay_sum") + F.col("tips"), str(pay.TIPS_KEPT))
+    return _with_names(_ledger(g, F.col("pay_sum"), reward), couriers)
 
 
 def delivery_pay_lines(deliveries: DataFrame) -> DataFrame:
