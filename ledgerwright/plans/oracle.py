@@ -556,3 +556,10 @@ SQL["missing_tables"] = (
     "present AS (\n" + "\nUNION ALL\n".join(
         f"SELECT '{n}' AS table_name WHERE EXISTS (SELECT 1 FROM {c})" for n, c in _PRESENT.items())
     + ")\nSELECT table_name FROM contract WHERE table_name NOT IN (SELECT table_name FROM present)")
+
+# The envelope's JSON text is compared byte for byte: DuckDB's to_json of the
+# same struct writes the same compact text as Spark's for these columns.
+SQL["document_envelope"] = """SELECT CAST(event_id AS VARCHAR) AS object_id, ts AS update_ts,
+       to_json(struct_pack(user_id := user_id, event_type := event_type, value := value,
+                           props := props))::VARCHAR AS object_value
+FROM events"""
