@@ -28,9 +28,17 @@ def _month_keys(deliveries: DataFrame) -> DataFrame:
 
 
 def restrict_to_month(deliveries: DataFrame, run_date: _dt.date) -> DataFrame:
-    """Deliveries of the calendar month before ``run_date`` (a pushed-down range on the timestamp)."""
+    """Deliveries of the calendar month before ``run_date``.
+
+    A range on ``delivery_ts`` (pushed to the parquet scan); on a stored table
+    laid out by ``delivery_month`` also an equality on that partition column,
+    so only the month's directory is listed and read.
+    """
     start, end = month_range(run_date)
-    return deliveries.filter((F.col("delivery_ts") >= ntz(start)) & (F.col("delivery_ts") < ntz(end)))
+    out = deliveries.filter((F.col("delivery_ts") >= ntz(start)) & (F.col("delivery_ts") < ntz(end)))
+    if "delivery_month" in deliveries.columns:
+        out = out.filter(F.col("delivery_month") == F.lit(start.date()))
+    return out
 
 
 def _with_names(ledger: DataFrame, couriers: DataFrame) -> DataFrame:

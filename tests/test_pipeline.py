@@ -121,3 +121,16 @@ def test_vacuum_keeps_newest_versions(spark):
     assert store.vacuum("t", keep=2) == [1, 2]
     assert store.versions("t") == [3, 4] and store.read("t").count() == 4
     assert store.vacuum("t", keep=2) == []
+
+
+def test_month_ledger_prunes_delivery_partitions(spark, run):
+    import contextlib
+    import io
+    store, out = run
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        pipeline.marts.restrict_to_month(store.read("dm_deliveries"), pipeline.params.RUN_DATE).explain("formatted")
+    import re
+    plan = re.sub(r"#\d+L?", "", buf.getvalue())
+    assert "PartitionFilters: [isnotnull(delivery_month), (delivery_month = 2024-10-01)]" in plan
+    assert "GreaterThanOrEqual(delivery_ts,2024-10-01T00:00" in plan
