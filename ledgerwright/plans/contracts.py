@@ -60,20 +60,20 @@ def qc_unique_composite(w: Warehouse) -> DataFrame:
 
 def qc_foreign_key(w: Warehouse) -> DataFrame:
     facts = w.fact_lines
-    return Q.union_all([
-        Q.foreign_key(w.dim_deliveries, "dm_deliveries", ["courier_id"], w.dim_couriers, ["courier_id"],
-                      "dm_couriers"),
-        Q.foreign_key(w.dim_deliveries, "dm_deliveries", ["order_id"], w.dim_orders, ["order_key"], "dm_orders"),
-        Q.foreign_key(w.dim_orders, "dm_orders", ["user_id"], w.dim_users, ["user_id"], "dm_users"),
-        Q.foreign_key(w.dim_orders, "dm_orders", ["restaurant_id"], w.dim_restaurants, ["restaurant_id"],
-                      "dm_restaurants"),
-        Q.foreign_key(facts, "fct_product_sales", ["order_id"], w.dim_orders, ["order_key"], "dm_orders"),
-        Q.foreign_key(facts, "fct_product_sales", ["product_id"], w.dim_products, ["product_id"], "dm_products"),
-        Q.foreign_key(w.dim_products, "dm_products", ["restaurant_id"], w.dim_restaurants, ["restaurant_id"],
-                      "dm_restaurants"),
-        Q.foreign_key(dims.order_doc_fields(w.order_docs), "ordersystem_orders", ["restaurant_id"],
-                      w.dim_restaurants, ["restaurant_id"], "dm_restaurants"),
-    ])
+    checks = [
+        (w.dim_deliveries, "dm_deliveries", "courier_id", "dm_couriers"),
+        (w.dim_deliveries, "dm_deliveries", "order_id", "dm_orders"),
+        (w.dim_orders, "dm_orders", "user_id", "dm_users"),
+        (w.dim_orders, "dm_orders", "restaurant_id", "dm_restaurants"),
+        (facts, "fct_product_sales", "order_id", "dm_orders"),
+        (facts, "fct_product_sales", "product_id", "dm_products"),
+        (w.dim_products, "dm_products", "restaurant_id", "dm_restaurants"),
+        (dims.order_doc_fields(w.order_docs), "ordersystem_orders", "restaurant_id", "dm_restaurants"),
+    ]
+    parents = {"dm_couriers": (w.dim_couriers, "courier_id"), "dm_orders": (w.dim_orders, "order_key"),
+               "dm_users": (w.dim_users, "user_id"), "dm_restaurants": (w.dim_restaurants, "restaurant_id"),
+               "dm_products": (w.dim_products, "product_id")}
+    return Q.foreign_keys(checks, parents)
 
 
 def _in(c: str, lo, hi) -> F.Column:
