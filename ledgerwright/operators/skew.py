@@ -3,10 +3,17 @@
 AQE splits a skewed shuffle partition of a sort-merge join only when both
 children are plain shuffles. When one side is an aggregate of the other on the
 same keys (per-group statistics joined back to their rows), that side arrives
-already partitioned by the aggregate and the hot group's rows would all meet
-in one task. Salting spreads them: every row of the large side gets a
-deterministic salt in ``[0, salts)`` from its own id, and every row of the
-small side is replicated once per salt, so a group is joined by ``salts`` tasks.
+already partitioned by the aggregate and a hot group's rows would all meet in
+one task. Hot keys are salted instead:
+
+* a key is hot when its row count (known from the statistics side) exceeds
+  ``hot_rows``. There are at most ``rows / hot_rows`` such keys, a bound
+  independent of the data's key cardinality, so that set is broadcast;
+* a hot key's rows on the large side get a deterministic salt in
+  ``[0, salts)`` from their own id, and the key's single statistics row is
+  replicated once per salt; every other key keeps salt 0 and one copy.
+
+A hot group is then joined by ``salts`` tasks, and nothing else is replicated.
 """
 
 from __future__ import annotations
@@ -17,17 +24,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_SALTS = 32
+DEFAULT_HOT_ROWS = 2_000_000   # rows one join task should handle for a single key
 
 
 def salted_join(large: DataFrame, small: DataFrame, keys: Sequence[str], salt_by: Sequence[str],
-                salts: int = DEFAULT_SALTS, how: str = "inner") -> DataFrame:
-    """``large.join(small, keys, how)`` with the large side's groups spread over ``salts`` tasks.
+                count_column: str, hot_rows: int = DEFAULT_HOT_ROWS, salts: int = DEFAULT_SALTS,
+                how: str = "inner") -> DataFrame:
+    """``large.join(small, keys, how)`` with hot keys spread over ``salts`` tasks.
 
-    ``salt_by`` are columns of ``large`` that vary within a group (a row id);
-    the salt is their hash, so reruns put every row in the same place. The
-    small side grows by the factor ``salts`` and must be the per-key side.
+    ``small`` has one row per key and ``count_column`` = that key's number of
+    rows in ``large``. ``salt_by`` are columns of ``large`` that vary within a
+    key (a row id); the salt is their hash, so reruns place every row alike.
     """
-    salted = large.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in salt_by]), F.lit(salts)))
-    fanned = small.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                            F.lit(salts - 1).cast("bigint"))))
+    is_hot = F.col(count_column) > F.lit(hot_rows)
+    # At most rows(large) / hot_rows keys: a bounded set, safe to broadcast.
+    hot = small.filter(is_hot).select(*keys, F.lit(True).alias("__hot"))
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*[F.col(c) for c in salt_by]), F.lit(salts))) \
+        .otherwise(F.lit(0).cast("bigint"))
+    salted = large.join(F.broadcast(hot), list(keys), "left").withColumn("__salt", salt).drop("__hot")
+    copies = F.when(is_hot, F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))) \
+        .otherwise(F.array(F.lit(0).cast("bigint")))
+    fanned = small.withColumn("__salt", F.explode(copies))
     return salted.join(fanned, [*keys, "__salt"], how).drop("__salt")

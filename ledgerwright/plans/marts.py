@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import pay
 from ..functions.money import MONEY, pct
 from ..functions.timeparts import month_range, ntz
-from ..operators.skew import salted_join
+from ..operators.skew import DEFAULT_HOT_ROWS, salted_join
 
 LEDGER_COLUMNS = ["courier_id", "courier_name", "settlement_year", "settlement_month",
                   "orders_count", "orders_total_sum", "rate_avg", "order_processing_fee",
@@ -105,22 +105,24 @@ def courier_ledger_as_coded(deliveries: DataFrame, couriers: DataFrame) -> DataF
     return _with_names(_ledger(g, F.col("pay_sum"), reward), couriers)
 
 
-def delivery_pay_lines(deliveries: DataFrame) -> DataFrame:
+def delivery_pay_lines(deliveries: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Per-delivery pay with the tier of the courier's monthly average.
 
     The monthly statistics are aggregated (partially, map side) and joined back
     on (courier, year, month). This is the same result as
     ``avg(rate) over (partition by courier, year, month)`` without putting all
-    deliveries of a busy courier into one window partition. The join back is
-    salted by delivery id: the statistics side comes out of the aggregate
-    already partitioned by the key, which AQE cannot split, so a courier with a
-    large share of the month would otherwise be joined by one task.
+    deliveries of a busy courier into one window partition. The join back
+    salts the courier-months with more than ``hot_rows`` deliveries (by
+    delivery id): the statistics side comes out of the aggregate already
+    partitioned by the key, which AQE cannot split, so such a courier would
+    otherwise be joined by one task.
     """
     d = deliveries.select("delivery_id", "courier_id", "rate", "order_sum",
                           F.year("delivery_ts").alias("y"), F.month("delivery_ts").alias("m"))
     stats = (d.groupBy("courier_id", "y", "m")
              .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("rate").cast("bigint")).alias("sum_rate")))
-    j = salted_join(d, stats, ["courier_id", "y", "m"], salt_by=["delivery_id"])
+    j = salted_join(d, stats, ["courier_id", "y", "m"], salt_by=["delivery_id"], count_column="n",
+                    hot_rows=hot_rows)
     idx = pay.tier_index(F.col("sum_rate"), F.col("n"))
     line_pay = pay.pick(idx, [pay.tier_pay(F.col("order_sum"), t) for t in pay.TIERS])
     return j.select(

@@ -49,7 +49,7 @@ def skewed_deliveries(spark, n=40000):
 
 def test_hot_courier_join_is_split_and_exact(spark, skew_conf):
     d = skewed_deliveries(spark)
-    lines = marts.delivery_pay_lines(d)
+    lines = marts.delivery_pay_lines(d, hot_rows=5000)   # C0's 36,000 rows make it hot
     got = lines.groupBy("courier_id").agg(F.count(F.lit(1)).alias("n"), F.sum("pay").alias("pay"))
     rows = {r.courier_id: (r.n, r.pay) for r in got.collect()}
     assert rows["C0"][0] == 36000 and sum(n for n, _ in rows.values()) == 40000
@@ -66,3 +66,15 @@ def test_hot_courier_join_is_split_and_exact(spark, skew_conf):
     ledger = {r.courier_id: r.courier_order_sum for r in marts.courier_ledger(d, couriers).collect()}
     for c, (_, pay) in rows.items():
         assert ledger[c] == pay.quantize(Decimal("0.01"))
+
+
+def test_cold_keys_are_not_replicated(spark):
+    from ledgerwright.operators.skew import salted_join
+    large = spark.range(1000).select(F.when(F.col("id") < 900, F.lit("hot")).otherwise(
+        F.concat(F.lit("k"), (F.col("id") % 10).cast("string"))).alias("k"), F.col("id"))
+    small = large.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    out = salted_join(large, small, ["k"], ["id"], "n", hot_rows=100, salts=8)
+    assert out.count() == 1000 and out.filter("n = 900").count() == 900
+    fanned_rows = small.select(F.explode(F.when(F.col("n") > 100, F.sequence(F.lit(0), F.lit(7)))
+                                         .otherwise(F.array(F.lit(0))))).count()
+    assert fanned_rows == 8 + 10
