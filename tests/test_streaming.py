@@ -58,3 +58,22 @@ def test_streamed_api_pages_equal_staging(spark):
     got = store.read("deliveries").select(*want.columns)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert store.read("deliveries_quarantine").count() == 0
+
+
+def test_replayed_epoch_is_not_applied_twice(spark):
+    import os
+    events = spark.read.parquet(f"{SF_SMOKE}/events.parquet").select(*COLS).filter(F.col("event_id") < 200)
+    landing = tempfile.mkdtemp(prefix="lw-landing-", dir="/tmp")
+    store = TableStore(spark, tempfile.mkdtemp(prefix="lw-store-", dir="/tmp"))
+    events.write.mode("overwrite").parquet(landing)
+    ckpt = f"{store.root}/_streams/replay"
+    S.load_landed_files(spark, landing, events.schema, store, "ev", S.append_policy(), checkpoint=ckpt).awaitTermination()
+    before = store.versions("ev")
+    # crash between the table write and the stream's commit: the epoch runs again on restart
+    os.remove(f"{ckpt}/commits/0")
+    if os.path.exists(f"{ckpt}/commits/.0.crc"):
+        os.remove(f"{ckpt}/commits/.0.crc")
+    S.load_landed_files(spark, landing, events.schema, store, "ev", S.append_policy(), checkpoint=ckpt).awaitTermination()
+    assert os.path.exists(f"{ckpt}/commits/0")          # the epoch did run again ...
+    assert store.versions("ev") == before                # ... and wrote nothing
+    assert store.read("ev").count() == events.count()    # append not applied twice
