@@ -46,3 +46,17 @@ def salted_join(large: DataFrame, small: DataFrame, keys: Sequence[str], salt_by
         .otherwise(F.array(F.lit(0).cast("bigint")))
     fanned = small.withColumn("__salt", F.explode(copies))
     return salted.join(fanned, [*keys, "__salt"], how).drop("__salt")
+
+
+def counted_salted_join(large: DataFrame, small: DataFrame, keys: Sequence[str], salt_by: Sequence[str],
+                        hot_rows: int = DEFAULT_HOT_ROWS, salts: int = DEFAULT_SALTS,
+                        how: str = "inner") -> DataFrame:
+    """:func:`salted_join` for a ``small`` side that does not know its keys' row counts.
+
+    The counts come from one partially aggregated ``groupBy(keys).count()``
+    over ``large`` (map-side combined, at most one row per key leaves each
+    task); only keys above ``hot_rows`` are salted.
+    """
+    counts = large.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    small_n = small.join(counts, list(keys), "left").fillna(0, subset=["__n"])
+    return salted_join(large, small_n, keys, salt_by, "__n", hot_rows, salts, how).drop("__n")

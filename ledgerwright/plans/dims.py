@@ -17,6 +17,7 @@ from ..functions.text import strip_brackets
 from ..functions.timeparts import calendar_parts, ntz, time_of_day, trunc_second
 from ..operators.conflict import insert_if_absent, insert_if_absent_all, upsert_partial_all
 from ..operators.dedup import last_by
+from ..operators.skew import counted_salted_join
 from ..sources.extract import quarantine_split
 
 OPEN_END = params.OPEN_END
@@ -89,7 +90,9 @@ def timestamp_keys(timestamps: DataFrame, mark: int) -> DataFrame:
 def dim_deliveries(deliveries: DataFrame, timestamps: DataFrame, couriers: DataFrame) -> DataFrame:
     """Deliveries that resolve to a delivery timestamp (second precision) and a courier."""
     d = deliveries.withColumn("sec", trunc_second(F.col("delivery_ts")))
-    j = (d.join(timestamp_keys(timestamps, 1), "sec")
+    # a second holding a large share of the deliveries is salted (AQE cannot
+    # split it: the timestamp keys arrive partitioned by the second already)
+    j = (counted_salted_join(d, timestamp_keys(timestamps, 1), ["sec"], ["delivery_id"])
           .join(couriers.select("courier_id"), "courier_id"))
     return j.select("delivery_id", "order_id", "courier_id", "delivery_ts", "rate",
                     F.col("sum").alias("order_sum"), "tip_sum")
@@ -97,7 +100,8 @@ def dim_deliveries(deliveries: DataFrame, timestamps: DataFrame, couriers: DataF
 
 def join_second_precision(deliveries: DataFrame, timestamps: DataFrame) -> DataFrame:
     d = deliveries.select("delivery_id", trunc_second(F.col("delivery_ts")).alias("sec"))
-    return d.join(timestamp_keys(timestamps, 1), "sec").select("delivery_id", "dim_ts")
+    return counted_salted_join(d, timestamp_keys(timestamps, 1), ["sec"], ["delivery_id"]) \
+        .select("delivery_id", "dim_ts")
 
 
 # ---------------------------------------------------------------- timestamps
@@ -224,7 +228,7 @@ def dim_orders(docs: DataFrame, timestamps: DataFrame, users: DataFrame, restaur
                watermark: _dt.datetime = params.DEFAULT_WATERMARK) -> DataFrame:
     """Orders that resolve to an order timestamp (second precision, mark 0), a user and a restaurant."""
     f = _order_candidates(docs, watermark)
-    j = (f.join(timestamp_keys(timestamps, 0), "sec")
+    j = (counted_salted_join(f, timestamp_keys(timestamps, 0), ["sec"], ["order_id"])
           .join(users.select("user_id"), "user_id")
           .join(restaurants.select("restaurant_id"), "restaurant_id"))
     return j.select(F.col("order_id").alias("order_key"), "user_id", "restaurant_id",

@@ -78,3 +78,20 @@ def test_cold_keys_are_not_replicated(spark):
     fanned_rows = small.select(F.explode(F.when(F.col("n") > 100, F.sequence(F.lit(0), F.lit(7)))
                                          .otherwise(F.array(F.lit(0))))).count()
     assert fanned_rows == 8 + 10
+
+
+def test_hot_second_counted_salting_equals_plain_join(spark):
+    from ledgerwright.operators.skew import counted_salted_join
+    base = dt.datetime(2024, 10, 1)
+    # a third of the deliveries share one second
+    d = spark.range(30000).select(
+        F.concat(F.lit("D"), F.col("id").cast("string")).alias("delivery_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("s"))
+    d = d.select("delivery_id", (F.lit(base) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
+                                                                  F.col("s").cast("decimal(18,6)")))
+                 .cast("timestamp_ntz").alias("sec"))
+    keys = d.select("sec").distinct().withColumn("dim_ts", F.col("sec"))
+    salted = counted_salted_join(d, keys, ["sec"], ["delivery_id"], hot_rows=1000, salts=8)
+    plain = d.join(keys, "sec")
+    assert sorted(map(tuple, salted.select("delivery_id", "dim_ts").collect())) == \
+        sorted(map(tuple, plain.select("delivery_id", "dim_ts").collect()))
