@@ -134,3 +134,22 @@ def test_month_ledger_prunes_delivery_partitions(spark, run):
     plan = re.sub(r"#\d+L?", "", buf.getvalue())
     assert "PartitionFilters: [isnotnull(delivery_month), (delivery_month = 2024-10-01)]" in plan
     assert "GreaterThanOrEqual(delivery_ts,2024-10-01T00:00" in plan
+
+
+def test_partition_merge_rewrites_only_touched_months(spark):
+    import os
+    from ledgerwright.operators import conflict
+    from ledgerwright.operators.tables import merge_partitions
+    store = TableStore(spark, tempfile.mkdtemp(prefix="lw-store-", dir="/tmp"))
+    rows = spark.createDataFrame([(1, "a", "2024-09"), (2, "b", "2024-10"), (3, "c", "2024-10")],
+                                 "k int, v string, month string")
+    policy = lambda old, new: conflict.insert_if_absent(old, new, ["k"], ["v"])
+    merge_partitions(store, "t", rows, ["month"], policy)
+    sept = f"{store.path('t')}/month=2024-09"
+    sept_files = sorted(os.listdir(sept))
+    batch = spark.createDataFrame([(3, "dup", "2024-10"), (4, "d", "2024-10")], "k int, v string, month string")
+    out = merge_partitions(store, "t", batch, ["month"], policy)
+    assert sorted((r.k, r.v, r.month) for r in out.collect()) == [
+        (1, "a", "2024-09"), (2, "b", "2024-10"), (3, "c", "2024-10"), (4, "d", "2024-10")]
+    assert sorted(os.listdir(sept)) == sept_files          # the untouched month was not rewritten
+    assert store.versions("t") == [1]
