@@ -68,5 +68,12 @@ def facts_unmatched(lines: DataFrame, orders: DataFrame, products: DataFrame) ->
 
 
 def closed_since(facts: DataFrame, watermark: _dt.datetime = params.SETTLEMENT_WATERMARK) -> DataFrame:
-    """Fact lines of CLOSED orders whose order time is after the settlement watermark."""
-    return facts.filter((F.col("order_status") == "CLOSED") & (F.col("order_ts") > ntz(watermark)))
+    """Fact lines of CLOSED orders whose order time is after the settlement watermark.
+
+    On a stored fact table laid out by ``order_month`` the months before the
+    watermark's month are pruned as partitions.
+    """
+    out = facts.filter((F.col("order_status") == "CLOSED") & (F.col("order_ts") > ntz(watermark)))
+    if "order_month" in facts.columns:
+        out = out.filter(F.col("order_month") >= F.lit(_dt.date(watermark.year, watermark.month, 1)))
+    return out

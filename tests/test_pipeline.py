@@ -153,3 +153,15 @@ def test_partition_merge_rewrites_only_touched_months(spark):
         (1, "a", "2024-09"), (2, "b", "2024-10"), (3, "c", "2024-10"), (4, "d", "2024-10")]
     assert sorted(os.listdir(sept)) == sept_files          # the untouched month was not rewritten
     assert store.versions("t") == [1]
+
+
+def test_report_prunes_fact_months(spark, run):
+    import contextlib
+    import io
+    import re
+    store, out = run
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        pipeline.facts.closed_since(store.read("fct_product_sales")).explain("formatted")
+    plan = re.sub(r"#\d+L?", "", buf.getvalue())
+    assert "PartitionFilters: [isnotnull(order_month), (order_month >= 2026-01-01)]" in plan
