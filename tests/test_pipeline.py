@@ -165,3 +165,12 @@ def test_report_prunes_fact_months(spark, run):
         pipeline.facts.closed_since(store.read("fct_product_sales")).explain("formatted")
     plan = re.sub(r"#\d+L?", "", buf.getvalue())
     assert "PartitionFilters: [isnotnull(order_month), (order_month >= 2026-01-01)]" in plan
+
+
+def test_run_with_vacuum_keeps_one_version(spark):
+    store = TableStore(spark, tempfile.mkdtemp(prefix="lw-store-", dir="/tmp"))
+    pipeline.run(spark, SF_SMOKE, store)
+    pipeline.run(spark, SF_SMOKE, store, keep_versions=1)
+    assert "dm_orders" in store.tables() and "_streams" not in store.tables()
+    assert all(len(store.versions(t)) == 1 for t in store.tables())
+    assert store.read("dm_courier_ledger").count() > 0
