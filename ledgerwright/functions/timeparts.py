@@ -35,7 +35,7 @@ def trunc_second(ts: Column) -> Column:
 
 
 def time_of_day(ts: Column) -> Column:
-    """``HH:mm:ss.SSSSSS`` text, the ordering-preserving form of a PostgreSQL ``::time``."""
+    """``HH:mm:ss.SSSSSS`` text: a time-of-day value whose text order is its time order."""
     return F.date_format(ts, "HH:mm:ss.SSSSSS")
 
 
