@@ -35,9 +35,9 @@ from .common import Tables, components
 VALUES = 64                    # MinHash values of a signature
 TREES = 16                     # orders of the signature
 MORE_TREES = 48                # further orders for documents of regions that were too large
-DEPTHS = (3, 6, 12, 24, 48)    # label prefixes at which a region may end
-REGION = 32                    # a larger region is split by the next prefix
-NEIGHBOURS = 12                # longest-common-prefix neighbours of a document in a region
+DEPTHS = (3, 6, 9, 13, 18, 26, 48)    # label prefixes at which a region may end
+REGION = 64                    # a larger region is split by the next prefix
+NEIGHBOURS = 24                # longest-common-prefix neighbours of a document in a region
 PIVOTS = 3                     # central documents that all of a large region meet
 MAX_BIT_GAP = 20               # of 64 one-bit values: 6.6 sigma from 0.8, so no real link is lost
 
@@ -155,8 +155,9 @@ def forest(tables: Tables, classes: DataFrame, orders: range, name: str) -> tupl
         both = (pairs.union(star).where("p <> q").where(_near("pb", "qb"))
                 .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct())
         found.append(tables.put(both, f"{name}-pairs-{d}"))
-        if d < last:
-            rows = large
+        if d == last or large.isEmpty():
+            break
+        rows = large
     return found, dense
 
 
