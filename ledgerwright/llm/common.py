@@ -67,6 +67,18 @@ def partitions_for(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Rows of a table of a few short columns that may be broadcast (about 64 MB as a hash table).
+BROADCAST_ROWS = 1_500_000
+
+
+def bounded(table: DataFrame) -> DataFrame:
+    """A written narrow table, to be broadcast only where its counted rows are within the bound.
+
+    Beyond it the same join is a shuffled one, whose hot keys AQE splits.
+    """
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
 def components(tables: Tables, links: DataFrame, name: str, max_rounds: int = 40) -> DataFrame:
     """Connected components of ``links`` (a, b): rows (node, component = smallest node).
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_dedup
+from . import near_dedup, suffix_dedup
 from .common import read_table
 
 
@@ -14,8 +14,14 @@ def op8_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of documents that remain once every repeated 400-byte string is removed."""
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
 QUERIES = {
     "op8_minhash_forest": op8_minhash_forest,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 SQL: dict[str, str] = {}

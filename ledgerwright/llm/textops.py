@@ -116,19 +116,29 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def gram_hashes(buf: np.ndarray, size: int) -> np.ndarray:
-    """One 64-bit hash for the ``size`` bytes starting at every byte of ``buf``."""
-    n = len(buf)
-    if n < size:
-        return np.zeros(0, np.uint64)
-    pw = powers(n)
-    total = np.empty(n + 1, dtype=np.uint64)
-    total[0] = 0
-    np.cumsum(_BYTE_VALUE[buf] * pw[:n], out=total[1:])
-    count = n - size + 1
-    sums = total[size:] - total[:count]
-    sums *= pw[n - np.arange(count)]
-    return mix(sums * _base_to(BLOCK_BYTES - n))
+class Prefix:
+    """Prefix sums of one text, from which any byte range is hashed in constant time."""
+
+    def __init__(self, buf: np.ndarray):
+        n = len(buf)
+        self.n, self.pw = n, powers(n)
+        self.total = np.empty(n + 1, dtype=np.uint64)
+        self.total[0] = 0
+        np.cumsum(_BYTE_VALUE[buf] * self.pw[:n], out=self.total[1:])
+
+    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Equal for equal bytes, wherever they stand."""
+        return mix((self.total[ends] - self.total[starts]) * self.pw[self.n - starts]
+                   * _base_to(BLOCK_BYTES - self.n))
+
+    def grams(self, size: int) -> np.ndarray:
+        """One hash for the ``size`` bytes that start at every byte."""
+        count = self.n - size + 1
+        if count <= 0:
+            return np.zeros(0, np.uint64)
+        sums = self.total[size:] - self.total[:count]
+        sums *= self.pw[self.n - count + 1:self.n + 1][::-1]
+        return mix(sums * _base_to(BLOCK_BYTES - self.n))
 
 
 def window_minima(values: np.ndarray, width: int) -> np.ndarray:
