@@ -4,20 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerwright.llm import bpe, decontaminate, near_dedup, quality_rules, secrets
 from ledgerwright.llm.common import Tables, read_table
-from ledgerwright.llm.near_dedup import keep_one_of_each_group
+from ledgerwright.llm.queries import RANKS, VOCABULARY
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality_rules.keep_accepted(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays (five-word shingles, similarity 0.8 or more)."""
-    return keep_one_of_each_group(docs)
+    return near_dedup.keep_one_of_each_group(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.drop_leaks(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the texts; every document stays."""
+    return secrets.mask_secrets(docs, RANKS)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document that is left."""
+    return bpe.encode_documents(docs, VOCABULARY, keep=("ids",))
 
 
 STAGES = [
-    ("near_dedup", near_dedup),
+    ("quality_rules", accept_quality),
+    ("minhash_near_dedup", drop_near_copies),
+    ("benchmark_decontamination", drop_leaks),
+    ("secret_scan", mask_secrets),
+    ("bpe_encoding", encode),
 ]
 
-#: The stages after the first are iterative or use a tokenizer, which SQL cannot express.
+#: Several stages are iterative or use a tokenizer, which SQL cannot express; a brute-force test holds run().
 ORACLE_SQL = None
 
 

@@ -2,26 +2,72 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_dedup, suffix_dedup
+from . import (bpe, decontaminate, language_id, licenses, near_dedup, quality_classifier, quality_rules, secrets,
+               suffix_dedup, warc)
 from .common import read_table
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items whose words they hold to four fifths or more."""
+    return decontaminate.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to WARC archives and read back; repeated payloads are revisits."""
+    return warc.page_archive(read_table(spark, sf_dir, "pages"))
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and robust outliers per language and source."""
+    return quality_rules.quality_verdicts(read_table(spark, sf_dir, "documents"))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of documents, learned from labels of rows that are not held out."""
+    return quality_classifier.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of documents, learned from rows that are not held out."""
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts and digests of encoded and decoded documents."""
+    return bpe.encode_documents(read_table(spark, sf_dir, "documents"), VOCABULARY, keep=())
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses of documents, taken as files below their source, own or inherited."""
+    files = licenses.document_files(read_table(spark, sf_dir, "documents"))
+    return licenses.scan_licenses(files).withColumnRenamed("file_id", "doc_id")
+
 
 def op8_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of documents: three-word shingles, similarity 0.85 or more."""
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of documents: pattern spans and strings that the tokenizer cannot shorten."""
+    docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
+    return secrets.scan(docs, RANKS).drop("text")
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of documents that remain once every repeated 400-byte string is removed."""
     return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
 
 
-QUERIES = {
-    "op8_minhash_forest": op8_minhash_forest,
-    "op10_suffix_dedup": op10_suffix_dedup,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_benchmark_decontamination, op2_warc, op3_quality_rules, op4_quality_classifier, op5_language_id, op6_bpe,
+    op7_license_scan, op8_minhash_forest, op9_secret_scan, op10_suffix_dedup)}
 
 SQL: dict[str, str] = {}

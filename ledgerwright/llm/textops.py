@@ -67,40 +67,44 @@ def blocks(offs: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, in
         i = j
 
 
-def words(buf: np.ndarray, offs: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+#: Byte kinds: 0 space, 1 letters, digits and bytes above ASCII, 2 other signs.
+_KIND = np.full(256, 2, dtype=np.uint8)
+_KIND[_SPACE] = 0
+_KIND[0x80:] = 1
+for _range in (range(48, 58), range(65, 91), range(97, 123)):
+    _KIND[list(_range)] = 1
+
+
+def words(buf: np.ndarray, offs: np.ndarray, lower: bool = False,
+          by_kind: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word hashes, word start bytes, and the first word index of each document.
 
     ``buf`` is one block, ``offs`` its document offsets starting at 0. The third
-    array has one entry more than there are documents.
+    array has one entry more than there are documents. With ``by_kind`` a word also
+    ends where letters or digits meet other signs.
     """
     n = len(buf)
     if n == 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(offs), np.int64)
-    inside = ~_SPACE[buf]
-    before = np.empty(n, dtype=bool)
-    before[0] = False
-    before[1:] = inside[:-1]
-    edge = offs[:-1][(offs[:-1] < n)]
-    before[edge] = False
-    starts = np.flatnonzero(inside & ~before)
-    after = np.empty(n, dtype=bool)
-    after[-1] = False
-    after[:-1] = inside[1:]
-    ends_at = offs[1:][offs[1:] > 0] - 1
-    after[ends_at] = False
-    ends = np.flatnonzero(inside & ~after) + 1
+    kind = _KIND[buf] if by_kind else (~_SPACE[buf]).astype(np.uint8)
+    change = np.ones(n + 1, dtype=bool)
+    np.not_equal(kind[1:], kind[:-1], out=change[1:-1])
+    change[offs] = True
+    inside = kind != 0
+    starts = np.flatnonzero(change[:-1] & inside)
+    ends = np.flatnonzero(change[1:] & inside) + 1
     pw = powers(n)
     values = _BYTE_VALUE[_LOWER[buf]] if lower else _BYTE_VALUE[buf]
     total = np.empty(n + 1, dtype=np.uint64)
     total[0] = 0
     np.cumsum(values * pw[:n], out=total[1:])
     # scaled to the exponent of a full block, so a word's hash does not depend on its place
-    hashes = mix((total[ends] - total[starts]) * pw[n - starts] * _base_to(BLOCK_BYTES - n))
+    hashes = mix((total[ends] - total[starts]) * pw[n - starts] * base_to(BLOCK_BYTES - n))
     first = np.searchsorted(starts, offs)
     return hashes, starts, first
 
 
-def _base_to(k: int) -> np.uint64:
+def base_to(k: int) -> np.uint64:
     """``base ** k`` modulo 2**64; a negative ``k`` takes the inverse of the odd base."""
     return np.uint64(pow(int(_BASE), k, 1 << 64))
 
@@ -129,7 +133,7 @@ class Prefix:
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Equal for equal bytes, wherever they stand."""
         return mix((self.total[ends] - self.total[starts]) * self.pw[self.n - starts]
-                   * _base_to(BLOCK_BYTES - self.n))
+                   * base_to(BLOCK_BYTES - self.n))
 
     def grams(self, size: int) -> np.ndarray:
         """One hash for the ``size`` bytes that start at every byte."""
@@ -138,7 +142,7 @@ class Prefix:
             return np.zeros(0, np.uint64)
         sums = self.total[size:] - self.total[:count]
         sums *= self.pw[self.n - count + 1:self.n + 1][::-1]
-        return mix(sums * _base_to(BLOCK_BYTES - self.n))
+        return mix(sums * base_to(BLOCK_BYTES - self.n))
 
 
 def window_minima(values: np.ndarray, width: int) -> np.ndarray:
