@@ -3,9 +3,9 @@
 Words (letters and digits, or runs of other signs) and pairs of neighbouring words are
 hashed into ``2**BITS`` features, weighted by 1 + log of their count and scaled to unit
 length. Training rows are a bounded sample of the labelled ones: the ``SAMPLE`` rows
-of smallest hashed id. They are dealt into ``SHARDS``; each is learned by itself with
-follow-the-regularised-leader updates, and the weights are averaged feature by feature.
-The model has at most ``2**BITS`` weights, which bounds what is broadcast. A score is the
+of smallest hashed id, learned one after another with follow-the-regularised-leader
+updates in one task. The model has at most ``2**BITS`` weights, which bounds what is
+broadcast. A score is the
 sparse dot product with the text's features, through the logistic function.
 
 Defined cases: a null or empty text scores by the intercept alone; null labels are not
@@ -25,10 +25,9 @@ from . import textops
 from .common import crc32_mod
 
 BITS = 18
-SAMPLE = 16_000      # labelled rows that are learned from, at most
-SHARDS = 8
-EPOCHS = 4
-ALPHA, BETA, L1, L2 = 2.0, 1.0, 0.02, 0.001
+SAMPLE = 12_000      # labelled rows that are learned from, at most
+EPOCHS = 6
+ALPHA, BETA, L1, L2 = 30.0, 1.0, 0.01, 0.0001
 THRESHOLD = 0.3
 
 
@@ -52,11 +51,11 @@ def _rows(texts: pa.Array):
             yield features(hashes[first[k]:first[k + 1]])
 
 
-def _learn(shard: pd.DataFrame) -> pd.DataFrame:
-    """FTRL-proximal over the rows of one shard, in the order of their hashed ids."""
-    shard = shard.sort_values(["place", "text"])
-    rows = list(_rows(pa.array(shard["text"], pa.string())))
-    labels = shard["label"].to_numpy()
+def _learn(sample: pd.DataFrame) -> pd.DataFrame:
+    """FTRL-proximal over the sampled rows, in the order of their hashed ids."""
+    sample = sample.sort_values(["place", "text"])
+    rows = list(_rows(pa.array(sample["text"], pa.string())))
+    labels = sample["label"].to_numpy()
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
 
     def weights(at):
@@ -75,17 +74,15 @@ def _learn(shard: pd.DataFrame) -> pd.DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> np.ndarray:
-    """Averaged weights from a sample of at most ``sample`` labelled rows."""
+    """Weights learned from a sample of at most ``sample`` labelled documents."""
     chosen = (labels.select(F.col("doc_id"), F.col(label).cast("double").alias("label"))
               .where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
               .withColumn("place", F.xxhash64("doc_id")).orderBy("place", "doc_id").limit(sample))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
-    models = (rows.withColumn("shard", F.pmod(F.xxhash64("place"), F.lit(SHARDS)))
-              .select("shard", "place", "label", "text").groupBy("shard")
-              .applyInPandas(_learn, "feature long, weight double"))
+    model = (rows.select("place", "label", "text").groupBy(F.lit(0).alias("all"))
+             .applyInPandas(_learn, "feature long, weight double")).toPandas()
     weights = np.zeros(1 << BITS)
-    for row in models.groupBy("feature").agg((F.sum("weight") / SHARDS).alias("weight")).collect():
-        weights[row.feature] = row.weight
+    weights[model["feature"]] = model["weight"]
     return weights
 
 
