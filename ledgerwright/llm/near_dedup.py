@@ -11,7 +11,8 @@ neighbours. In every region that is too large, whatever its depth, all documents
 also meet a few pivots: the documents that lie in the largest regions over all
 orders, which is where the original of a family of edited copies lies. So the
 number of candidates is linear in the number of documents and no large region is
-ever gathered. Candidates are confirmed on the full sets, and links become
+ever gathered. Pairs with pivots are confirmed on the full sets first; of the other
+candidates only those between different components are left to confirm. Links become
 connected components.
 
 Defined cases: a null or word-less text has an empty set and no links; rows that
@@ -108,24 +109,31 @@ def _near(bits: str, other: str):
     return F.bit_count(F.col(bits).bitwiseXOR(F.col(other))) <= MAX_BIT_GAP
 
 
-def candidates(tables: Tables, classes: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) of classes that are neighbours or pivots in some region.
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b) whose one-bit values leave a link possible."""
+    return (pairs.where("p <> q").where(_near("pb", "qb"))
+            .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct())
+
+
+def candidates(tables: Tables, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs (a < b) of classes: with pivots of the largest regions, and all others.
 
     Documents of regions that were too large at the first prefix are ordered
     ``MORE_TREES`` further times, so that members of a large family which link to
     few others still meet them.
     """
-    found, dense = forest(tables, classes, range(TREES), "first")
+    star, found, dense = forest(tables, classes, range(TREES), "first")
     dense = classes.join(dense, "doc", "left_semi")
-    more, _ = forest(tables, dense, range(TREES, TREES + MORE_TREES), "more")
-    out = found[0]
-    for part in found[1:] + more:
+    more_star, more, _ = forest(tables, dense, range(TREES, TREES + MORE_TREES), "more")
+    out = more_star
+    for part in found + more:
         out = out.union(part)
-    return tables.put(out.distinct(), "pairs")
+    return star, tables.put(out.distinct(), "pairs")
 
 
-def forest(tables: Tables, classes: DataFrame, orders: range, name: str) -> tuple[list[DataFrame], DataFrame]:
-    """Candidate pairs by prefix length, and the documents of regions too large at the first."""
+def forest(tables: Tables, classes: DataFrame, orders: range, name: str) -> tuple[DataFrame, list[DataFrame], DataFrame]:
+    """Pivot pairs at the first prefix, all other pairs by prefix length, and the documents of regions too large
+    at the first."""
     rows = labels(classes, orders)
     found = []
     central = dense = None
@@ -152,17 +160,19 @@ def forest(tables: Tables, classes: DataFrame, orders: range, name: str) -> tupl
             .agg(F.max_by(F.struct("doc", "bits"), F.struct("weight", "doc")).alias("pivot")), f"{name}-pivots-{d}")
         star = large.join(pivots, key).select(F.col("doc").alias("p"), F.col("bits").alias("pb"),
                                               F.col("pivot.doc").alias("q"), F.col("pivot.bits").alias("qb"))
-        both = (pairs.union(star).where("p <> q").where(_near("pb", "qb"))
-                .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct())
-        found.append(tables.put(both, f"{name}-pairs-{d}"))
+        if d == 0:
+            first = tables.put(_ordered(star), f"{name}-star")
+            found.append(tables.put(_ordered(pairs), f"{name}-pairs-{d}"))
+        else:
+            found.append(tables.put(_ordered(pairs.union(star)), f"{name}-pairs-{d}"))
         if d == last or large.isEmpty():
             break
         rows = large
-    return found, dense
+    return first, found, dense
 
 
-def confirm(tables: Tables, docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs whose full sets meet ``100 * intersection >= percent * union``."""
+def full_sets(docs: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
+    """Rows (doc_id, items): the whole sets of all documents that ``pairs`` name."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
 
     def full(batches):
@@ -170,10 +180,12 @@ def confirm(tables: Tables, docs: DataFrame, pairs: DataFrame, size: int, percen
             sets = [values.tobytes() for values in _sets(batch, size)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())],
                                              ["doc_id", "items"])
-    sets = (docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id", "left_semi")
+    return (docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id", "left_semi")
             .mapInArrow(full, "doc_id long, items binary"))
-    sets = tables.put(sets, "sets")
 
+
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets meet ``100 * intersection >= percent * union``."""
     def test(batches):
         for batch in batches:
             keep = []
@@ -202,12 +214,21 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     filled = sketches.where("n_shingles > 0 and doc_id is not null")
     classes = tables.put(filled.groupBy("digest").agg(F.min("doc_id").alias("doc"), F.max("sig").alias("sig")),
                          "classes")
-    pairs = candidates(tables, classes)
-    links = tables.put(confirm(tables, docs, pairs, shingle, percent), "links")
+    star, pairs = candidates(tables, classes)
+    sets = tables.put(full_sets(docs, star.union(pairs), shingle), "sets")
+    near = tables.put(confirm(star, sets, percent), "star-links")
+    joined = components(tables, near, "star-components")
+    # a pair within one component can't change the components, so only the others are confirmed
+    rest = (pairs.join(joined.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
+            .join(joined.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
+            .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
+    rest = tables.put(rest, "rest")
+    links = tables.put(near.union(confirm(rest, sets, percent)), "links")
     copies = (filled.join(classes.select("digest", "doc"), "digest").where("doc_id <> doc")
               .select(F.col("doc_id").alias("a"), F.col("doc").alias("b")))
     labelled = components(tables, links.union(copies), "components")
-    tables.drop("pairs", "sets", "classes", *(f"{t}-{n}" for t in ("first", "more") for n in ("central", "dense")),
+    tables.drop("pairs", "rest", "sets", "classes",
+                *(f"{t}-{n}" for t in ("first", "more") for n in ("central", "dense", "star")),
                 *(f"{t}-{n}-{d}" for t in ("first", "more") for n in ("rows", "pairs", "pivots")
                   for d in range(len(DEPTHS))))
     return (sketches.select("doc_id", "n_shingles")
