@@ -7,13 +7,15 @@ already partitioned by the aggregate and a hot group's rows would all meet in
 one task. Hot keys are salted instead:
 
 * a key is hot when its row count (known from the statistics side) exceeds
-  ``hot_rows``. There are at most ``rows / hot_rows`` such keys, a bound
-  independent of the data's key cardinality, so that set is broadcast;
-* a hot key's rows on the large side get a deterministic salt in
-  ``[0, salts)`` from their own id, and the key's single statistics row is
-  replicated once per salt; every other key keeps salt 0 and one copy.
+  ``hot_rows``. There are at most ``rows / hot_rows`` such keys; whether that
+  small set is broadcast is left to the planner, which knows its size;
+* a hot key gets ``ceil(rows of the key / hot_rows)`` salts, at least two. Its
+  rows on the large side get a deterministic salt from their own id, and the
+  key's single statistics row is replicated once per salt; every other key
+  keeps salt 0 and one copy.
 
-A hot group is then joined by ``salts`` tasks, and nothing else is replicated.
+A task then joins about ``hot_rows`` rows of a hot key, however many it has,
+and nothing else is replicated.
 """
 
 from __future__ import annotations
@@ -23,33 +25,34 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_SALTS = 32
 DEFAULT_HOT_ROWS = 2_000_000   # rows one join task should handle for a single key
 
 
 def salted_join(large: DataFrame, small: DataFrame, keys: Sequence[str], salt_by: Sequence[str],
-                count_column: str, hot_rows: int = DEFAULT_HOT_ROWS, salts: int = DEFAULT_SALTS,
+                count_column: str, hot_rows: int = DEFAULT_HOT_ROWS, salts: int | None = None,
                 how: str = "inner") -> DataFrame:
-    """``large.join(small, keys, how)`` with hot keys spread over ``salts`` tasks.
+    """``large.join(small, keys, how)`` with each hot key spread over tasks by its row count.
+
+    ``salts`` fixes the number of salts of every hot key instead.
 
     ``small`` has one row per key and ``count_column`` = that key's number of
     rows in ``large``. ``salt_by`` are columns of ``large`` that vary within a
     key (a row id); the salt is their hash, so reruns place every row alike.
     """
     is_hot = F.col(count_column) > F.lit(hot_rows)
-    # At most rows(large) / hot_rows keys: a bounded set, safe to broadcast.
-    hot = small.filter(is_hot).select(*keys, F.lit(True).alias("__hot"))
-    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*[F.col(c) for c in salt_by]), F.lit(salts))) \
+    spread = (F.lit(salts) if salts else F.greatest(F.ceil(F.col(count_column) / F.lit(hot_rows)), F.lit(2))).cast("bigint")
+    hot = small.filter(is_hot).select(*keys, spread.alias("__hot"))
+    salt = F.when(F.col("__hot").isNotNull(), F.pmod(F.xxhash64(*[F.col(c) for c in salt_by]), F.col("__hot"))) \
         .otherwise(F.lit(0).cast("bigint"))
-    salted = large.join(F.broadcast(hot), list(keys), "left").withColumn("__salt", salt).drop("__hot")
-    copies = F.when(is_hot, F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))) \
+    salted = large.join(hot, list(keys), "left").withColumn("__salt", salt).drop("__hot")
+    copies = F.when(is_hot, F.sequence(F.lit(0).cast("bigint"), spread - 1)) \
         .otherwise(F.array(F.lit(0).cast("bigint")))
     fanned = small.withColumn("__salt", F.explode(copies))
     return salted.join(fanned, [*keys, "__salt"], how).drop("__salt")
 
 
 def counted_salted_join(large: DataFrame, small: DataFrame, keys: Sequence[str], salt_by: Sequence[str],
-                        hot_rows: int = DEFAULT_HOT_ROWS, salts: int = DEFAULT_SALTS,
+                        hot_rows: int = DEFAULT_HOT_ROWS, salts: int | None = None,
                         how: str = "inner") -> DataFrame:
     """:func:`salted_join` for a ``small`` side that does not know its keys' row counts.
 

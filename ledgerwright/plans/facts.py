@@ -24,11 +24,12 @@ def payment_lines(events: DataFrame, watermark: _dt.datetime = params.DEFAULT_WA
     bonus = events.filter(F.col("event_type") == "bonus_transaction")
     e = (J.parse_fields(bonus, "event_value", J.BONUS_EVENT, "id")
          .select(F.col("id").alias("event_id"), "order_id",
-                 F.to_timestamp_ntz(F.col("order_date"), F.lit(J.ORDER_DATE_FORMAT)).alias("order_date"),
+                 F.try_to_timestamp(F.col("order_date"), F.lit(J.ORDER_DATE_FORMAT)).cast("timestamp_ntz").alias("order_date"),
                  F.col("product_payments").alias("pp"))
          .filter(F.col("order_date") > ntz(watermark)))
-    return (e.select("event_id", "order_id", "order_date", F.inline("pp"))
-            .select("event_id", "order_id", "order_date", "product_id",
+    return (e.select("event_id", "order_id", "order_date", F.posexplode("pp").alias("line", "p"))
+            .select("event_id", "line", "order_id", "order_date", "p.*")
+            .select("event_id", "line", "order_id", "order_date", "product_id",
                     F.col("quantity").alias("count"), "price",
                     (F.col("quantity") * F.col("price")).cast(MONEY).alias("total_sum"),
                     "bonus_payment", "bonus_grant"))

@@ -24,6 +24,10 @@ SESSION_CONF = {
 }
 
 
+# Of these, the ones that decide results rather than speed.
+RESULT_CONF = ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.sources.partitionOverwriteMode",
+               "spark.sql.parquet.outputTimestampType")
+
 # Sizing for the target deployment (about 100 TB of sources on ~1000 executors).
 # Shuffles start fine-grained and AQE coalesces them to ~256 MB partitions, so
 # the same job fits both a small month and a full backfill; skewed join
@@ -44,13 +48,15 @@ CLUSTER_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def build_session(master: str | None = "local[8]", shuffle_partitions: int | None = 8,
                   app: str = "ledgerwright", extra: dict | None = None) -> SparkSession:
-    builder = (SparkSession.builder.master(master).appName(app)
-               .config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", os.environ.get("LW_DRIVER_MEMORY", "16g")))
+    """A session; with ``master`` None its master and sizes are those of spark-submit."""
+    builder = (SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
+    if master:
+        builder = builder.master(master).config("spark.driver.memory", os.environ.get("LW_DRIVER_MEMORY", "16g"))
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**SESSION_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -63,11 +69,14 @@ def apply_conf(spark: SparkSession, cluster: bool = False) -> SparkSession:
     """Apply the session settings to a session someone else built (the driver's).
 
     ``cluster=True`` also applies :data:`CLUSTER_CONF`; it is left off for local
-    runs, whose partition counts the caller chose.
+    runs, whose partition counts the caller chose. Settings that decide results
+    always hold; sizes that the session was started with are left as they are.
     """
     conf = {**SESSION_CONF, **(CLUSTER_CONF if cluster else {})}
+    started = spark.sparkContext.getConf()
     for k, v in conf.items():
-        if k.startswith("spark.sql."):
+        sized = k in CLUSTER_CONF and not cluster and spark.conf.get(k, None) == CLUSTER_CONF[k]
+        if k.startswith("spark.sql.") and not sized and (k in RESULT_CONF or not started.contains(k)):
             spark.conf.set(k, v)
     return spark
 
@@ -75,15 +84,17 @@ def apply_conf(spark: SparkSession, cluster: bool = False) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and written tables.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when it is unset (local tests) a fresh scratch folder is created and set.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is;
+    without it there is none, which is an error. Only in a local session (tests) a
+    fresh scratch folder is created and set.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if conf_dir:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(conf_dir)
         return conf_dir.removeprefix("file:")
-    local = tempfile.mkdtemp(prefix="lw-ckpt-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", local)
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    local = tempfile.mkdtemp(prefix="lw-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
