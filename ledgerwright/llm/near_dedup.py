@@ -36,7 +36,7 @@ from .common import Tables, components
 VALUES = 64                    # MinHash values of a signature
 TREES = 16                     # orders of the signature
 MORE_TREES = 48                # further orders for documents of regions that were too large
-DEPTHS = (3, 6, 9, 13, 18, 26, 48)    # label prefixes at which a region may end
+DEPTHS = (3, 6, 10, 16, 48)    # label prefixes at which a region may end
 REGION = 64                    # a larger region is split by the next prefix
 NEIGHBOURS = 24                # longest-common-prefix neighbours of a document in a region
 PIVOTS = 3                     # central documents that all of a large region meet
