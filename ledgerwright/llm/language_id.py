@@ -32,7 +32,6 @@ LONGEST = 4
 FLUSH = 200_000      # distinct words that a task holds before it passes its counts on
 SMOOTH = 0.1
 UNSEEN = -12.0       # log frequency, per language, of a character that no n-gram knows
-CACHE = 100_000      # unseen words whose scores a task keeps
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -61,24 +60,26 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 class Model:
-    """Log frequencies per language of words and n-grams."""
+    """Log frequencies per language: one row a word, then one an n-gram, then one for unknown characters."""
 
-    def __init__(self, langs: list[str], words: dict[str, np.ndarray], grams: dict[str, np.ndarray]):
-        self.langs, self.words, self.grams = langs, words, grams
-        self.unseen: dict[str, np.ndarray] = {}
+    def __init__(self, langs: list[str], words: list[str], grams: list[str], logs: np.ndarray):
+        self.langs, self.logs = langs, logs
+        self.words = {w: i for i, w in enumerate(words)}
+        self.grams = {g: i for i, g in enumerate(grams, len(words))}
+        self.unknown = len(logs) - 1
 
-    def backoff(self, word: str) -> np.ndarray:
-        """Longest known n-grams from the start of the word to its end."""
-        marked, at, out = f"<{word}>", 0, np.zeros(len(self.langs))
+    def backoff(self, word: str) -> list[int]:
+        """Rows of the longest known n-grams from the start of the word to its end."""
+        marked, at, out, known = f"<{word}>", 0, [], self.grams
         while at < len(marked):
             for size in range(min(LONGEST, len(marked) - at), 0, -1):
-                known = self.grams.get(marked[at:at + size])
-                if known is not None:
-                    out = out + known
+                row = known.get(marked[at:at + size])
+                if row is not None:
+                    out.append(row)
                     break
             else:
                 size = 1
-                out = out + UNSEEN
+                out.append(self.unknown)
             at += size
         return out
 
@@ -87,29 +88,28 @@ class Model:
         found = Counter(_LETTERS.findall(text.lower()))
         if not found:
             return None
-        out = np.zeros(len(self.langs))
+        rows, times = [], []
         for word, n in found.items():
-            known = self.words.get(word)
-            if known is None:
-                known = self.unseen.get(word)
-                if known is None:
-                    known = self.backoff(word)
-                    if len(self.unseen) >= CACHE:
-                        self.unseen.clear()
-                    self.unseen[word] = known
-            out += n * known
-        return out
+            row = self.words.get(word)
+            if row is not None:
+                rows.append(row)
+                times.append(n)
+            else:
+                parts = self.backoff(word)
+                rows += parts
+                times += [n] * len(parts)
+        return np.array(times, float) @ self.logs[rows]
 
 
-def _logs(rows, langs: list[str], totals: np.ndarray) -> dict[str, np.ndarray]:
-    at = {lang: i for i, lang in enumerate(langs)}
-    out: dict[str, np.ndarray] = {}
-    for item, by_lang in rows:
-        counts = np.full(len(langs), SMOOTH)
-        for lang, n in by_lang.items():
-            counts[at[lang]] += n
-        out[item] = np.log(counts / (totals + SMOOTH))
-    return out
+def _logs(table: pa.Table, langs: list[str], totals: dict[str, int]) -> tuple[list[str], np.ndarray]:
+    """Items of (item, lang, n) in order and their log frequencies, a row each."""
+    items = table.column(0).to_pylist()
+    at = {item: i for i, item in enumerate(sorted(set(items)))}
+    column = {lang: i for i, lang in enumerate(langs)}
+    counts = np.full((len(at), len(langs)), SMOOTH)
+    for item, lang, n in zip(items, table.column(1).to_pylist(), table.column(2).to_pylist()):
+        counts[at[item], column[lang]] += n
+    return list(at), np.log(counts / (np.array([totals.get(x, 0) for x in langs], float) + SMOOTH))
 
 
 def train(docs: DataFrame) -> Model:
@@ -119,14 +119,13 @@ def train(docs: DataFrame) -> Model:
     totals = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(totals)
 
-    def top(rows: DataFrame, item: str, limit: int):
+    def top(rows: DataFrame, item: str, limit: int) -> pa.Table:
         best = rows.groupBy(item).agg(F.sum("n").alias("all")).orderBy(F.desc("all"), item).limit(limit).select(item)
-        kept = rows.join(F.broadcast(best), item).groupBy(item).agg(
-            F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-        return [(r[0], r["by"]) for r in kept.collect()]
-    words = top(counts, "word", WORDS)
+        return rows.join(F.broadcast(best), item).select(item, "lang", "n").toArrow()
+    words, word_logs = _logs(top(counts, "word", WORDS), langs, totals)
     marked = F.concat(F.lit("<"), F.col("word"), F.lit(">"))
-    grams: dict[str, np.ndarray] = {}
+    grams: list[str] = []
+    logs = [word_logs]
     for size in range(1, LONGEST + 1):
         places = F.sequence(F.lit(1), F.greatest(F.length("marked") - size + 1, F.lit(1)))
         rows = (counts.withColumn("marked", marked).select("lang", "marked", "n", F.explode(places).alias("at"))
@@ -134,15 +133,17 @@ def train(docs: DataFrame) -> Model:
                 .where(F.length("gram") == size).groupBy("lang", "gram").agg(F.sum("n").alias("n")))
         rows = tables.put(rows, f"grams-{size}")
         sums = {r.lang: r.n for r in rows.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-        grams |= _logs(top(rows, "gram", GRAMS), langs, np.array([sums.get(x, 0) for x in langs], float))
+        names, gram_logs = _logs(top(rows, "gram", GRAMS), langs, sums)
+        grams += names
+        logs.append(gram_logs)
         tables.drop(f"grams-{size}")
     tables.drop("counts")
-    return Model(langs, _logs(words, langs, np.array([totals[x] for x in langs], float)), grams)
+    return Model(langs, words, grams, np.concatenate([*logs, np.full((1, len(langs)), UNSEEN)]))
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """Rows (doc_id, lang_pred, score), one per row of ``docs``; score is the language's share of belief."""
-    sent = docs.sparkSession.sparkContext.broadcast((model.langs, model.words, model.grams))
+    sent = docs.sparkSession.sparkContext.broadcast((model.langs, list(model.words), list(model.grams), model.logs))
 
     def run(batches):
         own = Model(*sent.value)
