@@ -70,4 +70,20 @@ QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination, op2_warc, op3_quality_rules, op4_quality_classifier, op5_language_id, op6_bpe,
     op7_license_scan, op8_minhash_forest, op9_secret_scan, op10_suffix_dedup)}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    # 40 hexadecimal digits of SHA-1 are eight groups of 20 bits, so of four base32 characters
+    "op2_warc": """
+        WITH records AS (
+            SELECT CAST(page_id AS BIGINT) AS page_id, encode(coalesce(html, '')) AS payload FROM pages),
+        digests AS (
+            SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex,
+                   max(page_id) OVER (PARTITION BY sha1(payload)) AS newest
+            FROM records)
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+               array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+                   (CAST('0x' || substr(hex, 5 * CAST(k // 4 AS INTEGER) + 1, 5) AS BIGINT)
+                    >> CAST(15 - 5 * (k % 4) AS INTEGER)) & 31 AS INTEGER) + 1, 1)), '') AS payload_digest,
+               CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id = newest THEN NULL ELSE newest END AS refers_to
+        FROM digests""",
+}
