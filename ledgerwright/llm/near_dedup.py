@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops
-from .common import Tables, components
+from .common import Tables, bounded, components
 
 VALUES = 64                    # MinHash values of a signature
 TREES = 16                     # orders of the signature
@@ -115,60 +115,77 @@ def _ordered(pairs: DataFrame) -> DataFrame:
             .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct())
 
 
+def crowded(tables: Tables, rows: DataFrame, key: str, name: str) -> DataFrame:
+    """Regions (key, n) of more than ``REGION`` documents: few against ``rows``, so broadcast within the bound."""
+    sizes = rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > REGION)
+    return bounded(tables.put(sizes, name))
+
+
+def neighbours(small: DataFrame, depth: int) -> DataFrame:
+    """Longest-common-prefix neighbours within regions of at most ``REGION`` documents."""
+    deeper = [f"k{d}" for d in range(depth + 1, len(DEPTHS))]
+    region = F.sort_array(F.collect_list(F.struct(*deeper, "doc", "bits")))
+    return (small.groupBy(f"k{depth}").agg(region.alias("region")).where(F.size("region") > 1)
+            .select("region", F.explode(F.sequence(F.lit(0), F.size("region") - 2)).alias("i"))
+            .select(F.element_at("region", F.col("i") + 1).alias("x"),
+                    F.explode(F.slice("region", F.col("i") + 2, F.lit(NEIGHBOURS))).alias("y"))
+            .select(F.col("x.doc").alias("p"), F.col("x.bits").alias("pb"),
+                    F.col("y.doc").alias("q"), F.col("y.bits").alias("qb")))
+
+
 def candidates(tables: Tables, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct pairs (a < b) of classes: with pivots of the largest regions, and all others.
 
-    Documents of regions that were too large at the first prefix are ordered
-    ``MORE_TREES`` further times, so that members of a large family which link to
-    few others still meet them.
+    All documents meet their neighbours in ``TREES`` orders at the first prefix.
+    Those of a region too large there are dense: they alone go on to deeper prefixes,
+    in ``MORE_TREES`` further orders too, so that members of a large family which
+    link to few others still meet them. All members of a large region are dense, so
+    its parts are whole there.
     """
-    star, found, dense = forest(tables, classes, range(TREES), "first")
-    dense = classes.join(dense, "doc", "left_semi")
-    more_star, more, _ = forest(tables, dense, range(TREES, TREES + MORE_TREES), "more")
-    out = more_star
-    for part in found + more:
+    rows = labels(classes, range(TREES))
+    large = crowded(tables, rows, "k0", "crowded")
+    found = [tables.put(_ordered(neighbours(rows.join(large, "k0", "left_anti"), 0)), "pairs-first")]
+    dense = tables.put(rows.join(large, "k0", "left_semi").select("doc").distinct(), "dense")
+    if dense.isEmpty():
+        return tables.spark.createDataFrame([], "a long, b long"), found[0]
+    star, more = forest(tables, classes.join(dense, "doc", "left_semi"), range(TREES + MORE_TREES))
+    out = found[0]
+    for part in more:
         out = out.union(part)
-    return star, tables.put(out.distinct(), "pairs")
+    pairs = tables.put(out.distinct(), "pairs")
+    tables.drop("pairs-first", "crowded", "dense", *(f"pairs-{d}" for d in range(len(DEPTHS))))
+    return star, pairs
 
 
-def forest(tables: Tables, classes: DataFrame, orders: range, name: str) -> tuple[DataFrame, list[DataFrame], DataFrame]:
-    """Pivot pairs at the first prefix, all other pairs by prefix length, and the documents of regions too large
-    at the first."""
-    rows = labels(classes, orders)
-    found = []
-    central = dense = None
-    last = len(DEPTHS) - 1
+def forest(tables: Tables, classes: DataFrame, orders: range) -> tuple[DataFrame, list[DataFrame]]:
+    """Pivot pairs at the first prefix, and all other pairs by prefix."""
+    rows = tables.put(labels(classes, orders), "rows-0")
+    star, found = None, []
     for d in range(len(DEPTHS)):
         key = f"k{d}"
-        counts = tables.put(rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1"), f"{name}-counts-{d}")
-        rows = tables.put(rows.drop("n").join(counts, key), f"{name}-rows-{d}")
-        tables.drop(f"{name}-counts-{d}", f"{name}-rows-{d - 1}")
-        small, large = rows.where(F.col("n") <= REGION), rows.where(F.col("n") > REGION)
-        if central is None:
-            central = tables.put(rows.groupBy("doc").agg(F.sum("n").alias("weight")), f"{name}-central")
-            dense = tables.put(large.select("doc").distinct(), f"{name}-dense")
-        deeper = [f"k{x}" for x in range(d + 1, len(DEPTHS))]
-        region = F.sort_array(F.collect_list(F.struct(*deeper, "doc", "bits")))  # at most REGION entries
-        pairs = (small.groupBy(key).agg(region.alias("region"))
-                 .select("region", F.explode(F.sequence(F.lit(0), F.size("region") - 2)).alias("i"))
-                 .select(F.element_at("region", F.col("i") + 1).alias("x"),
-                         F.explode(F.slice("region", F.col("i") + 2, F.lit(NEIGHBOURS))).alias("y"))
-                 .select(F.col("x.doc").alias("p"), F.col("x.bits").alias("pb"),
-                         F.col("y.doc").alias("q"), F.col("y.bits").alias("qb")))
+        regions = crowded(tables, rows, key, f"crowded-{d}")
+        pairs = neighbours(rows.join(regions, key, "left_anti"), d)
+        large = rows.join(regions, key, "left_semi")
+        if d == 0:
+            weights = rows.join(regions, key).groupBy("doc").agg(F.sum("n").alias("weight"))
+            large = large.join(bounded(tables.put(weights, "weights")), "doc")
+        large = tables.put(large, f"rows-{d + 1}")
+        if large.isEmpty():
+            found.append(tables.put(_ordered(pairs), f"pairs-{d}"))
+            break
         pivots = tables.put(
-            large.join(central, "doc").groupBy(key, F.pmod(F.xxhash64("doc"), F.lit(PIVOTS)).alias("class"))
-            .agg(F.max_by(F.struct("doc", "bits"), F.struct("weight", "doc")).alias("pivot")), f"{name}-pivots-{d}")
-        star = large.join(pivots, key).select(F.col("doc").alias("p"), F.col("bits").alias("pb"),
-                                              F.col("pivot.doc").alias("q"), F.col("pivot.bits").alias("qb"))
+            large.groupBy(key, F.pmod(F.xxhash64("doc"), F.lit(PIVOTS)).alias("class"))
+            .agg(F.max_by(F.struct("doc", "bits"), F.struct("weight", "doc")).alias("pivot")), f"pivots-{d}")
+        met = large.join(bounded(pivots), key).select(F.col("doc").alias("p"), F.col("bits").alias("pb"),
+                                                      F.col("pivot.doc").alias("q"), F.col("pivot.bits").alias("qb"))
         if d == 0:
-            first = tables.put(_ordered(star), f"{name}-star")
-            found.append(tables.put(_ordered(pairs), f"{name}-pairs-{d}"))
+            star = tables.put(_ordered(met), "star")
+            found.append(tables.put(_ordered(pairs), f"pairs-{d}"))
         else:
-            found.append(tables.put(_ordered(pairs.union(star)), f"{name}-pairs-{d}"))
-        if d == last or large.isEmpty():
-            break
+            found.append(tables.put(_ordered(pairs.union(met)), f"pairs-{d}"))
+        tables.drop(f"rows-{d}", f"crowded-{d}", f"pivots-{d}")
         rows = large
-    return first, found, dense
+    return star, found
 
 
 def full_sets(docs: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
@@ -227,10 +244,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     copies = (filled.join(classes.select("digest", "doc"), "digest").where("doc_id <> doc")
               .select(F.col("doc_id").alias("a"), F.col("doc").alias("b")))
     labelled = components(tables, links.union(copies), "components")
-    tables.drop("pairs", "rest", "sets", "classes",
-                *(f"{t}-{n}" for t in ("first", "more") for n in ("central", "dense", "star")),
-                *(f"{t}-{n}-{d}" for t in ("first", "more") for n in ("rows", "pairs", "pivots")
-                  for d in range(len(DEPTHS))))
+    tables.drop("pairs", "pairs-first", "star", "weights", "rest", "sets", "classes", "star-links", "links",
+                *(f"{t}-{d}" for t in ("rows", "crowded", "pivots") for d in range(len(DEPTHS) + 1)))
     return (sketches.select("doc_id", "n_shingles")
             .join(labelled.withColumnRenamed("node", "doc_id"), "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
