@@ -24,6 +24,7 @@ the input are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ DEPTHS = (3, 6, 10, 16, 48)    # label prefixes at which a region may end
 REGION = 64                    # a larger region is split by the next prefix
 NEIGHBOURS = 24                # longest-common-prefix neighbours of a document in a region
 PIVOTS = 3                     # central documents that all of a large region meet
-MAX_BIT_GAP = 20               # of 64 one-bit values: 6.6 sigma from 0.8, so no real link is lost
+LOSS = 1e-6                    # chance that the sketch test loses a pair just at the threshold
 
 _rng = np.random.default_rng(8)
 _MULTIPLIERS = _rng.integers(0, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -83,8 +84,9 @@ def sketch(docs: DataFrame, size: int) -> DataFrame:
 
 
 def labels(classes: DataFrame, orders: range) -> DataFrame:
-    """One row per class and order of ``orders``: doc, 64 one-bit values, a key per label prefix."""
-    names = ["doc", "bits", *(f"k{d}" for d in range(len(DEPTHS)))]
+    """One row per class and order of ``orders``: doc, its sketch (set size, 64 two-bit values), a key per prefix."""
+    names = ["doc", "about", *(f"k{d}" for d in range(len(DEPTHS)))]
+    planes = ["size", "low", "high"]
 
     def run(batches):
         for batch in batches:
@@ -92,7 +94,8 @@ def labels(classes: DataFrame, orders: range) -> DataFrame:
             if not n:
                 continue
             sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), dtype=np.uint32).reshape(n, VALUES)
-            bits = np.packbits((sig & 1).astype(bool), axis=1).view(np.int64).ravel()
+            low, high = (np.packbits((sig & bit).astype(bool), axis=1).view(np.int64).ravel() for bit in (1, 2))
+            about = pa.StructArray.from_arrays([batch.column("size"), pa.array(low), pa.array(high)], planes)
             doc = batch.column("doc").to_numpy(zero_copy_only=False)
             for tree in orders:
                 key = np.full(n, tree + 1, dtype=np.uint64)
@@ -101,17 +104,26 @@ def labels(classes: DataFrame, orders: range) -> DataFrame:
                     key = textops.mix(key * np.uint64(0x2545F4914F6CDD1D) + sig[:, position])
                     if depth in DEPTHS:
                         keys.append(key.view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc, bits, *keys)], names)
-    return classes.select("doc", "sig").mapInArrow(run, ", ".join(f"{n} long" for n in names))
-
-
-def _near(bits: str, other: str):
-    return F.bit_count(F.col(bits).bitwiseXOR(F.col(other))) <= MAX_BIT_GAP
-
-
-def _ordered(pairs: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) whose one-bit values leave a link possible."""
-    return (pairs.where("p <> q").where(_near("pb", "qb"))
+                yield pa.RecordBatch.from_arrays([pa.array(doc), about, *map(pa.array, keys)], names)
+    return classes.select("doc", "size", "sig").mapInArrow(
+        run, "doc long, about struct<size long, low long, high long>, " + ", ".join(f"{n} long" for n in names[2:]))
+
+
+def max_gap(percent: int) -> int:
+    """Most two-bit values that may differ: a pair at the threshold exceeds it with a chance below ``LOSS``."""
+    q = (1 - percent / 100) * 3 / 4  # unlike values agree in two bits by a chance of a quarter
+    tail, gap = 1.0, -1
+    while tail >= LOSS and gap < VALUES:
+        gap += 1
+        tail -= math.comb(VALUES, gap) * q ** gap * (1 - q) ** (VALUES - gap)
+    return gap
+
+
+def _ordered(pairs: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a < b) whose set sizes and two-bit values leave a link possible."""
+    small, large = F.least("pa.size", "qa.size"), F.greatest("pa.size", "qa.size")
+    unlike = F.col("pa.low").bitwiseXOR(F.col("qa.low")).bitwiseOR(F.col("pa.high").bitwiseXOR(F.col("qa.high")))
+    return (pairs.where("p <> q").where((100 * small >= percent * large) & (F.bit_count(unlike) <= max_gap(percent)))
             .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct())
 
 
@@ -124,16 +136,16 @@ def crowded(tables: Tables, rows: DataFrame, key: str, name: str) -> DataFrame:
 def neighbours(small: DataFrame, depth: int) -> DataFrame:
     """Longest-common-prefix neighbours within regions of at most ``REGION`` documents."""
     deeper = [f"k{d}" for d in range(depth + 1, len(DEPTHS))]
-    region = F.sort_array(F.collect_list(F.struct(*deeper, "doc", "bits")))
+    region = F.sort_array(F.collect_list(F.struct(*deeper, "doc", "about")))
     return (small.groupBy(f"k{depth}").agg(region.alias("region")).where(F.size("region") > 1)
             .select("region", F.explode(F.sequence(F.lit(0), F.size("region") - 2)).alias("i"))
             .select(F.element_at("region", F.col("i") + 1).alias("x"),
                     F.explode(F.slice("region", F.col("i") + 2, F.lit(NEIGHBOURS))).alias("y"))
-            .select(F.col("x.doc").alias("p"), F.col("x.bits").alias("pb"),
-                    F.col("y.doc").alias("q"), F.col("y.bits").alias("qb")))
+            .select(F.col("x.doc").alias("p"), F.col("x.about").alias("pa"),
+                    F.col("y.doc").alias("q"), F.col("y.about").alias("qa")))
 
 
-def candidates(tables: Tables, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def candidates(tables: Tables, classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Distinct pairs (a < b) of classes: with pivots of the largest regions, and all others.
 
     All documents meet their neighbours in ``TREES`` orders at the first prefix.
@@ -144,11 +156,11 @@ def candidates(tables: Tables, classes: DataFrame) -> tuple[DataFrame, DataFrame
     """
     rows = labels(classes, range(TREES))
     large = crowded(tables, rows, "k0", "crowded")
-    found = [tables.put(_ordered(neighbours(rows.join(large, "k0", "left_anti"), 0)), "pairs-first")]
+    found = [tables.put(_ordered(neighbours(rows.join(large, "k0", "left_anti"), 0), percent), "pairs-first")]
     dense = tables.put(rows.join(large, "k0", "left_semi").select("doc").distinct(), "dense")
     if dense.isEmpty():
         return tables.spark.createDataFrame([], "a long, b long"), found[0]
-    star, more = forest(tables, classes.join(dense, "doc", "left_semi"), range(TREES + MORE_TREES))
+    star, more = forest(tables, classes.join(dense, "doc", "left_semi"), range(TREES + MORE_TREES), percent)
     out = found[0]
     for part in more:
         out = out.union(part)
@@ -157,7 +169,7 @@ def candidates(tables: Tables, classes: DataFrame) -> tuple[DataFrame, DataFrame
     return star, pairs
 
 
-def forest(tables: Tables, classes: DataFrame, orders: range) -> tuple[DataFrame, list[DataFrame]]:
+def forest(tables: Tables, classes: DataFrame, orders: range, percent: int) -> tuple[DataFrame, list[DataFrame]]:
     """Pivot pairs at the first prefix, and all other pairs by prefix."""
     rows = tables.put(labels(classes, orders), "rows-0")
     star, found = None, []
@@ -171,18 +183,22 @@ def forest(tables: Tables, classes: DataFrame, orders: range) -> tuple[DataFrame
             large = large.join(bounded(tables.put(weights, "weights")), "doc")
         large = tables.put(large, f"rows-{d + 1}")
         if large.isEmpty():
-            found.append(tables.put(_ordered(pairs), f"pairs-{d}"))
+            found.append(tables.put(_ordered(pairs, percent), f"pairs-{d}"))
             break
         pivots = tables.put(
             large.groupBy(key, F.pmod(F.xxhash64("doc"), F.lit(PIVOTS)).alias("class"))
-            .agg(F.max_by(F.struct("doc", "bits"), F.struct("weight", "doc")).alias("pivot")), f"pivots-{d}")
-        met = large.join(bounded(pivots), key).select(F.col("doc").alias("p"), F.col("bits").alias("pb"),
-                                                      F.col("pivot.doc").alias("q"), F.col("pivot.bits").alias("qb"))
+            .agg(F.max_by(F.struct("doc", "about"), F.struct("weight", "doc")).alias("pivot")), f"pivots-{d}")
+        # a document's pivots over all orders are mostly the same few, so they are gathered before pairs are made
+        met = (large.join(bounded(pivots.groupBy(key).agg(F.collect_list("pivot").alias("pivots"))), key)
+               .groupBy("doc").agg(F.first("about").alias("about"), F.collect_set("pivots").alias("pivots"))
+               .select("doc", "about", F.explode(F.array_distinct(F.flatten("pivots"))).alias("pivot"))
+               .select(F.col("doc").alias("p"), F.col("about").alias("pa"),
+                       F.col("pivot.doc").alias("q"), F.col("pivot.about").alias("qa")))
         if d == 0:
-            star = tables.put(_ordered(met), "star")
-            found.append(tables.put(_ordered(pairs), f"pairs-{d}"))
+            star = tables.put(_ordered(met, percent), "star")
+            found.append(tables.put(_ordered(pairs, percent), f"pairs-{d}"))
         else:
-            found.append(tables.put(_ordered(pairs.union(met)), f"pairs-{d}"))
+            found.append(tables.put(_ordered(pairs.union(met), percent), f"pairs-{d}"))
         tables.drop(f"rows-{d}", f"crowded-{d}", f"pivots-{d}")
         rows = large
     return star, found
@@ -229,9 +245,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     tables = Tables(docs.sparkSession, "near-dedup")
     sketches = tables.put(sketch(docs, shingle), "sketches")
     filled = sketches.where("n_shingles > 0 and doc_id is not null")
-    classes = tables.put(filled.groupBy("digest").agg(F.min("doc_id").alias("doc"), F.max("sig").alias("sig")),
-                         "classes")
-    star, pairs = candidates(tables, classes)
+    classes = tables.put(filled.groupBy("digest").agg(F.min("doc_id").alias("doc"), F.max("sig").alias("sig"),
+                                                           F.max("n_shingles").alias("size")), "classes")
+    star, pairs = candidates(tables, classes, percent)
     sets = tables.put(full_sets(docs, star.union(pairs), shingle), "sets")
     near = tables.put(confirm(star, sets, percent), "star-links")
     joined = components(tables, near, "star-components")
