@@ -231,8 +231,10 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 common = int((joined[1:] == joined[:-1]).sum())
                 keep.append(100 * common >= percent * (len(joined) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-    return (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x")), "a")
-            .join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y")), "b")
+    def named(side: str, items: str) -> DataFrame:  # only the sets that this side names are shuffled
+        return (sets.select(F.col("doc_id").alias(side), F.col("items").alias(items))
+                .join(bounded(pairs.select(side).distinct()), side, "left_semi"))
+    return (pairs.join(named("a", "x"), "a").join(named("b", "y"), "b")
             .select("a", "b", "x", "y").mapInArrow(test, "a long, b long"))
 
 
