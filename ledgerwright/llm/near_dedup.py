@@ -15,6 +15,14 @@ ever gathered. Pairs with pivots are confirmed on the full sets first; of the ot
 candidates only those between different components are left to confirm. Links become
 connected components.
 
+Neighbours and pivots alone would lose links inside a crowd of similar documents, so
+the dense documents (members of a region that is too large) also have an exact search:
+a prefix-filter join. Shingles have one order, rare ones first; two documents at the
+threshold share one within the first ``n - ceil(percent * n / 100) + 1`` of each. Pairs
+that share such a shingle pass only if their sizes, the places of the shingle and the
+parities of both sets leave a link possible; all three are bounds that lose no link.
+A shingle of many documents is dealt out over pairs of blocks.
+
 Defined cases: a null or word-less text has an empty set and no links; rows that
 share a doc_id are one node (each row is returned); rows with a null doc_id are
 never linked and are kept; an empty table gives an empty result; other columns of
@@ -37,10 +45,13 @@ from .common import Tables, bounded, components
 VALUES = 64                    # MinHash values of a signature
 TREES = 16                     # orders of the signature
 MORE_TREES = 48                # further orders for documents of regions that were too large
-DEPTHS = (3, 6, 10, 16, 48)    # label prefixes at which a region may end
+DEPTHS = (3, 6, 9, 13, 18, 26, 48)    # label prefixes at which a region may end
 REGION = 64                    # a larger region is split by the next prefix
-NEIGHBOURS = 24                # longest-common-prefix neighbours of a document in a region
+NEIGHBOURS = 24                # longest-common-prefix neighbours of a dense document in a region of the forest
 PIVOTS = 3                     # central documents that all of a large region meet
+BUCKETS = 1 << 20              # counters of the order of shingles
+BLOCK = 512                    # documents of a shingle that are compared in one place
+PARITIES = 512                 # bits of a set's parities
 LOSS = 1e-6                    # chance that the sketch test loses a pair just at the threshold
 
 _rng = np.random.default_rng(8)
@@ -133,40 +144,40 @@ def crowded(tables: Tables, rows: DataFrame, key: str, name: str) -> DataFrame:
     return bounded(tables.put(sizes, name))
 
 
-def neighbours(small: DataFrame, depth: int) -> DataFrame:
-    """Longest-common-prefix neighbours within regions of at most ``REGION`` documents."""
+def neighbours(small: DataFrame, depth: int, partners: int) -> DataFrame:
+    """Longest-common-prefix neighbours, ``partners`` a document, within regions of at most ``REGION`` documents."""
     deeper = [f"k{d}" for d in range(depth + 1, len(DEPTHS))]
     region = F.sort_array(F.collect_list(F.struct(*deeper, "doc", "about")))
     return (small.groupBy(f"k{depth}").agg(region.alias("region")).where(F.size("region") > 1)
             .select("region", F.explode(F.sequence(F.lit(0), F.size("region") - 2)).alias("i"))
             .select(F.element_at("region", F.col("i") + 1).alias("x"),
-                    F.explode(F.slice("region", F.col("i") + 2, F.lit(NEIGHBOURS))).alias("y"))
+                    F.explode(F.slice("region", F.col("i") + 2, F.lit(partners))).alias("y"))
             .select(F.col("x.doc").alias("p"), F.col("x.about").alias("pa"),
                     F.col("y.doc").alias("q"), F.col("y.about").alias("qa")))
 
 
-def candidates(tables: Tables, classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Distinct pairs (a < b) of classes: with pivots of the largest regions, and all others.
+def candidates(tables: Tables, classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Distinct pairs (a < b) of classes: with pivots of the largest regions, and all others; the dense documents.
 
-    All documents meet their neighbours in ``TREES`` orders at the first prefix.
+    All documents meet all others of their regions in ``TREES`` orders at the first prefix.
     Those of a region too large there are dense: they alone go on to deeper prefixes,
     in ``MORE_TREES`` further orders too, so that members of a large family which
     link to few others still meet them. All members of a large region are dense, so
-    its parts are whole there.
+    its parts are whole there. The table of dense documents stays for ``dense_pairs``.
     """
     rows = labels(classes, range(TREES))
     large = crowded(tables, rows, "k0", "crowded")
-    found = [tables.put(_ordered(neighbours(rows.join(large, "k0", "left_anti"), 0), percent), "pairs-first")]
+    found = [tables.put(_ordered(neighbours(rows.join(large, "k0", "left_anti"), 0, REGION), percent), "pairs-first")]
     dense = tables.put(rows.join(large, "k0", "left_semi").select("doc").distinct(), "dense")
     if dense.isEmpty():
-        return tables.spark.createDataFrame([], "a long, b long"), found[0]
+        return tables.spark.createDataFrame([], "a long, b long"), found[0], dense
     star, more = forest(tables, classes.join(dense, "doc", "left_semi"), range(TREES + MORE_TREES), percent)
     out = found[0]
     for part in more:
         out = out.union(part)
     pairs = tables.put(out.distinct(), "pairs")
-    tables.drop("pairs-first", "crowded", "dense", *(f"pairs-{d}" for d in range(len(DEPTHS))))
-    return star, pairs
+    tables.drop("pairs-first", "crowded", *(f"pairs-{d}" for d in range(len(DEPTHS))))
+    return star, pairs, dense
 
 
 def forest(tables: Tables, classes: DataFrame, orders: range, percent: int) -> tuple[DataFrame, list[DataFrame]]:
@@ -176,7 +187,7 @@ def forest(tables: Tables, classes: DataFrame, orders: range, percent: int) -> t
     for d in range(len(DEPTHS)):
         key = f"k{d}"
         regions = crowded(tables, rows, key, f"crowded-{d}")
-        pairs = neighbours(rows.join(regions, key, "left_anti"), d)
+        pairs = neighbours(rows.join(regions, key, "left_anti"), d, NEIGHBOURS)
         large = rows.join(regions, key, "left_semi")
         if d == 0:
             weights = rows.join(regions, key).groupBy("doc").agg(F.sum("n").alias("weight"))
@@ -217,6 +228,122 @@ def full_sets(docs: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
             .mapInArrow(full, "doc_id long, items binary"))
 
 
+def rarity(sets: DataFrame) -> np.ndarray:
+    """Documents that hold a shingle, counted by the lowest bits of its hash: a fixed number of counters."""
+    def count(batches):
+        total = np.zeros(BUCKETS, dtype=np.int64)
+        for batch in batches:
+            for items in batch.column("items"):
+                np.add.at(total, np.frombuffer(items.as_py(), dtype=np.uint64) % np.uint64(BUCKETS), 1)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["bucket", "n"])
+    counted = sets.select("items").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    found = counted.toArrow()
+    out = np.zeros(BUCKETS, dtype=np.int64)
+    out[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
+    return out
+
+
+def _parities(values: np.ndarray) -> bytes:
+    """A bit per counter of shingles, set where odd: two sets differ in as many shingles as bits, or more."""
+    odd = np.bincount((values >> np.uint64(32)) % np.uint64(PARITIES), minlength=PARITIES) % 2
+    return np.packbits(odd.astype(bool)).tobytes()
+
+
+def heads(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+    """Rows (token, doc, component, size, left, parities): the rarest shingles of each set that others may hold too.
+
+    ``left`` is the number of shingles from this one to the last in the order.
+    """
+    shared = sets.sparkSession.sparkContext.broadcast(counts)
+
+    def table(found):
+        token, doc, component, size, left, parities = zip(*found)
+        times = [len(t) for t in token]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(token)), *(pa.array(np.repeat(v, times)) for v in (doc, component, size)),
+             pa.array(np.concatenate(left)), pa.array([p for p, k in zip(parities, times) for _ in range(k)], pa.binary())],
+            ["token", "doc", "component", "size", "left", "parities"])
+
+    def run(batches):
+        for batch in batches:
+            found = []
+            for doc, component, items in zip(*(batch.column(c) for c in ("doc_id", "component", "items"))):
+                values = np.frombuffer(items.as_py(), dtype=np.uint64)
+                n = len(values)
+                often = shared.value[values % np.uint64(BUCKETS)]
+                first = np.lexsort((values, often))[:n - (percent * n + 99) // 100 + 1]
+                place = np.flatnonzero(often[first] > 1)  # a counter of one is a shingle of this document alone
+                found.append((values[first[place]].view(np.int64), doc.as_py(), component.as_py(), n, n - place,
+                              _parities(values)))
+                if sum(len(f[0]) for f in found) >= 1 << 14 or len(found) >= 256:
+                    yield table(found)
+                    found = []
+            if found:
+                yield table(found)
+    return sets.mapInArrow(
+        run, "token long, doc long, component long, size long, left long, parities binary")
+
+
+def _meet(cell: dict, percent: int, across: bool):
+    """Pairs of documents of one cell whose sizes, places and parities leave a link possible."""
+    doc, component, size, left, block = (cell[c] for c in ("doc", "component", "size", "left", "block"))
+    if len(doc) < 2 or (component == component[0]).all():
+        return
+    for at in range(0, len(doc), 256):
+        rows = slice(at, at + 256)
+        total = size[rows, None] + size
+        may = ((component[rows, None] != component) & (doc[rows, None] < doc)
+               & ((100 + percent) * np.minimum(left[rows, None], left) >= percent * total)
+               & (100 * np.minimum(size[rows, None], size) >= percent * np.maximum(size[rows, None], size)))
+        if across:
+            may &= block[rows, None] != block
+        x, y = np.nonzero(may)
+        for k in range(0, len(x), 1 << 16):
+            p, q = x[k:k + (1 << 16)] + at, y[k:k + (1 << 16)]
+            unlike = np.bitwise_count(cell["parities"][p] ^ cell["parities"][q]).sum(axis=1, dtype=np.int64)
+            both = size[p] + size[q]  # unlike <= both - 2 * common, and a link has (100 + percent) * common >= percent * both
+            keep = (100 + percent) * (both - unlike) >= 2 * percent * both
+            if keep.any():
+                yield doc[p[keep]], doc[q[keep]]
+
+
+def dense_pairs(tables: Tables, sets: DataFrame, dense: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a < b) of dense documents of different components: all that may be linked, found exactly."""
+    members = (sets.join(dense.withColumnRenamed("doc", "doc_id"), "doc_id", "left_semi")
+               .join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+               .select("doc_id", F.coalesce("component", "doc_id").alias("component"), "items"))
+    rows = heads(members, rarity(members), percent)
+    hot = rows.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
+    hot = tables.put(hot.select("token", F.ceil(F.col("n") / BLOCK).alias("blocks")), "hot")
+    block = F.pmod(F.xxhash64("doc"), F.col("blocks"))
+    dealt = (rows.join(bounded(hot), "token", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+             .withColumn("block", block)
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
+    cells = (dealt.groupBy("token", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+             .agg(F.collect_list(F.struct("doc", "component", "size", "left", "block", "parities")).alias("cell"))
+             .where(F.size("cell") > 1))
+
+    def run(batches):
+        for batch in batches:
+            found, n = [], 0
+            for across, cell in zip(batch.column("across"), batch.column("cell")):
+                fields = cell.values.flatten()
+                names = [f.name for f in cell.values.type]
+                known = {c: v.to_numpy() for c, v in zip(names[:-1], fields)}
+                known["parities"] = np.frombuffer(b"".join(fields[-1].to_pylist()), np.uint64).reshape(len(cell), -1)
+                for pair in _meet(known, percent, across.as_py()):
+                    found.append(pair)
+                    n += len(pair[0])
+                    if n >= 1 << 18:
+                        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in zip(*found)], ["a", "b"])
+                        found, n = [], 0
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in zip(*found)], ["a", "b"])
+    return (cells.select((F.col("low") != F.col("high")).alias("across"), "cell")
+            .mapInArrow(run, "a long, b long").distinct())
+
+
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets meet ``100 * intersection >= percent * union``."""
     def test(batches):
@@ -249,20 +376,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     filled = sketches.where("n_shingles > 0 and doc_id is not null")
     classes = tables.put(filled.groupBy("digest").agg(F.min("doc_id").alias("doc"), F.max("sig").alias("sig"),
                                                            F.max("n_shingles").alias("size")), "classes")
-    star, pairs = candidates(tables, classes, percent)
-    sets = tables.put(full_sets(docs, star.union(pairs), shingle), "sets")
+    star, pairs, dense = candidates(tables, classes, percent)
+    named = star.union(pairs).union(dense.select("doc", "doc"))
+    sets = tables.put(full_sets(docs, named, shingle), "sets")
     near = tables.put(confirm(star, sets, percent), "star-links")
     joined = components(tables, near, "star-components")
     # a pair within one component can't change the components, so only the others are confirmed
     rest = (pairs.join(joined.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
             .join(joined.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
             .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
+    if not dense.isEmpty():
+        rest = rest.union(dense_pairs(tables, sets, dense, joined, percent)).distinct()
     rest = tables.put(rest, "rest")
     links = tables.put(near.union(confirm(rest, sets, percent)), "links")
     copies = (filled.join(classes.select("digest", "doc"), "digest").where("doc_id <> doc")
               .select(F.col("doc_id").alias("a"), F.col("doc").alias("b")))
     labelled = components(tables, links.union(copies), "components")
-    tables.drop("pairs", "pairs-first", "star", "weights", "rest", "sets", "classes", "star-links", "links",
+    tables.drop("pairs", "pairs-first", "dense", "hot", "star", "weights", "rest", "sets", "classes", "star-links", "links",
                 *(f"{t}-{d}" for t in ("rows", "crowded", "pivots") for d in range(len(DEPTHS) + 1)))
     return (sketches.select("doc_id", "n_shingles")
             .join(labelled.withColumnRenamed("node", "doc_id"), "doc_id", "left")

@@ -86,6 +86,45 @@ def test_near_duplicates_equal_brute_force(docs, empty):
     assert sorted(ids) == sorted(i for i in sets if root(i) == i)
 
 
+def _families():
+    """A family of 3000 edited copies (mean similarity about 0.7), and one of 1500 closer copies without their original."""
+    rng, rows = np.random.default_rng(11), []
+    for first, many, low, high in ((0, 3000, 1, 21), (3000, 1500, 3, 9)):
+        base = [f"w{first}x{k}" for k in range(202)]
+        for k in range(many):
+            words = list(base)
+            for place in rng.choice(len(base), rng.integers(low, high), replace=False):
+                words[place] = f"e{rng.integers(10**9)}"
+            rows.append((first + k, " ".join(words), None, None, 0, None))
+    return rows
+
+
+def test_dense_families_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 300)  # several blocks for a shingle of the base
+    rows = _families()
+    names, held = {}, []
+    for _, text, *_ in rows:
+        w = text.split()
+        held.append([names.setdefault(tuple(w[k:k + 3]), len(names)) for k in range(len(w) - 2)])
+    often = np.bincount(np.concatenate(held))
+    column = np.cumsum(often > 1) - 1
+    matrix = np.zeros((len(rows), column[-1] + 1), np.float32)
+    for i, h in enumerate(held):
+        matrix[i, column[[x for x in h if often[x] > 1]]] = 1
+    size = np.array([len(h) for h in held])
+    common = matrix @ matrix.T
+    linked = (100 * common >= 85 * (size[:, None] + size - common)) | np.eye(len(rows), dtype=bool)
+    want = np.arange(len(rows))
+    while True:
+        near = np.where(linked, want, len(rows)).min(axis=1)
+        if (near == want).all():
+            break
+        want = near
+    assert len(set(want)) > 100 and (np.bincount(want) > 100).any()
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, DOCS).repartition(4), 3, 85).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(want.tolist()))
+
+
 @pytest.mark.parametrize("bucket", [2000, 1])
 def test_suffix_dedup_equals_brute_force(docs, empty, monkeypatch, bucket):
     monkeypatch.setattr(suffix_dedup, "BUCKET", bucket)
