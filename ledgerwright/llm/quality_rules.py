@@ -3,9 +3,11 @@
 DataFrame functions only. Each text gives counts of words, symbols, repeated lines
 and repeated word windows; five transformed ratios of these form its vector. Per
 language and source the minimum-covariance-determinant estimate of location and
-scatter is found by concentration steps: from coordinate-wise medians and absolute
-deviations, the ``SHARE`` closest vectors give the next mean and covariance. Vectors
-whose squared Mahalanobis distance exceeds ``CUTOFF`` are rejected.
+scatter is found by concentration steps: the (n + p + 1) / 2 closest of n vectors give
+the next mean and covariance, until the determinant falls no further, as when the subset
+stays the same. Three starts are tried (medians and absolute deviations, shortest
+halves, covariance of spatial signs) and the estimate of smallest determinant is taken.
+Vectors whose squared Mahalanobis distance exceeds ``CUTOFF`` are rejected.
 
 Vectors are rounded to 1/256, so all sums are exact whole numbers and results do not
 depend on how rows are dealt out. Every aggregate is partial before its shuffle: a
@@ -19,7 +21,7 @@ each; an empty table gives an empty result; other columns are ignored by the sco
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Tables, bounded
@@ -29,8 +31,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 FEATURES = ("symbols", "word_length", "dup_lines", "repeats", "capitals")
 FLOORS = (0.5, 0.1, 0.75, 1.0, 0.5)   # smallest standard deviation of each, in its log unit
 UNIT = 256                            # vectors are whole multiples of 1/UNIT
-SHARE = 0.75                          # part of a group that an estimate rests on
-STEPS = 3                             # concentration steps
+QUANTILES = 20                        # steps between the quantiles that shortest halves are found by
 SMALLEST = 60                         # documents of a group with an estimate of its own
 CUTOFF = 50.0                         # squared distance beyond which a vector is rejected
 CHI_MEDIAN = 4.351                    # median of chi-square with five degrees of freedom
@@ -83,13 +84,18 @@ def _vector() -> dict[str, Column]:
     return {f"x{k}": F.round(x * UNIT).cast("long") for k, x in enumerate(raw)}
 
 
-def _inverse_columns(sums: DataFrame) -> DataFrame:
-    """Per group: means m0.. and the factors l_ij, v_i of its covariance, step by step as columns."""
+def _moments(sums: DataFrame) -> DataFrame:
+    """Means m0.. and covariances c_ij, with floors, of each row's sums."""
     p, n = len(FEATURES), F.col("n")
     out = sums.withColumns({f"m{i}": F.col(f"s{i}") / n for i in range(p)})
-    out = out.withColumns({f"c{i}{j}": (F.col(f"s{i}{j}") / n - F.col(f"m{i}") * F.col(f"m{j}"))
-                           + (F.lit((FLOORS[i] * UNIT) ** 2) if i == j else F.lit(0.0))
-                           for i in range(p) for j in range(i + 1)})
+    return out.withColumns({f"c{i}{j}": (F.col(f"s{i}{j}") / n - F.col(f"m{i}") * F.col(f"m{j}"))
+                            + (F.lit((FLOORS[i] * UNIT) ** 2) if i == j else F.lit(0.0))
+                            for i in range(p) for j in range(i + 1)})
+
+
+def _factors(out: DataFrame) -> DataFrame:
+    """Per group and start: means, the factors l_ij, v_i of the covariance, step by step as columns, and its log determinant."""
+    p = len(FEATURES)
     for i in range(p):
         out = out.withColumn(f"v{i}", F.col(f"c{i}{i}") - sum(
             (F.col(f"l{i}{k}") * F.col(f"l{i}{k}") * F.col(f"v{k}") for k in range(i)), F.lit(0.0)))
@@ -98,7 +104,7 @@ def _inverse_columns(sums: DataFrame) -> DataFrame:
                 (F.col(f"l{j}{k}") * F.col(f"l{i}{k}") * F.col(f"v{k}") for k in range(i)), F.lit(0.0))) / F.col(f"v{i}")
                 for j in range(i + 1, p)})
     keep = [f"m{i}" for i in range(p)] + [f"v{i}" for i in range(p)] + [f"l{j}{i}" for j in range(p) for i in range(j)]
-    return out.select("group", *keep)
+    return out.select("group", "start", "size", *keep, sum((F.log(f"v{i}") for i in range(p)), F.lit(0.0)).alias("det"))
 
 
 def _spread(rows: DataFrame) -> DataFrame:
@@ -115,6 +121,60 @@ def _rank(distance: Column) -> Column:
     return F.floor(1024 * F.log1p(distance))
 
 
+def _starts(tables: Tables, points: DataFrame) -> DataFrame:
+    """Rows (group, size, vector, start, d2): distances of all vectors by each of three first estimates."""
+    p = len(FEATURES)
+    xs = [f"x{i}" for i in range(p)]
+    steps = ", ".join(f"{k / QUANTILES}D" for k in range(QUANTILES + 1))
+    half = QUANTILES // 2
+    quantiles = points.groupBy("group").agg(
+        F.count("*").alias("size"), *(F.expr(f"percentile({x}, array({steps}))").alias(f"q{x}") for x in xs))
+    halves = {x: F.array_min(F.transform(F.sequence(F.lit(0), F.lit(half)), lambda k: F.struct(
+        (F.get(f"q{x}", k + half) - F.get(f"q{x}", k)).alias("long"), F.get(f"q{x}", k).alias("low")))) for x in xs}
+    quantiles = quantiles.withColumns({f"h{x}": halves[x] for x in xs})
+    centre = tables.put(quantiles.select("group", "size", *(F.get(f"q{x}", F.lit(half)).alias(f"e{x}") for x in xs),
+                                         *(F.col(f"h{x}.low").alias(f"low{x}") for x in xs),
+                                         *(F.col(f"h{x}.long").alias(f"long{x}") for x in xs)), "centre")
+    width = points.join(centre, "group").groupBy("group").agg(
+        *(F.expr(f"percentile(abs({x} - e{x}), 0.5)").alias(f"w{x}") for x in xs))
+    scales = {f"w{x}": F.greatest(1.4826 * F.col(f"w{x}"), F.lit(f * UNIT)) for x, f in zip(xs, FLOORS)}
+    centre = tables.put(centre.join(width.withColumns(scales), "group"), "width")
+    near = points.join(centre, "group").withColumns({f"z{i}": (F.col(x) - F.col(f"e{x}")) / F.col(f"w{x}")
+                                                     for i, x in enumerate(xs)})
+    near = near.withColumn("norm", sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(p)), F.lit(0.0)))
+    signs = {f"c{i}{j}": F.sum(F.round(F.when(F.col("norm") > 0, F.col(f"z{i}") * F.col(f"z{j}") / F.col("norm"))
+                                       .otherwise(0.0) * (1 << 20)).cast("long")) for i in range(p) for j in range(i + 1)}
+    signs = near.groupBy("group").agg(*(c.alias(k) for k, c in signs.items())).join(centre, "group")
+    signs = signs.withColumns({f"c{i}{j}": (F.col(f"c{i}{j}") / F.col("size") / (1 << 20) + (0.01 if i == j else 0.0))
+                               * F.col(f"w{xs[i]}") * F.col(f"w{xs[j]}") for i in range(p) for j in range(i + 1)})
+    signs = tables.put(_factors(signs.withColumns({"start": F.lit(2), **{f"m{i}": F.col(f"e{x}") for i, x in enumerate(xs)}})),
+                       "signs")
+    short = sum((F.pow((F.col(x) - F.col(f"low{x}") - F.col(f"long{x}") / 2)
+                       / F.greatest(F.col(f"long{x}") / 1.349, F.lit(f * UNIT)), 2) for x, f in zip(xs, FLOORS)), F.lit(0.0))
+    each = F.explode(F.array(F.struct(F.lit(0).alias("start"), F.col("norm").alias("d2")),
+                             F.struct(F.lit(1).alias("start"), short.alias("d2"))))
+    return near.select("group", "size", *xs, each.alias("e")).select("group", "size", *xs, "e.*").union(
+        _spread(points.join(signs, "group")).select("group", "size", *xs, "start", "d2"))
+
+
+def _concentrate(tables: Tables, near: DataFrame, name: str) -> DataFrame:
+    """Estimates (group, start) from the (n + p + 1) / 2 closest vectors, ties included."""
+    p = len(FEATURES)
+    xs = [f"x{i}" for i in range(p)]
+    ranked = tables.put(near.select("group", "start", "size", *xs, _rank(F.col("d2")).alias("rank")), f"ranked-{name}")
+    counts = ranked.groupBy("group", "start", "size", "rank").agg(F.count("*").alias("n"))  # ranks have few values
+    below = F.sum("n").over(Window.partitionBy("group", "start").orderBy("rank"))
+    half = F.least(F.floor((F.col("size") + p + 1) / 2), F.col("size"))
+    cut = (counts.withColumn("below", below).where(F.col("below") >= half)
+           .groupBy("group", "start").agg(F.min("rank").alias("cut")))
+    chosen = ranked.join(cut, ["group", "start"]).where("rank <= cut")
+    sums = tables.put(chosen.groupBy("group", "start", "size").agg(
+        F.count("*").alias("n"), *(F.sum(x).alias(f"s{i}") for i, x in enumerate(xs)),
+        *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}{j}") for i in range(p) for j in range(i + 1))), f"sums-{name}")
+    tables.drop(f"ranked-{name}")
+    return _factors(_moments(sums))
+
+
 def judge(docs: DataFrame) -> tuple[DataFrame, Tables]:
     """Narrow rows (doc_id, key, statistics, base_failed, distance, kept), and the tables they rest on."""
     tables = Tables(docs.sparkSession, "quality-rules")
@@ -138,24 +198,21 @@ def judge(docs: DataFrame) -> tuple[DataFrame, Tables]:
                                 & F.col("source").eqNullSafe(F.col("_s"))).drop("_l", "_s"), "rows")
     tables.drop("statistics")
 
-    centre = tables.put(rows.groupBy("group").agg(*(F.expr(f"percentile({x}, 0.5)").alias(f"e{x}") for x in xs)), "centre")
-    near = rows.select("group", *xs).join(centre, "group")
-    width = tables.put(near.groupBy("group").agg(
-        *(F.expr(f"percentile(abs({x} - e{x}), 0.5)").alias(f"w{x}") for x in xs),
-        *(F.first(f"e{x}").alias(f"e{x}") for x in xs)), "width")
-    terms = (F.pow((F.col(x) - F.col(f"e{x}")) / F.greatest(1.4826 * F.col(f"w{x}"), F.lit(f * UNIT)), 2)
-             for x, f in zip(xs, FLOORS))
-    near = rows.select("group", *xs).join(width, "group").withColumn("d2", sum(terms, F.lit(0.0)))
-
-    for step in range(STEPS + 1):
-        ranked = near.select("group", *xs, _rank(F.col("d2")).alias("rank"))
-        cut = tables.put(ranked.groupBy("group").agg(F.expr(f"percentile(rank, {SHARE})").alias("cut")), f"cut-{step}")
-        chosen = ranked.join(cut, "group").where("rank <= cut")
-        sums = chosen.groupBy("group").agg(
-            F.count("*").alias("n"), *(F.sum(x).alias(f"s{i}") for i, x in enumerate(xs)),
-            *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}{j}") for i in range(p) for j in range(i + 1)))
-        estimate = tables.put(_inverse_columns(sums), f"estimate-{step}")
-        near = _spread(rows.select("group", *xs).join(estimate, "group"))
+    points = rows.select("group", *xs)
+    first = _starts(tables, points)
+    parts = [tables.put(_concentrate(tables, first, "0"), "estimate-0")]
+    active = parts[0]
+    while not active.isEmpty():  # a group's start is left once its determinant falls no further
+        step = _concentrate(tables, _spread(points.join(active, "group")), str(len(parts)))
+        step = step.join(active.select("group", "start", F.col("det").alias("before")), ["group", "start"])
+        active = tables.put(step.where("det < before").drop("before"), f"estimate-{len(parts)}")
+        parts.append(active)
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.union(part)
+    estimate = found.groupBy("group").agg(F.min_by(F.struct(*found.columns[2:]), F.struct("det", "start")).alias("e"))
+    estimate = tables.put(estimate.select("group", "e.*").drop("det", "size"), "least")
+    near = _spread(points.join(estimate, "group"))
     middle = tables.put(near.groupBy("group").agg(F.expr("percentile(floor(1024 * ln(1 + d2)), 0.5)").alias("mid")), "middle")
     estimate = tables.put(estimate.join(middle, "group"), "estimate")
     scale = F.greatest(F.lit(1.0), F.expm1(F.col("mid") / 1024) / CHI_MEDIAN)

@@ -234,6 +234,16 @@ def test_outliers_go_and_the_rest_stays(spark):
     assert sorted(r.doc_id for r in quality_rules.keep_accepted(frame).collect()) == list(range(150))
 
 
+@pytest.mark.parametrize("junk", [35, 40, 45])
+def test_junk_of_over_a_third_goes(spark, junk):
+    rng = random.Random(junk)
+    rows = [(i, _prose(rng, rng.randrange(60, 200)), "en", "hot", 0, None) for i in range(10 * (100 - junk))]
+    rows += [(1000 + i, " ".join(w + "#" * rng.randrange(1, 5) for w in _prose(rng, rng.randrange(60, 200)).split()), "en",
+              "hot", 0, None) for i in range(10 * junk)]
+    kept = {r.doc_id for r in quality_rules.keep_accepted(spark.createDataFrame(rows, DOCS)).collect()}
+    assert kept == set(range(10 * (100 - junk)))
+
+
 def test_classifier_and_language_on_held_out_rows(spark, empty):
     SF_ORACLE = "/root/testdata/sf0.01"
     frame, labels = (spark.read.parquet(f"{SF_ORACLE}/{t}.parquet") for t in ("documents", "labels"))
