@@ -2,10 +2,12 @@
 
 Patterns find assignments, access keys and hex strings. Beyond them, a run of
 letters, digits and the signs ``+/_=-`` is taken for random when a byte-pair
-vocabulary needs many tokens for it: fewer than ``MIN_RATIO`` characters a token.
-Known digests (hex strings of a digest's length), UUIDs and identifiers (words,
-camel-case parts and short numbers joined by signs) are excluded first. A span that
-overlaps a pattern's span is not added.
+vocabulary needs many tokens for it: fewer than ``MIN_RATIO`` characters a token. Where
+a run as a whole is not, its parts between ``/`` and ``=`` and its stretches without
+words are tested each, so plain words beside a key don't hide it; what pattern spans
+leave of a run is tested like a run. Known digests (hex strings of a digest's length), UUIDs and identifiers (words,
+camel-case parts and short numbers joined by signs) are excluded first. No added span
+overlaps a pattern's span.
 
 Defined cases: a null text has no spans; positions are code points, end exclusive;
 equal starts follow the order of kinds; rows that repeat are scanned each; an empty
@@ -43,6 +45,9 @@ _RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_LENGTH)
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)")
 _DIGEST_LENGTHS = {32, 40, 48, 56, 64, 96, 128}
+_PART = re.compile(r"[^/=]+")
+_PIECE = re.compile(r"[A-Za-z0-9]+")
+_LONG = re.compile(r"[a-z]{%d,}|[A-Z]{%d,}" % (MIN_LENGTH, MIN_LENGTH))
 _WORDY = re.compile(r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]{1,4})+")
 
 
@@ -54,14 +59,16 @@ def _vocabulary(path: str) -> tiktoken.Encoding:
 
 
 def _excluded(run: str) -> bool:
-    """Digests, UUIDs and identifiers, and runs without both letters and digits."""
-    if not (any(c.isdigit() for c in run) and any(c.isalpha() for c in run)):
-        return True
+    """Digests, UUIDs and identifiers."""
     if _UUID.fullmatch(run) or _DIGEST.fullmatch(run) and len(run) in _DIGEST_LENGTHS:
         return True
-    parts = [p for p in re.split(r"[+/_=-]+", run) if p]
-    wordy = sum(len(p) for p in parts if _WORDY.fullmatch(p) and not _mixed(p))
-    return wordy >= 0.8 * sum(map(len, parts))
+    parts = _PIECE.findall(run)
+    return sum(len(p) for p in parts if _word(p)) >= 0.8 * sum(map(len, parts))
+
+
+def _word(part: str) -> bool:
+    """The shape of words and short numbers; a very long word is left to the vocabulary."""
+    return bool(_WORDY.fullmatch(part)) and not _mixed(part) and not _LONG.search(part)
 
 
 def _mixed(part: str) -> bool:
@@ -70,6 +77,39 @@ def _mixed(part: str) -> bool:
     return len(kinds) > max(3, len(part) / 4)
 
 
+def _stretches(run: str):
+    """(start, end) of every longest stretch of neighbouring parts that are no words."""
+    start = end = None
+    for m in _PIECE.finditer(run):
+        if not _word(m[0]):
+            start, end = m.start() if start is None else start, m.end()
+        elif start is not None:
+            yield start, end
+            start = None
+    if start is not None:
+        yield start, end
+
+
+def _random(run: str, vocabulary: str, min_ratio: float) -> list[tuple[int, int]]:
+    """(start, end) of ``run`` where it is random as a whole, else of its random parts and stretches."""
+    def hard(start: int, end: int) -> bool:
+        part = run[start:end]
+        return (len(part) >= MIN_LENGTH and not _excluded(part)
+                and len(part) < min_ratio * len(_vocabulary(vocabulary).encode_ordinary(part)))
+    if len(run) < MIN_LENGTH or _UUID.fullmatch(run):
+        return []
+    if hard(0, len(run)):
+        return [(0, len(run))]
+    tried = sorted({*(m.span() for m in _PART.finditer(run)), *_stretches(run)} - {(0, len(run))})
+    out = []
+    for start, end in (x for x in tried if hard(*x)):
+        if out and start < out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
 def find(text: str, vocabulary: str, min_ratio: float = MIN_RATIO) -> list[tuple[int, int, int]]:
     """(start, kind index, end) of every span, sorted."""
     base = []
@@ -80,11 +120,10 @@ def find(text: str, vocabulary: str, min_ratio: float = MIN_RATIO) -> list[tuple
     base += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
     added = []
     for m in _RUN.finditer(text):
-        start, end = m.span()
-        if any(s < end and start < e for s, _, e in base) or _excluded(m[0]):
-            continue
-        if len(m[0]) < min_ratio * len(_vocabulary(vocabulary).encode_ordinary(m[0])):
-            added.append((start, 3, end))
+        at, end = m.span()
+        for s, e in sorted((s, e) for s, _, e in base if s < end and at < e) + [(end, end)]:
+            added += [(at + x, 3, at + y) for x, y in _random(text[at:s], vocabulary, min_ratio)]
+            at = max(at, e)
     return sorted(base + added)
 
 

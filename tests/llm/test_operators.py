@@ -176,6 +176,26 @@ def test_secrets(spark, empty):
     assert secrets.scan(empty, RANKS).count() == 0
 
 
+def test_random_keys_beside_words_are_found():
+    rng = random.Random(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    for size in (20, 24, 32):
+        for signs in (letters + "0123456789", letters):
+            found = 0
+            for _ in range(100):
+                key = "".join(rng.choice(signs) for _ in range(size))
+                text = f"post to /services/internal/webhooks/production/{key} now"
+                spans = secrets.find(text, RANKS)
+                found += bool(spans) and key in "".join(text[s:e] for s, _, e in spans)
+            assert found >= 97
+    key = "q7Zp2Lk9Xw4Vt8Rb3Nc6"
+    beside = f"AKIA{'B7' * 9}/{key}"  # what a pattern's span leaves of a run
+    assert secrets.find(beside, RANKS) == [(0, 1, 22), (22, 3, len(beside))]
+    for plain in ("/services/internal/webhooks/production/handlers", "=" * 60, "1" * 22, "internationalization_settings",
+                  "see 123e4567-e89b-12d3-a456-426614174000", "someLongCamelCaseIdentifierName/anotherLongIdentifier"):
+        assert secrets.find(plain, RANKS) == []
+
+
 def test_leaks_are_found_in_any_order(spark, docs, empty):
     rng = random.Random(9)
     item = _prose(rng, 30, 10**6).split()
