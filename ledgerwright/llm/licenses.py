@@ -1,7 +1,8 @@
 """License scans: TF-IDF cosine to templates, then inheritance from the nearest directory.
 
-Passages are the lines of a file that speak of a license, wherever they stand in it,
-and the whole text of licence files (by name). Terms are lower-cased words and
+Passages are the lines and blocks (neighbouring comment lines, or lines up to an empty
+one) of a file that speak of a license, wherever they stand in it, and the whole text of
+licence files (by name). An SPDX identifier names its license itself. Terms are lower-cased words and
 pairs of neighbouring words; a term's weight is its count times its inverse document
 frequency over all passages and templates. A passage takes the template of
 highest cosine from ``THRESHOLD`` on; a file takes its best passage. A file without a
@@ -25,7 +26,22 @@ from .common import Tables
 
 THRESHOLD = 0.45
 
-#: Short notices by license (fixed values).
+_HEADER = ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU {}General "
+           "Public License as published by the Free Software Foundation; either version {} of the License, or (at your "
+           "option) any later version.")
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution. {}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS "
+        "OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED.")
+_NEITHER = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+            "products derived from this software without specific prior written permission. ")
+_ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+_CC = "This work is licensed under a Creative Commons Attribution-{} 4.0 International License."
+
+#: Notices by license (fixed values).
 TEMPLATES = {
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in "
                    "compliance with the License.", "Licensed under the Apache License, Version 2.0."],
@@ -48,9 +64,32 @@ TEMPLATES = {
             "copy of this software and associated documentation files"],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
+    "0BSD": [_ISC + ". The software is provided as is and the author disclaims all warranties with regard to this software."],
+    "AGPL-3.0": [_HEADER.format("Affero ", 3), "GNU Affero General Public License Version 3, 19 November 2007"],
+    "CC-BY-NC-ND-4.0": ["Licensed under CC BY-NC-ND 4.0.", _CC.format("NonCommercial-NoDerivatives")],
+    "CC-BY-NC-SA-4.0": ["Licensed under CC BY-NC-SA 4.0.", _CC.format("NonCommercial-ShareAlike")],
+    "CC-BY-ND-4.0": ["Licensed under CC BY-ND 4.0.", _CC.format("NoDerivatives")],
+    "CC0-1.0": ["Licensed under CC0 1.0.", "Creative Commons CC0 1.0 Universal public domain dedication."],
+    "EPL-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+                "v. 2.0 which is available at https://www.eclipse.org/legal/epl-2.0", "Eclipse Public License - v 2.0"],
+    "ISC": ["Licensed under the ISC License.", _ISC + ", provided that the above copyright notice and this permission notice "
+            "appear in all copies."],
+    "LGPL-2.1": [_HEADER.format("Lesser ", 2.1), "GNU Lesser General Public License Version 2.1, February 1999"],
+    "Zlib": ["Licensed under the zlib License.", "This software is provided as-is, without any express or implied warranty. In "
+             "no event will the authors be held liable for any damages arising from the use of this software. Permission is "
+             "granted to anyone to use this software for any purpose, including commercial applications, and to alter it and "
+             "redistribute it freely"],
 }
-
-SPEAKS = r"(?i)licen[sc]|copyright|permission is hereby|redistribution and use|public domain|spdx"
+for _license, _more in {
+        "GPL-2.0": [_HEADER.format("", 2), "GNU General Public License Version 2, June 1991"],
+        "GPL-3.0": [_HEADER.format("", 3), "GNU General Public License Version 3, 29 June 2007"],
+        "LGPL-3.0": [_HEADER.format("Lesser ", 3), "GNU Lesser General Public License Version 3, 29 June 2007"],
+        "BSD-2-Clause": [_BSD.format("")], "BSD-3-Clause": [_BSD.format(_NEITHER)]}.items():
+    TEMPLATES[_license] += _more
+
+SPEAKS = r"(?i)licen[sc]|copyright|permission is hereby|redistribution and use|public domain|spdx|permission to use|permission is granted|CC0"
+SPDX = r"SPDX-License-Identifier:[ \t]*\(?([A-Za-z0-9][A-Za-z0-9.+-]*(?: (?:OR|AND|WITH) [A-Za-z0-9][A-Za-z0-9.+-]*)*)"
+COMMENT = r"[ \t]*(?:#|//|/?\*|--|;|%|<!--)"
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|unlicense)([._-].*)?$"
 
 
@@ -76,6 +115,11 @@ def scan_licenses(files: DataFrame) -> DataFrame:
             F.when(F.col("path").isNotNull(), F.lit(""))),
         "is_licence": F.coalesce(name.rlike(LICENCE_FILE), F.lit(False))})
     lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda x: x.rlike(SPEAKS))
+    # comment lines and others are parted, and so are paragraphs: an empty line, or one of signs alone, ends a block
+    parted = F.regexp_replace(F.coalesce("text", F.lit("")), rf"(?m)^({COMMENT}[^\n]*)\n(?!{COMMENT})", "$1\n\n")
+    parted = F.regexp_replace(parted, rf"(?m)^((?!{COMMENT})[^\n]*)\n(?={COMMENT})", "$1\n\n")
+    blocks = F.filter(F.split(parted, r"\n[^\nA-Za-z0-9]*\n", -1), lambda x: x.rlike(SPEAKS))
+    lines = F.concat(lines, blocks)
     found = F.when(F.col("is_licence"), F.concat(lines, F.array(F.coalesce("text", F.lit(""))))).otherwise(lines)
     spoken = rows.select("file_id", "path", "dir", "is_licence", F.array_distinct(found).alias("lines"))
     passages = (spoken.where(F.size("lines") > 0).select("file_id", "path", "dir", "is_licence",
@@ -107,7 +151,11 @@ def scan_licenses(files: DataFrame) -> DataFrame:
             .where(F.col("cosine") >= THRESHOLD).groupBy("passage")
             .agg(F.min(F.struct((-F.col("cosine")).alias("far"), "license")).alias("best")))
     best = tables.put(best.select("passage", "best.license", (-F.col("best.far")).alias("cosine")), "best")
-    judged = passages.join(best, "passage").select("file_id", "path", "dir", "is_licence", "license", "cosine")
+    judged = passages.join(best, "passage", "left").withColumn("spdx", F.regexp_extract("line", SPDX, 1))
+    named = F.regexp_replace("spdx", r"(-only|-or-later|\+)(?= |$)", "")
+    judged = judged.withColumns({"license": F.when(F.col("spdx") != "", named).otherwise(F.col("license")),
+                                 "cosine": F.when(F.col("spdx") != "", 1.0).otherwise(F.col("cosine"))})
+    judged = judged.where("license is not null").select("file_id", "path", "dir", "is_licence", "license", "cosine")
     judged = tables.put(judged, "judged")
 
     first = F.min(F.struct((-F.col("cosine")).alias("far"), "license"))

@@ -318,6 +318,21 @@ def test_licenses_and_inheritance(spark, empty):
     assert licenses.scan_licenses(licenses.document_files(empty)).count() == 0
 
 
+def test_wrapped_headers_and_identifiers(spark):
+    gnu = ("# This program is free software; you can redistribute it and/or modify\n# it under the terms of the GNU {}General "
+           "Public License\n# as published by the Free Software Foundation; either\n# version {} of the License, or (at your "
+           "option)\n# any later version.\n#\n# It comes without any warranty.\nimport os\n")
+    isc = ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby "
+           "granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n")
+    texts = {"MIT": "// SPDX-License-Identifier: MIT\n", "GPL-2.0": gnu.format("", "2"), "AGPL-3.0": gnu.format("Affero ", "3"),
+             "LGPL-2.1": gnu.format("Lesser ", "2.1"), "LGPL-3.0": "x = 1  # SPDX-License-Identifier: LGPL-3.0-or-later",
+             "GPL-3.0": gnu.format("", "3"), "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.", "ISC": isc,
+             "CC0-1.0": "Licensed under CC0 1.0.", "EPL-2.0": "Eclipse Public License - v 2.0"}
+    rows = [(i, f"{i}/x.py", t) for i, t in enumerate(texts.values())]
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "file_id long, path string, text string")).collect()
+    assert {r.file_id: r.license for r in got} == dict(enumerate(texts))
+
+
 def test_word_hashes_do_not_depend_on_place():
     def hashes(text):
         buf = np.frombuffer(text, np.uint8)
