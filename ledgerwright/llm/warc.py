@@ -89,8 +89,8 @@ class _Written(WriterCommitMessage):
 
 
 class WarcWriter(DataSourceWriter):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, overwrite: bool):
+        self.path, self.overwrite = path, overwrite
 
     def write(self, rows):
         fs, folder = _folder(self.path)
@@ -113,8 +113,12 @@ class WarcWriter(DataSourceWriter):
     def commit(self, messages):
         fs, folder = _folder(self.path)
         fs.create_dir(folder, recursive=True)
+        files = {f for m in messages if m for f in m.files}
+        if not self.overwrite and fs.get_file_info(f"{folder}/{MANIFEST}").type == pafs.FileType.File:
+            with fs.open_input_stream(f"{folder}/{MANIFEST}") as f:
+                files.update(json.loads(f.read()))
         with fs.open_output_stream(f"{folder}/{MANIFEST}") as out:
-            out.write(json.dumps(sorted(f for m in messages if m for f in m.files)).encode())
+            out.write(json.dumps(sorted(files)).encode())
 
     def abort(self, messages):
         fs, folder = _folder(self.path)
@@ -306,7 +310,7 @@ class WarcDataSource(DataSource):
         return WarcReader(self.options["path"], self.options.get("payload", "true").lower() != "false")
 
     def writer(self, schema, overwrite):
-        return WarcWriter(self.options["path"])
+        return WarcWriter(self.options["path"], overwrite)
 
 
 def register(spark: SparkSession) -> None:

@@ -305,6 +305,14 @@ def test_warc_pushes_header_predicates(spark, tmp_path):
     assert {r.payload for r in headers_only.collect()} == {None}
 
 
+def test_a_second_write_keeps_earlier_archives(spark, tmp_path):
+    schema = "record_id string, record_type string, refers_to string, target_uri string, date string, payload binary"
+    for k in range(2):
+        rows = [(f"urn:x:{k}", "response", None, f"http://h/{k}", None, bytearray(b"p"))]
+        warc.write_archives(spark.createDataFrame(rows, schema), str(tmp_path / "w"))
+    assert sorted(r.target_uri for r in warc.read_archives(spark, str(tmp_path / "w")).collect()) == ["http://h/0", "http://h/1"]
+
+
 def test_licenses_and_inheritance(spark, empty):
     rows = [(1, "a/LICENSE", "Released under the MIT License."), (2, "a/b/x.py", "print(1)"),
             (3, "a/b/y.py", "# Licensed under the Apache License, Version 2.0.\ncode"), (4, "c/z.py", "nothing"),
