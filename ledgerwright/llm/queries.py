@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (bpe, decontaminate, language_id, licenses, near_dedup, quality_classifier, quality_rules, secrets,
-               suffix_dedup, warc)
+               suffix_dedup, warc, whitening)
 from .common import read_table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -66,9 +66,15 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings whitened along their four components of largest variance."""
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"), "embedding", 4)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination, op2_warc, op3_quality_rules, op4_quality_classifier, op5_language_id, op6_bpe,
-    op7_license_scan, op8_minhash_forest, op9_secret_scan, op10_suffix_dedup)}
+    op7_license_scan, op8_minhash_forest, op9_secret_scan, op10_suffix_dedup,
+    op11_embedding_whitening)}
 
 SQL: dict[str, str] = {
     # 40 hexadecimal digits of SHA-1 are eight groups of 20 bits, so of four base32 characters
