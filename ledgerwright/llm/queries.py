@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, decontaminate, language_id, licenses, near_dedup, quality_classifier, quality_rules, secrets,
-               suffix_dedup, warc, whitening)
+from . import (bpe, decontaminate, fingerprints, hard_negatives, language_id, licenses, near_dedup, quality_classifier,
+               quality_rules, secrets, suffix_dedup, warc, whitening)
 from .common import read_table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -71,10 +71,20 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read_table(spark, sf_dir, "embeddings"), "embedding", 4)
 
 
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of documents and of their edited texts, with the likeness of both and of the next document."""
+    return fingerprints.edited_likeness(read_table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth embedding, for each of its first positives."""
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination, op2_warc, op3_quality_rules, op4_quality_classifier, op5_language_id, op6_bpe,
     op7_license_scan, op8_minhash_forest, op9_secret_scan, op10_suffix_dedup,
-    op11_embedding_whitening)}
+    op11_embedding_whitening, op12_document_fingerprints, op13_hard_negatives)}
 
 SQL: dict[str, str] = {
     # 40 hexadecimal digits of SHA-1 are eight groups of 20 bits, so of four base32 characters
@@ -92,4 +102,25 @@ SQL: dict[str, str] = {
                CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id = newest THEN NULL ELSE newest END AS refers_to
         FROM digests""",
+    "op13_hard_negatives": """
+        WITH whole AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(
+                embedding, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0),
+        scores AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike,
+                   CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+            FROM whole a JOIN whole b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+        positives AS (
+            SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE alike
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+        ranked AS (
+            SELECT p.anchor_id, p.positive_id, s.other_id AS negative_id, p.positive_score, s.score AS negative_score,
+                   row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) AS rank
+            FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT s.alike
+                AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score)
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+        FROM ranked WHERE rank <= 5""",
 }
