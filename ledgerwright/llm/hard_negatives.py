@@ -41,13 +41,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Tables
+from .common import Tables, partitions_for
 from .whitening import pack, unpack, whole_vectors
 
 LEAF = 64                  # rows of a leaf
 FAN = 16                   # boxes of a node
 RUN = 1 << 16              # rows that are packed together
-DEALT = 1 << 17            # rows of a range of the first coordinate, about
+DEALT = 1 << 17            # rows of a range of the first coordinate, at most about
+LEAST = 1 << 12            # rows of a range while there are fewer ranges than shuffle partitions
 BLOCK_BYTES = 16 << 20     # vectors of a block of anchors, about
 LIMIT = 1 << 20            # largest component: products of up to 2**13 of these are exact as doubles
 EVERY = 100                # anchors are the ids divisible by this
@@ -147,8 +148,9 @@ def tree(tables: Tables, embeddings: DataFrame, column: str) -> tuple[DataFrame,
                     held, size = [], 0
         if size:
             yield packed()
+    ranges = max(math.ceil(n / DEALT), min(partitions_for(rows), math.ceil(n / LEAST)))
     dealt = (rows.mapInArrow(first, "id long, label int, x binary, at long")
-             .repartitionByRange(max(1, math.ceil(n / DEALT)), "at", F.xxhash64("id")))
+             .repartitionByRange(ranges, "at", F.xxhash64("id")))
     out = tables.put(dealt.select("id", "label", "x").mapInArrow(leaves, _LEAVES), "leaves")
     tables.drop("rows")
     return out, n, width
