@@ -25,6 +25,7 @@ result. Other columns are ignored.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 
 import numpy as np
@@ -39,7 +40,6 @@ from .common import Tables, partitions_for
 SHINGLE = 5                # words of a window
 BINS = 512                 # a power of two
 BITS = 2                   # kept of each bin
-HEX = 2 * BINS * BITS // 8
 BLOCK_CHARS = 1 << 20      # characters that are hashed at a time; a longer text is a block of its own
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -93,7 +93,7 @@ def packed(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fingerprint_texts(texts: list[str]) -> list[str]:
-    """Hexadecimal fingerprints; "" for a text without words."""
+    """Fingerprints in base 64; "" for a text without words."""
     out, at = [], 0
     while at < len(texts):
         size, end = 0, at
@@ -101,7 +101,7 @@ def fingerprint_texts(texts: list[str]) -> list[str]:
             size += len(texts[end])
             end += 1
         rows, filled = packed(texts[at:end])
-        out += [r.tobytes().hex() if f else "" for r, f in zip(rows, filled)]
+        out += [base64.b64encode(r.tobytes()).decode() if f else "" for r, f in zip(rows, filled)]
         at = end
     return out
 
@@ -111,7 +111,7 @@ def likeness(a: list[str], b: list[str]) -> np.ndarray:
     out = np.array([float(x == y) for x, y in zip(a, b)])
     both = [i for i, (x, y) in enumerate(zip(a, b)) if x and y]
     if both:
-        x, y = (np.frombuffer(bytes.fromhex("".join(v[i] for i in both)), np.uint8).reshape(len(both), -1) for v in (a, b))
+        x, y = (np.frombuffer(b"".join(base64.b64decode(v[i]) for i in both), np.uint8).reshape(len(both), -1) for v in (a, b))
         unlike = np.unpackbits(x ^ y, axis=1).reshape(len(both), BINS, BITS).any(axis=2).sum(axis=1)
         chance = 2.0 ** -BITS
         out[both] = np.clip(((1 - unlike / BINS) - chance) / (1 - chance), 0, 1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import random
 import re
@@ -84,7 +85,7 @@ def test_estimate_is_not_biased():
             other = " ".join([*keep, _prose(rng, 600 - len(keep), 10**6)])
             a, b = P.fingerprint_texts([own, other])
             exact.append(_jaccard(own, other))
-            x, y = (np.frombuffer(bytes.fromhex(v), np.uint8) for v in (a, b))
+            x, y = (np.frombuffer(base64.b64decode(v), np.uint8) for v in (a, b))
             same = 1 - np.unpackbits(x ^ y).reshape(P.BINS, P.BITS).any(axis=1).mean()
             found.append((same - 0.25) / 0.75)  # not cut to 0..1
         assert np.mean(found) == pytest.approx(np.mean(exact), abs=0.012)
