@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from .common import Tables, partitions_for
 from .whitening import pack, unpack, whole_vectors
 
-LEAF = 64                  # rows of a leaf
+LEAF = 128                 # rows of a leaf
 FAN = 16                   # boxes of a node
 RUN = 1 << 16              # rows that are packed together
 DEALT = 1 << 17            # rows of a range of the first coordinate, at most about
@@ -184,43 +184,50 @@ class Boxes:
         up, down = np.maximum(anchors, 0), np.minimum(anchors, 0)
         return [(up @ low.T + down @ high.T, up @ high.T + down @ low.T) for low, high in self.levels]
 
-    def search(self, bounds, anchor: np.ndarray, wanted, window: tuple[float, float], k: int, kth: float, seen: dict):
-        """The best ``k`` rows (score, row) that are ``wanted`` and lie in the window; best-first over boxes.
+    def search(self, bounds, anchor: np.ndarray, wanted, windows: list[tuple[float, float, float]], k: int,
+               opened: set | None = None) -> list[list[tuple[float, int]]]:
+        """Per window (lowest, highest, kth) the best ``k`` rows (score, row) that are ``wanted``; best-first over boxes.
 
-        ``kth`` is a score that ``k`` rows found elsewhere reach; boxes and rows strictly below go.
-        ``seen`` keeps the scores of leaves for further windows of one anchor.
+        One queue serves all windows of an anchor. ``kth`` is a score that ``k`` rows found
+        elsewhere reach; boxes and rows strictly below it go. ``opened`` gets the leaves that were read.
         """
-        lowest, highest = window
-        best: list[tuple] = []  # worst first: (score, not null, -id, row)
+        highs = [high for _, high, _ in windows]
+        floors = [max(low, kth) for low, _, kth in windows]
+        best: list[list[tuple]] = [[] for _ in windows]  # worst first: (score, not null, -id, row)
+        least, most = min(floors), max(highs)
         top = len(self.levels) - 1
         queue = [(-bounds[top][1][i], top, i) for i in range(len(self.levels[top][0]))]
         heapq.heapify(queue)
         while queue:
             upper, level, i = heapq.heappop(queue)
-            if -upper < kth or -upper < lowest:
+            upper, lower = -upper, bounds[level][0][i]
+            if upper < least:
                 break
-            if bounds[level][0][i] > highest:
+            if not any(upper >= floor and lower <= high for floor, high in zip(floors, highs)):
                 continue
             if level:
-                for j in range(i * FAN, min((i + 1) * FAN, len(self.levels[level - 1][0]))):
-                    u = bounds[level - 1][1][j]
-                    if u >= kth and u >= lowest and bounds[level - 1][0][j] <= highest:
-                        heapq.heappush(queue, (-u, level - 1, j))
+                lows, ups = (v[i * FAN:(i + 1) * FAN] for v in bounds[level - 1])
+                for j in np.flatnonzero((ups >= least) & (lows <= most)).tolist():
+                    heapq.heappush(queue, (-ups[j], level - 1, i * FAN + j))
                 continue
+            if opened is not None:
+                opened.add(i)
             rows = slice(self.start[i], self.start[i + 1])
-            if i not in seen:
-                seen[i] = self.x[rows] @ anchor
-            scores = seen[i]
-            for r in np.flatnonzero(wanted(rows) & (scores >= max(kth, lowest)) & (scores <= highest)):
-                row = int(r) + int(self.start[i])
-                item = (float(scores[r]), not self.null[row], -int(self.ids[row]), row)
-                if len(best) < k:
-                    heapq.heappush(best, item)
-                elif item[:3] > best[0][:3]:
-                    heapq.heapreplace(best, item)
-            if len(best) == k:
-                kth = max(kth, best[0][0])
-        return [(score, row) for score, _, _, row in best]
+            scores = self.x[rows] @ anchor
+            hits = np.flatnonzero((scores >= least) & (scores <= most) & wanted(rows))
+            for r in hits[np.argsort(-scores[hits], kind="stable")].tolist():
+                score, row = float(scores[r]), r + int(self.start[i])
+                item = (score, not self.null[row], -int(self.ids[row]), row)
+                for s, found in enumerate(best):
+                    if floors[s] <= score <= highs[s]:
+                        if len(found) < k:
+                            heapq.heappush(found, item)
+                        elif item[:3] > found[0][:3]:
+                            heapq.heapreplace(found, item)
+                        if len(found) == k:
+                            floors[s] = max(floors[s], found[0][0])
+            least = min(floors)
+        return [[(score, row) for score, _, _, row in found] for found in best]
 
 
 @dataclass
@@ -254,21 +261,21 @@ def _pass(leaves: DataFrame, anchors: Anchors, width: int, mining: bool) -> Data
                 levels = boxes.bounds(a.x[at:at + 256])
                 for k in range(at, min(at + 256, len(a.number))):
                     own = [(low[k - at], high[k - at]) for low, high in levels]
-                    seen: dict = {}
                     label, leaf, place = a.label[k], a.leaf[k], a.place[k]
                     if mining:
-                        slots = [(s, (-(-LOWEST * p // 100), HIGHEST * p // 100), NEGATIVES) for s, p in a.windows[k]]
+                        slots = [(s, (-(-LOWEST * p // 100), HIGHEST * p // 100)) for s, p in a.windows[k]]
+                        slots = [x for x in slots if x[1][0] <= x[1][1]]
                         wanted = lambda rows: boxes.labels[rows] != label
                     else:
-                        slots = [(0, (-math.inf, math.inf), POSITIVES)]
+                        slots = [(0, (-math.inf, math.inf))]
                         wanted = lambda rows: (boxes.labels[rows] == label) & (
                             (boxes.leaf[rows] != leaf) | (boxes.place[rows] != place))
-                    for slot, window, most in slots:
-                        if window[0] <= window[1]:
-                            kth = a.kth.get((k, slot), -math.inf)
-                            out += [(a.number[k], slot, int(s), None if boxes.null[r] else int(boxes.ids[r]),
-                                     int(boxes.leaf[r]), int(boxes.place[r]))
-                                    for s, r in boxes.search(own, a.x[k], wanted, window, most, kth, seen)]
+                    if not slots:
+                        continue
+                    windows = [(*w, a.kth.get((k, s), -math.inf)) for s, w in slots]
+                    for (slot, _), rows in zip(slots, boxes.search(own, a.x[k], wanted, windows, NEGATIVES if mining else POSITIVES)):
+                        out += [(a.number[k], slot, int(s), None if boxes.null[r] else int(boxes.ids[r]),
+                                 int(boxes.leaf[r]), int(boxes.place[r])) for s, r in rows]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, kind) for c, kind in zip(zip(*out) if out else [()] * 6, (
                     pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()))],

@@ -120,8 +120,12 @@ def test_boxes_bound_every_inner_product():
     for i in range(len(leaves)):
         own = scores[boxes.start[i]:boxes.start[i + 1]]
         assert levels[0][0][0][i] <= own.min() and own.max() <= levels[0][1][0][i]
-    opened: dict = {}
-    got = boxes.search([(low[0], high[0]) for low, high in levels], anchor[0], lambda rows: np.ones(500, bool)[rows],
-                       (-math.inf, math.inf), 3, -math.inf, opened)
+    opened: set = set()
+    own, every = [(low[0], high[0]) for low, high in levels], lambda rows: np.ones(500, bool)[rows]
+    got, = boxes.search(own, anchor[0], every, [(-math.inf, math.inf, -math.inf)], 3, opened)
     assert sorted(s for s, _ in got) == sorted(scores)[-3:]
+    high = sorted(scores)[-40]
+    windows = [(high * 0.8, high, -math.inf), (0.0, high / 2, -math.inf), (high, 1e9, sorted(scores)[-2])]
+    for (low, most, kth), found in zip(windows, boxes.search(own, anchor[0], every, windows, 3)):
+        assert sorted(s for s, _ in found) == sorted(s for s in scores if max(low, kth) <= s <= most)[-3:]
     assert len(opened) < len(leaves)  # boxes were pruned
