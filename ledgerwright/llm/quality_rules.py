@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Tables, bounded
+from .common import Tables
 
 SPACES = r"[\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -33,6 +33,7 @@ FLOORS = (0.5, 0.1, 0.75, 1.0, 0.5)   # smallest standard deviation of each, in
 UNIT = 256                            # vectors are whole multiples of 1/UNIT
 QUANTILES = 20                        # steps between the quantiles that shortest halves are found by
 SMALLEST = 60                         # documents of a group with an estimate of its own
+RANKS = 256                           # ranks of distances to a unit of their logarithm
 CUTOFF = 50.0                         # squared distance beyond which a vector is rejected
 CHI_MEDIAN = 4.351                    # median of chi-square with five degrees of freedom
 
@@ -84,47 +85,50 @@ def _vector() -> dict[str, Column]:
     return {f"x{k}": F.round(x * UNIT).cast("long") for k, x in enumerate(raw)}
 
 
-def _moments(sums: DataFrame) -> DataFrame:
-    """Means m0.. and covariances c_ij, with floors, of each row's sums."""
-    p, n = len(FEATURES), F.col("n")
-    out = sums.withColumns({f"m{i}": F.col(f"s{i}") / n for i in range(p)})
-    return out.withColumns({f"c{i}{j}": (F.col(f"s{i}{j}") / n - F.col(f"m{i}") * F.col(f"m{j}"))
-                            + (F.lit((FLOORS[i] * UNIT) ** 2) if i == j else F.lit(0.0))
-                            for i in range(p) for j in range(i + 1)})
+def _names() -> tuple[list[str], list[str], list[str]]:
+    """Columns of a vector, of a mean, and of the upper half of an inverse covariance."""
+    p = range(len(FEATURES))
+    return [f"x{i}" for i in p], [f"m{i}" for i in p], [f"g{i}{j}" for i in p for j in p if i <= j]
 
 
-def _factors(out: DataFrame) -> DataFrame:
-    """Per group and start: means, the factors l_ij, v_i of the covariance, step by step as columns, and its log determinant."""
+def _estimate(rows: DataFrame) -> DataFrame:
+    """Rows (group, start, size, m*, c*) with the covariance inverted: (group, start, size, m*, g*, det).
+
+    Five sweeps, one per pivot, over the covariance as an array: the plan stays as
+    small as one sweep. ``det`` is the log determinant.
+    """
     p = len(FEATURES)
-    for i in range(p):
-        out = out.withColumn(f"v{i}", F.col(f"c{i}{i}") - sum(
-            (F.col(f"l{i}{k}") * F.col(f"l{i}{k}") * F.col(f"v{k}") for k in range(i)), F.lit(0.0)))
-        if i + 1 < p:
-            out = out.withColumns({f"l{j}{i}": (F.col(f"c{j}{i}") - sum(
-                (F.col(f"l{j}{k}") * F.col(f"l{i}{k}") * F.col(f"v{k}") for k in range(i)), F.lit(0.0))) / F.col(f"v{i}")
-                for j in range(i + 1, p)})
-    keep = [f"m{i}" for i in range(p)] + [f"v{i}" for i in range(p)] + [f"l{j}{i}" for j in range(p) for i in range(j)]
-    return out.select("group", "start", "size", *keep, sum((F.log(f"v{i}") for i in range(p)), F.lit(0.0)).alias("det"))
-
-
-def _spread(rows: DataFrame) -> DataFrame:
-    """``rows`` joined with their group's estimate, with the squared distance d2."""
+    _, means, halves = _names()
+    whole = F.array(*(F.col(f"c{max(i, j)}{min(i, j)}") for i in range(p) for j in range(p)))
+    pivot = f"s.a[{p + 1} * k]"
+    swept = F.expr(f"""aggregate(sequence(0, {p - 1}), named_struct('a', cov, 'det', 0D), (s, k) -> named_struct(
+        'a', transform(s.a, (v, t) -> CASE
+            WHEN t = {p + 1} * k THEN -1D / v
+            WHEN cast(t div {p} as int) = k OR t % {p} = k THEN v / {pivot}
+            ELSE v - s.a[cast(t div {p} as int) * {p} + k] * s.a[{p} * k + t % {p}] / {pivot} END),
+        'det', s.det + ln({pivot})))""")
+    out = rows.withColumn("cov", whole).select("group", "start", "size", *means, swept.alias("s"))
+    return out.select("group", "start", "size", *means, *(
+        (-F.col("s.a")[p * int(g[1]) + int(g[2])]).alias(g) for g in halves), F.col("s.det").alias("det"))
+
+
+def _distance() -> Column:
+    """Squared Mahalanobis distance of a vector from the estimate beside it."""
     p = len(FEATURES)
-    for i in range(p):
-        rows = rows.withColumn(f"y{i}", F.col(f"x{i}") - F.col(f"m{i}") - sum(
-            (F.col(f"l{i}{k}") * F.col(f"y{k}") for k in range(i)), F.lit(0.0)))
-    return rows.withColumn("d2", sum((F.col(f"y{i}") * F.col(f"y{i}") / F.col(f"v{i}") for i in range(p)), F.lit(0.0)))
+    y = [F.col(f"x{i}") - F.col(f"m{i}") for i in range(p)]
+    return sum((y[i] * (y[i] * F.col(f"g{i}{i}") + 2 * sum((y[j] * F.col(f"g{i}{j}") for j in range(i + 1, p)), F.lit(0.0)))
+                for i in range(p)), F.lit(0.0))
 
 
 def _rank(distance: Column) -> Column:
-    """A distance as a whole number on a log scale, so that exact percentiles need few distinct values."""
-    return F.floor(1024 * F.log1p(distance))
+    """A distance as a whole number on a log scale, so that counts by it have few rows."""
+    return F.floor(RANKS * F.log1p(F.greatest(distance, F.lit(0.0))))
 
 
 def _starts(tables: Tables, points: DataFrame) -> DataFrame:
-    """Rows (group, size, vector, start, d2): distances of all vectors by each of three first estimates."""
+    """Three first estimates of each group."""
     p = len(FEATURES)
-    xs = [f"x{i}" for i in range(p)]
+    xs = _names()[0]
     steps = ", ".join(f"{k / QUANTILES}D" for k in range(QUANTILES + 1))
     half = QUANTILES // 2
     quantiles = points.groupBy("group").agg(
@@ -133,46 +137,62 @@ def _starts(tables: Tables, points: DataFrame) -> DataFrame:
         (F.get(f"q{x}", k + half) - F.get(f"q{x}", k)).alias("long"), F.get(f"q{x}", k).alias("low")))) for x in xs}
     quantiles = quantiles.withColumns({f"h{x}": halves[x] for x in xs})
     centre = tables.put(quantiles.select("group", "size", *(F.get(f"q{x}", F.lit(half)).alias(f"e{x}") for x in xs),
-                                         *(F.col(f"h{x}.low").alias(f"low{x}") for x in xs),
-                                         *(F.col(f"h{x}.long").alias(f"long{x}") for x in xs)), "centre")
+                                         *((F.col(f"h{x}.low") + F.col(f"h{x}.long") / 2).alias(f"mid{x}") for x in xs),
+                                         *(F.greatest(F.col(f"h{x}.long") / 1.349, F.lit(f * UNIT)).alias(f"half{x}")
+                                           for x, f in zip(xs, FLOORS))), "centre")
     width = points.join(centre, "group").groupBy("group").agg(
         *(F.expr(f"percentile(abs({x} - e{x}), 0.5)").alias(f"w{x}") for x in xs))
     scales = {f"w{x}": F.greatest(1.4826 * F.col(f"w{x}"), F.lit(f * UNIT)) for x, f in zip(xs, FLOORS)}
     centre = tables.put(centre.join(width.withColumns(scales), "group"), "width")
-    near = points.join(centre, "group").withColumns({f"z{i}": (F.col(x) - F.col(f"e{x}")) / F.col(f"w{x}")
-                                                     for i, x in enumerate(xs)})
-    near = near.withColumn("norm", sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(p)), F.lit(0.0)))
-    signs = {f"c{i}{j}": F.sum(F.round(F.when(F.col("norm") > 0, F.col(f"z{i}") * F.col(f"z{j}") / F.col("norm"))
-                                       .otherwise(0.0) * (1 << 20)).cast("long")) for i in range(p) for j in range(i + 1)}
-    signs = near.groupBy("group").agg(*(c.alias(k) for k, c in signs.items())).join(centre, "group")
-    signs = signs.withColumns({f"c{i}{j}": (F.col(f"c{i}{j}") / F.col("size") / (1 << 20) + (0.01 if i == j else 0.0))
-                               * F.col(f"w{xs[i]}") * F.col(f"w{xs[j]}") for i in range(p) for j in range(i + 1)})
-    signs = tables.put(_factors(signs.withColumns({"start": F.lit(2), **{f"m{i}": F.col(f"e{x}") for i, x in enumerate(xs)}})),
-                       "signs")
-    short = sum((F.pow((F.col(x) - F.col(f"low{x}") - F.col(f"long{x}") / 2)
-                       / F.greatest(F.col(f"long{x}") / 1.349, F.lit(f * UNIT)), 2) for x, f in zip(xs, FLOORS)), F.lit(0.0))
-    each = F.explode(F.array(F.struct(F.lit(0).alias("start"), F.col("norm").alias("d2")),
-                             F.struct(F.lit(1).alias("start"), short.alias("d2"))))
-    return near.select("group", "size", *xs, each.alias("e")).select("group", "size", *xs, "e.*").union(
-        _spread(points.join(signs, "group")).select("group", "size", *xs, "start", "d2"))
-
-
-def _concentrate(tables: Tables, near: DataFrame, name: str) -> DataFrame:
-    """Estimates (group, start) from the (n + p + 1) / 2 closest vectors, ties included."""
+    near = points.join(centre, "group").select("group", *(
+        ((F.col(x) - F.col(f"e{x}")) / F.col(f"w{x}")).alias(f"z{i}") for i, x in enumerate(xs)))
+    norm = sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(p)), F.lit(0.0))
+    near = near.withColumn("norm", F.when(norm > 0, norm))
+    signs = near.groupBy("group").agg(*(  # in whole numbers, so that the order of rows does not matter
+        F.coalesce(F.sum(F.round(F.col(f"z{i}") * F.col(f"z{j}") / F.col("norm") * (1 << 20)).cast("long")), F.lit(0)).alias(f"c{i}{j}")
+        for i in range(p) for j in range(i + 1)))
+    signs = tables.put(signs, "signs").join(centre, "group")
+    signs = signs.select("group", F.lit(2).alias("start"), "size", *(F.col(f"e{x}").alias(f"m{i}") for i, x in enumerate(xs)), *(
+        ((F.col(f"c{i}{j}") / F.col("size") / (1 << 20) + (0.01 if i == j else 0.0)) * F.col(f"w{xs[i]}") * F.col(f"w{xs[j]}"))
+        .alias(f"c{i}{j}") for i in range(p) for j in range(i + 1)))
+
+    def axes(start: int, middle: str, scale: str) -> DataFrame:
+        return centre.select("group", F.lit(start).alias("start"), "size", *(F.col(f"{middle}{x}").alias(f"m{i}") for i, x in enumerate(xs)), *(
+            (F.col(f"{scale}{xs[i]}") * F.col(f"{scale}{xs[i]}") if i == j else F.lit(0.0)).alias(f"c{i}{j}")
+            for i in range(p) for j in range(i + 1)))
+    first = axes(0, "e", "w").union(axes(1, "mid", "half")).union(signs)
+    return tables.put(_estimate(first), "starts")
+
+
+def _concentrate(tables: Tables, points: DataFrame, active: DataFrame, name: str) -> DataFrame:
+    """Estimates (group, start) from the (n + p + 1) / 2 vectors closest by ``active``, ties included.
+
+    The vectors are read twice: for counts by rank, which give each estimate its cut, and
+    for the sums of those within it. Counts and sums are partial before their shuffles, and
+    no row is written.
+    """
     p = len(FEATURES)
-    xs = [f"x{i}" for i in range(p)]
-    ranked = tables.put(near.select("group", "start", "size", *xs, _rank(F.col("d2")).alias("rank")), f"ranked-{name}")
-    counts = ranked.groupBy("group", "start", "size", "rank").agg(F.count("*").alias("n"))  # ranks have few values
+    xs, means, halves = _names()
+    near = points.join(active.drop("det"), "group")
+    counts = (near.select("group", "start", "size", _rank(_distance()).alias("rank"))
+              .groupBy("group", "start", "size", "rank").agg(F.count("*").alias("n")))
     below = F.sum("n").over(Window.partitionBy("group", "start").orderBy("rank"))
     half = F.least(F.floor((F.col("size") + p + 1) / 2), F.col("size"))
     cut = (counts.withColumn("below", below).where(F.col("below") >= half)
            .groupBy("group", "start").agg(F.min("rank").alias("cut")))
-    chosen = ranked.join(cut, ["group", "start"]).where("rank <= cut")
-    sums = tables.put(chosen.groupBy("group", "start", "size").agg(
-        F.count("*").alias("n"), *(F.sum(x).alias(f"s{i}") for i, x in enumerate(xs)),
-        *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}{j}") for i in range(p) for j in range(i + 1))), f"sums-{name}")
-    tables.drop(f"ranked-{name}")
-    return _factors(_moments(sums))
+    cut = tables.put(active.select("group", "start", "size", "det", *means, *halves).join(cut, ["group", "start"]), f"cut-{name}")
+    chosen = (points.join(cut, "group").where(_rank(_distance()) <= F.col("cut"))
+              .groupBy("group", "start", "size", F.col("det").alias("before")).agg(
+                  F.count("*").alias("n"), *(F.sum(x).alias(f"s{i}") for i, x in enumerate(xs)),
+                  *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}{j}") for i in range(p) for j in range(i + 1))))
+    sums = tables.put(chosen, f"sums-{name}")
+    moments = sums.select("group", "start", "size", "before", *((F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in range(p)), *(
+        (F.col(f"s{i}{j}") / F.col("n") - (F.col(f"s{i}") / F.col("n")) * (F.col(f"s{j}") / F.col("n"))
+         + ((FLOORS[i] * UNIT) ** 2 if i == j else 0.0)).alias(f"c{i}{j}") for i in range(p) for j in range(i + 1)))
+    found = _estimate(moments).join(sums.select("group", "start", "before"), ["group", "start"])
+    out = tables.put(found, f"estimate-{name}")
+    tables.drop(f"cut-{name}", f"sums-{name}")
+    return out
 
 
 def judge(docs: DataFrame) -> tuple[DataFrame, Tables]:
@@ -184,8 +204,7 @@ def judge(docs: DataFrame) -> tuple[DataFrame, Tables]:
     rows = text_statistics(rows).drop("text").withColumn("base_failed", base_failed()).withColumns(_vector())
     rows = tables.put(rows, "statistics")
 
-    p = len(FEATURES)
-    xs = [f"x{i}" for i in range(p)]
+    xs, means, halves = _names()
     label = F.to_json(F.struct("lang", "source"), {"ignoreNullFields": "false"})
     by_both = rows.groupBy("lang", "source").agg(F.count("*").alias("n"))
     by_lang = rows.groupBy("lang").agg(F.count("*").alias("n_lang"))
@@ -196,27 +215,29 @@ def judge(docs: DataFrame) -> tuple[DataFrame, Tables]:
     names = tables.put(names, "names")
     rows = tables.put(rows.join(names.withColumnsRenamed({"lang": "_l", "source": "_s"}), F.col("lang").eqNullSafe(F.col("_l"))
                                 & F.col("source").eqNullSafe(F.col("_s"))).drop("_l", "_s"), "rows")
-    tables.drop("statistics")
+    tables.drop("statistics", "names")
 
     points = rows.select("group", *xs)
-    first = _starts(tables, points)
-    parts = [tables.put(_concentrate(tables, first, "0"), "estimate-0")]
+    estimate = ["group", "start", "size", *means, *halves, "det"]
+    parts = [_concentrate(tables, points, _starts(tables, points), "0").select(*estimate)]
+    tables.drop("centre", "width", "signs", "starts")
     active = parts[0]
-    while not active.isEmpty():  # a group's start is left once its determinant falls no further
-        step = _concentrate(tables, _spread(points.join(active, "group")), str(len(parts)))
-        step = step.join(active.select("group", "start", F.col("det").alias("before")), ["group", "start"])
-        active = tables.put(step.where("det < before").drop("before"), f"estimate-{len(parts)}")
+    while active.limit(1).count():  # a group's start is left once its determinant falls no further
+        found = _concentrate(tables, points, active, str(len(parts)))
+        active = found.where("det < before").select(*estimate)
         parts.append(active)
     found = parts[0]
     for part in parts[1:]:
         found = found.union(part)
-    estimate = found.groupBy("group").agg(F.min_by(F.struct(*found.columns[2:]), F.struct("det", "start")).alias("e"))
-    estimate = tables.put(estimate.select("group", "e.*").drop("det", "size"), "least")
-    near = _spread(points.join(estimate, "group"))
-    middle = tables.put(near.groupBy("group").agg(F.expr("percentile(floor(1024 * ln(1 + d2)), 0.5)").alias("mid")), "middle")
-    estimate = tables.put(estimate.join(middle, "group"), "estimate")
+    best = found.groupBy("group").agg(F.min_by(F.struct(*means, *halves), F.struct("det", "start")).alias("e"))
+    best = tables.put(best.select("group", "e.*"), "best")
+    tables.drop(*(f"estimate-{k}" for k in range(len(parts))))
+    middle = points.join(best, "group").groupBy("group").agg(
+        F.percentile(F.floor(1024 * F.log1p(F.greatest(_distance(), F.lit(0.0)))), 0.5).alias("mid"))
+    final = tables.put(best.join(middle, "group"), "estimate")
+    tables.drop("best")
     scale = F.greatest(F.lit(1.0), F.expm1(F.col("mid") / 1024) / CHI_MEDIAN)
-    judged = _spread(rows.join(estimate, "group")).withColumn("distance", F.col("d2") / scale)
+    judged = rows.join(final, "group").withColumn("distance", F.greatest(_distance(), F.lit(0.0)) / scale)
     judged = judged.withColumn("kept", ~F.col("base_failed") & (F.col("distance") <= CUTOFF))
     return judged.select("doc_id", "key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", "kept", "distance"), tables
@@ -228,9 +249,10 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
 
 
 def keep_accepted(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all columns."""
+    """The rows of ``docs`` that the rules keep, with all columns, whatever their names."""
     judged, tables = judge(docs)
     gone = tables.put(judged.where(~F.col("kept")).select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.col("key").alias("_key")).distinct(), "gone")
-    keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_key": F.xxhash64("text")})
-    return keyed.join(bounded(gone), ["_id", "_key"], "left_anti").select(*docs.columns)
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "key").distinct(), "gone")
+    tables.drop("rows", "estimate")
+    same = (F.coalesce(docs["doc_id"].cast("string"), F.lit("")) == gone["id"]) & (F.xxhash64(docs["text"]) == gone["key"])
+    return docs.join(gone, same, "left_anti")
