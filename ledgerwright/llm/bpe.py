@@ -10,6 +10,9 @@ new piece, whatever stands around. Each join, from the last safe place of one ch
 the first of the next (across whole chunks that hold fewer than two), is encoded again,
 so the result agrees exactly with encoding the text whole.
 
+The dictionary is bounded (``DICTIONARY`` chunks of ``DICTIONARY_CHUNK`` bytes), which departs from
+encoding every shared chunk once: a chunk beyond it is encoded at each of its places, with the same tokens.
+
 Defined cases: null and empty texts have no tokens; special tokens written in a text
 become their ids, as the vocabulary's own library does; rows that repeat are encoded
 each; an empty table gives an empty result; other columns are ignored.
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops
-from .common import Tables
+from .common import Tables, vocabulary_path
 
 CHUNK_BITS = 10            # chunks of about 1024 bytes
 DICTIONARY = 20_000        # chunks in the shared dictionary, at most
@@ -53,7 +56,7 @@ class Codec:
     """Exact encoder and decoder of one vocabulary file."""
 
     def __init__(self, vocabulary: str):
-        with open(vocabulary, encoding="utf-8") as f:
+        with open(vocabulary_path(vocabulary), encoding="utf-8") as f:
             spec = json.load(f)
         alphabet = _byte_alphabet()
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -70,6 +73,7 @@ class Codec:
         for token, i in special.items():
             self.token[i] = token.encode()
         self.decimal = [str(i) for i in range(size)]
+        self.packed = np.uint16 if size <= 1 << 16 else np.int32  # of an id in the dictionary
 
     def plain(self, text: bytes) -> list[int]:
         return self.encoding.encode_ordinary(text.decode())
@@ -135,11 +139,11 @@ def _texts(batch: pa.RecordBatch):
         yield buf[offs[i]:offs[i + 1]].tobytes()
 
 
-def shared_chunks(docs: DataFrame, vocabulary: str) -> dict[int, list[int]]:
-    """The dictionary: tokens of the recurring chunks that save most, at most ``DICTIONARY`` of them.
+def shared_chunks(docs: DataFrame, vocabulary: str) -> dict[int, bytes]:
+    """The dictionary: packed tokens of the recurring chunks that save most, at most ``DICTIONARY`` of them.
 
     All chunks of all documents are counted; only the bounded dictionary reaches the
-    driver, and the chunks it leaves out are encoded where they occur.
+    driver, as bytes, and the chunks it leaves out are encoded where they occur.
     """
     tables = Tables(docs.sparkSession, "bpe")
 
@@ -151,7 +155,7 @@ def shared_chunks(docs: DataFrame, vocabulary: str) -> dict[int, list[int]]:
     best = (docs.select("text").mapInArrow(keys, "key long, size long")
             .groupBy("key").agg(F.count("*").alias("n"), F.max("size").alias("size")).where("n > 1")
             .orderBy(F.desc(F.expr("(n - 1) * size")), "key").limit(DICTIONARY).select("key"))
-    wanted = {row.key for row in best.collect()}
+    wanted = set(best.toArrow().column("key").to_pylist())
     if not wanted:
         return {}
     sent = docs.sparkSession.sparkContext.broadcast(wanted)
@@ -173,13 +177,13 @@ def shared_chunks(docs: DataFrame, vocabulary: str) -> dict[int, list[int]]:
         for batch in batches:
             ids = [codec(vocabulary).plain(b) for b in batch.column("body").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array([np.array(x, np.int32).tobytes() for x in ids], pa.binary())],
+                [batch.column("key"), pa.array([np.array(x, codec(vocabulary).packed).tobytes() for x in ids], pa.binary())],
                 ["key", "ids"])
     once = (docs.select("text").mapInArrow(bodies, "key long, body binary")
             .groupBy("key").agg(F.min("body").alias("body")).mapInArrow(encode, "key long, ids binary"))
-    rows = tables.put(once, "dictionary").collect()
+    rows = tables.put(once, "dictionary").toArrow()
     tables.drop("dictionary")
-    return {r.key: np.frombuffer(r.ids, dtype=np.int32).tolist() for r in rows}
+    return dict(zip(rows.column("key").to_pylist(), rows.column("ids").to_pylist()))
 
 
 def encode_documents(docs: DataFrame, vocabulary: str, keep: tuple[str, ...] = ("ids",)) -> DataFrame:
@@ -187,15 +191,14 @@ def encode_documents(docs: DataFrame, vocabulary: str, keep: tuple[str, ...] = (
 
     ``decoded`` is what decoding the ids gives, special tokens included.
     """
-    dictionary = docs.sparkSession.sparkContext.broadcast(
-        {k: np.array(v, np.int32).tobytes() for k, v in shared_chunks(docs, vocabulary).items()})
+    dictionary = docs.sparkSession.sparkContext.broadcast(shared_chunks(docs, vocabulary))
     kinds = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string(),
              "ids": pa.list_(pa.int32()), "decoded": pa.string()}
     names = ["n_tokens", "ids_sha256", "decoded_sha256", *keep]
 
     def run(batches):
         tool = codec(vocabulary)
-        known = _Lists(dictionary.value)
+        known = _Lists(dictionary.value, tool.packed)
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
@@ -221,15 +224,15 @@ def encode_documents(docs: DataFrame, vocabulary: str, keep: tuple[str, ...] = (
 class _Lists:
     """Token lists of the packed dictionary."""
 
-    def __init__(self, packed: dict[int, bytes]):
-        self.packed = packed
+    def __init__(self, packed: dict[int, bytes], kind: type):
+        self.packed, self.kind = packed, kind
 
     def __bool__(self) -> bool:
         return bool(self.packed)
 
     def get(self, key: int) -> list[int] | None:
         ids = self.packed.get(key)
-        return None if ids is None else np.frombuffer(ids, dtype=np.int32).tolist()
+        return None if ids is None else np.frombuffer(ids, dtype=self.kind).tolist()
 
 
 def decode_documents(encoded: DataFrame, vocabulary: str) -> DataFrame:

@@ -67,16 +67,27 @@ def partitions_for(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-#: Rows of a table of a few short columns that may be broadcast (about 64 MB as a hash table).
-BROADCAST_ROWS = 1_500_000
+#: Bytes of a table that may be broadcast, as its counted rows and the widths of its columns tell.
+BROADCAST_BYTES = 64 << 20
+_WIDTHS = {"bigint": 8, "double": 8, "int": 4, "boolean": 1}
 
 
 def bounded(table: DataFrame) -> DataFrame:
-    """A written narrow table, to be broadcast only where its counted rows are within the bound.
+    """A written narrow table, to be broadcast only where its counted rows times their width are within the bound.
 
-    Beyond it the same join is a shuffled one, whose hot keys AQE splits.
+    Texts and arrays count as 64 bytes: only tables whose texts and arrays are short are given
+    here. Beyond the bound the same join is a shuffled one, whose hot keys AQE splits.
     """
-    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+    width = 16 + sum(_WIDTHS.get(f.dataType.simpleString(), 64) for f in table.schema.fields)
+    return F.broadcast(table) if table.count() * width <= BROADCAST_BYTES else table
+
+
+def vocabulary_path(name: str) -> str:
+    """The file of a public tokenizer, where this process runs; a name that is a path is taken as it is."""
+    if "/" in name:
+        return name
+    import public_tokenizers
+    return public_tokenizers.path(name)
 
 
 def components(tables: Tables, links: DataFrame, name: str, max_rounds: int = 40) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,8 +9,8 @@ from . import (bpe, decontaminate, fingerprints, hard_negatives, language_id, li
                quality_rules, secrets, suffix_dedup, warc, whitening)
 from .common import read_table
 
-VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
-RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+VOCABULARY = "byte_bpe_50k.json"  # found by each task where it runs
+RANKS = "byte_bpe_50k.tiktoken"
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
