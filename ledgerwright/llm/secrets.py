@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import PATTERN
+from .common import vocabulary_path
 
 MIN_RATIO = 2.0      # characters a token; prose has three or more
 MIN_LENGTH = 20      # characters of a random string
@@ -53,7 +54,7 @@ _WORDY = re.compile(r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]{1,4})+")
 
 @lru_cache(maxsize=2)
 def _vocabulary(path: str) -> tiktoken.Encoding:
-    with open(path, "rb") as f:
+    with open(vocabulary_path(path), "rb") as f:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
     return tiktoken.Encoding("secrets", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
@@ -136,11 +137,10 @@ def _masked(text: str, spans: list[tuple[int, int, int]]) -> str:
     return "".join(out) + text[done:]
 
 
-def scan(docs: DataFrame, vocabulary: str, min_ratio: float = MIN_RATIO, masked: bool = False) -> DataFrame:
+def scan(docs: DataFrame, vocabulary: str, min_ratio: float = MIN_RATIO) -> DataFrame:
     """All columns of ``docs`` but clashing ones, and n_assign, n_access, n_hex, n_random, base_sha256, spans.
 
-    ``spans`` joins kind:start:end of all spans. With ``masked``, ``text`` has each
-    span replaced by a mark, and nothing else of a row changes.
+    ``spans`` joins kind:start:end of all spans.
     """
     found = ["n_assign", "n_access", "n_hex", "n_random", "base_sha256", "spans"]
     rows = docs.select(*(c for c in docs.columns if c not in found))
@@ -149,7 +149,7 @@ def scan(docs: DataFrame, vocabulary: str, min_ratio: float = MIN_RATIO, masked:
         for batch in batches:
             texts = batch.column("text").to_pylist()
             columns = {n: [] for n in found}
-            for i, text in enumerate(texts):
+            for text in texts:
                 spans = find(text, vocabulary, min_ratio) if text else []
                 for k in range(4):
                     columns[found[k]].append(sum(s[1] == k for s in spans))
@@ -157,11 +157,7 @@ def scan(docs: DataFrame, vocabulary: str, min_ratio: float = MIN_RATIO, masked:
                 base = ",".join(t for t, s in zip(told, spans) if s[1] < 3)
                 columns["base_sha256"].append(hashlib.sha256(base.encode()).hexdigest())
                 columns["spans"].append(",".join(told))
-                if masked and spans:
-                    texts[i] = _masked(text, spans)
             out = dict(zip(batch.schema.names, batch.columns))
-            if masked:
-                out["text"] = pa.array(texts, batch.schema.field("text").type)
             out |= {n: pa.array(v, pa.int64() if n[:2] == "n_" else pa.string()) for n, v in columns.items()}
             yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
     added = [T.StructField(n, T.LongType() if n[:2] == "n_" else T.StringType()) for n in found]
@@ -170,7 +166,14 @@ def scan(docs: DataFrame, vocabulary: str, min_ratio: float = MIN_RATIO, masked:
 
 def mask_secrets(docs: DataFrame, vocabulary: str) -> DataFrame:
     """``docs`` with every secret masked in the text; n_chars, where present, follows the text."""
-    out = scan(docs, vocabulary, masked=True).select(*docs.columns)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            texts = [t and _masked(t, find(t, vocabulary)) for t in batch.column(at).to_pylist()]
+            columns = [*batch.columns[:at], pa.array(texts, batch.schema.field(at).type), *batch.columns[at + 1:]]
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+    out = docs.mapInArrow(run, docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType),
                                                    F.col("n_chars")))
