@@ -1,4 +1,4 @@
-"""Removal of byte strings that occur elsewhere in the corpus, by blockwise suffix sorting.
+"""Removal of byte strings that occur elsewhere in the corpus, by blocks of suffixes and a precomputed sample.
 
 A byte goes when some ``length``-byte string that covers it also starts at another
 place, in the same document or another. All suffixes of a corpus can't be moved or
@@ -13,13 +13,18 @@ held at once, so the construction is blockwise with a precomputed sample:
 2. *Buckets.* Windows that share their sample string form a bucket. Buckets with a
    single occurrence drop out. Occurrences whose whole surroundings (all bytes of
    the windows that picked them) are equal collapse into one class with a count.
-3. *Blockwise sort.* A task takes one block of whole buckets at a time. Suffixes
-   are laid out with sample places at multiples of ``STEP``; ranks of that periodic
-   difference cover are built by doubling, and ties beyond ``STEP`` bytes are
-   resolved by these ranks. Equal neighbours in suffix order are repeated windows.
+3. *Blocks.* A task takes one block of whole buckets at a time. Suffixes
+   are laid out with sample places at multiples of ``STEP``, a periodic cover whose names
+   are doubled in length until they span a window; ties beyond ``STEP`` bytes are
+   resolved by these names. Suffixes of equal names are repeated windows.
    A bucket of more than ``BUCKET`` classes is instead spread window by window over
    all tasks, with a partial count.
 
+What departs from a difference-cover suffix sort: suffixes are grouped by names, not put
+in byte order, since only equal windows are asked for, and these always stand at equal
+places between cover places. An order of all suffixes would also have to compare unlike places.
+Names of windows are 64-bit hashes of exact names within a block.
+
 Defined cases: a null text is empty; a text shorter than ``length`` bytes loses
 nothing; rows that repeat are separate documents, so they match each other; null ids
 are kept; an empty table gives an empty result; other columns are ignored.
@@ -46,10 +51,10 @@ _NULL_ID = -(1 << 63)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text, and the key (d, t) of a row, which is never null."""
+    """doc_id, text, and the key (d, t) of a row: its id, never null, and a 128-bit digest of its text."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumns({
-        "d": F.coalesce("doc_id", F.lit(_NULL_ID)), "t": (F.crc32(F.col("text").cast("binary")) - (1 << 31)).cast("int")})
+        "d": F.coalesce("doc_id", F.lit(_NULL_ID)), "t": F.unhex(F.md5(F.col("text").cast("binary")))})
 
 
 def _places(text: np.ndarray, length: int, gram: int):
@@ -69,7 +74,7 @@ def _places(text: np.ndarray, length: int, gram: int):
 
 def _long_texts(batch: pa.RecordBatch, length: int):
     buf, offs = textops.text_buffer(batch.column("text"))
-    d, t = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("d", "t"))
+    d, t = batch.column("d").to_numpy(zero_copy_only=False), batch.column("t").to_pylist()
     for k in np.flatnonzero(np.diff(offs) >= length):
         yield d[k], t[k], buf[offs[k]:offs[k + 1]], k
 
@@ -83,8 +88,8 @@ def _samples(rows: DataFrame, length: int, gram: int, only_hash: bool) -> DataFr
                     yield pa.RecordBatch.from_arrays([pa.array(fp)], ["fp"])
                 else:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(x) for x in (fp, cls, np.full(len(at), d), np.full(len(at), t, np.int32),
-                                               first.astype(np.int32), (last - first).astype(np.int32))],
+                        [pa.array(fp), pa.array(cls), pa.array(np.full(len(at), d)), pa.array([t] * len(at), pa.binary()),
+                         pa.array(first.astype(np.int32)), pa.array((last - first).astype(np.int32))],
                         ["fp", "cls", "d", "t", "first", "more"])
     def packed(batches):  # fewer and larger Arrow batches
         held, n = [], 0
@@ -96,7 +101,7 @@ def _samples(rows: DataFrame, length: int, gram: int, only_hash: bool) -> DataFr
                 held, n = [], 0
         if n:
             yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-    schema = "fp long" if only_hash else "fp long, cls long, d long, t int, first int, more int"
+    schema = "fp long" if only_hash else "fp long, cls long, d long, t binary, first int, more int"
     return rows.select("d", "t", "text").mapInArrow(packed, schema)
 
 
@@ -258,7 +263,8 @@ def repeated_spans(tables: Tables, rows: DataFrame, length: int) -> DataFrame:
     tables.drop("class-texts", "wanted", "buckets", "classes", "repeated-samples")
     shifted = (seen.join(spans, ["fp", "cls"])
                .select("d", "t", F.expr("transform(spans, x -> x + first)").alias("spans")))
-    out = tables.put(shifted.groupBy("d", "t").agg(F.flatten(F.collect_list("spans")).alias("spans")), "removals")
+    # rows equal in id and text have equal spans: one set for all of them, reduced where they lie
+    out = tables.put(shifted.groupBy("d", "t").agg(F.flatten(F.collect_set("spans")).alias("spans")), "removals")
     tables.drop("occurrences", "spans")
     return out
 
