@@ -2,7 +2,7 @@
 
 A document's set holds its distinct word shingles (words are runs outside
 0x20, 0x09-0x0D, ASCII letters lower-cased; a shorter text is one shingle of all
-its words). Equal sets collapse into a class first. The forest keeps several
+its words). Equal sets collapse into a class first. The forest keeps ``TREES``
 orders of one MinHash signature. In each order a *region* is a run of documents
 that share a label prefix; the prefix is extended only where a region holds more
 than ``REGION`` documents (adaptive depth). Within a region of bounded size,
@@ -44,8 +44,7 @@ from .common import Tables, bounded, components
 
 VALUES = 64                    # MinHash values of a signature
 TREES = 16                     # orders of the signature
-MORE_TREES = 48                # further orders for documents of regions that were too large
-DEPTHS = (3, 6, 9, 13, 18, 26, 48)    # label prefixes at which a region may end
+DEPTHS = (3, 6, 12, 24)        # label prefixes at which a region may end
 REGION = 64                    # a larger region is split by the next prefix
 NEIGHBOURS = 24                # longest-common-prefix neighbours of a dense document in a region of the forest
 PIVOTS = 3                     # central documents that all of a large region meet
@@ -56,7 +55,7 @@ LOSS = 1e-6                    # chance that the sketch test loses a pair just a
 
 _rng = np.random.default_rng(8)
 _MULTIPLIERS = _rng.integers(0, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ORDERS = np.stack([_rng.permutation(VALUES)[:DEPTHS[-1]] for _ in range(TREES + MORE_TREES)])
+_ORDERS = np.stack([_rng.permutation(VALUES)[:DEPTHS[-1]] for _ in range(TREES)])
 
 
 def _sets(batch: pa.RecordBatch, size: int):
@@ -159,11 +158,10 @@ def neighbours(small: DataFrame, depth: int, partners: int) -> DataFrame:
 def candidates(tables: Tables, classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Distinct pairs (a < b) of classes: with pivots of the largest regions, and all others; the dense documents.
 
-    All documents meet all others of their regions in ``TREES`` orders at the first prefix.
-    Those of a region too large there are dense: they alone go on to deeper prefixes,
-    in ``MORE_TREES`` further orders too, so that members of a large family which
-    link to few others still meet them. All members of a large region are dense, so
-    its parts are whole there. The table of dense documents stays for ``dense_pairs``.
+    All documents meet all others of their regions at the first prefix. Those of a
+    region too large there are dense: they alone go on to deeper prefixes, which join
+    most of a family, and ``dense_pairs`` finds the rest of their links exactly. All members of a
+    large region are dense, so its parts are whole there.
     """
     rows = labels(classes, range(TREES))
     large = crowded(tables, rows, "k0", "crowded")
@@ -171,7 +169,7 @@ def candidates(tables: Tables, classes: DataFrame, percent: int) -> tuple[DataFr
     dense = tables.put(rows.join(large, "k0", "left_semi").select("doc").distinct(), "dense")
     if dense.isEmpty():
         return tables.spark.createDataFrame([], "a long, b long"), found[0], dense
-    star, more = forest(tables, classes.join(dense, "doc", "left_semi"), range(TREES + MORE_TREES), percent)
+    star, more = forest(tables, classes.join(dense, "doc", "left_semi"), range(TREES), percent)
     out = found[0]
     for part in more:
         out = out.union(part)
@@ -188,7 +186,7 @@ def forest(tables: Tables, classes: DataFrame, orders: range, percent: int) -> t
         key = f"k{d}"
         regions = crowded(tables, rows, key, f"crowded-{d}")
         pairs = neighbours(rows.join(regions, key, "left_anti"), d, NEIGHBOURS)
-        large = rows.join(regions, key, "left_semi")
+        large = rows.join(regions, key, "left_semi").drop(*(f"k{k}" for k in range(d)))  # passed prefixes go
         if d == 0:
             weights = rows.join(regions, key).groupBy("doc").agg(F.sum("n").alias("weight"))
             large = large.join(bounded(tables.put(weights, "weights")), "doc")
@@ -314,11 +312,11 @@ def dense_pairs(tables: Tables, sets: DataFrame, dense: DataFrame, joined: DataF
                .join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
                .select("doc_id", F.coalesce("component", "doc_id").alias("component"), "items"))
     rows = heads(members, rarity(members), percent)
-    hot = rows.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
-    hot = tables.put(hot.select("token", F.ceil(F.col("n") / BLOCK).alias("blocks")), "hot")
+    # a shingle whose documents are one component already can't add a link: of a joined family nothing is dealt
+    mixed = rows.groupBy("token").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+    mixed = tables.put(mixed.where("low <> high").select("token", F.ceil(F.col("n") / BLOCK).alias("blocks")), "mixed")
     block = F.pmod(F.xxhash64("doc"), F.col("blocks"))
-    dealt = (rows.join(bounded(hot), "token", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-             .withColumn("block", block)
+    dealt = (rows.join(bounded(mixed), "token").withColumn("block", block)
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
     cells = (dealt.groupBy("token", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
              .agg(F.collect_list(F.struct("doc", "component", "size", "left", "block", "parities")).alias("cell"))
@@ -392,7 +390,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     copies = (filled.join(classes.select("digest", "doc"), "digest").where("doc_id <> doc")
               .select(F.col("doc_id").alias("a"), F.col("doc").alias("b")))
     labelled = components(tables, links.union(copies), "components")
-    tables.drop("pairs", "pairs-first", "dense", "hot", "star", "weights", "rest", "sets", "classes", "star-links", "links",
+    tables.drop("pairs", "pairs-first", "dense", "mixed", "star", "weights", "rest", "sets", "classes", "star-links", "links",
                 *(f"{t}-{d}" for t in ("rows", "crowded", "pivots") for d in range(len(DEPTHS) + 1)))
     return (sketches.select("doc_id", "n_shingles")
             .join(labelled.withColumnRenamed("node", "doc_id"), "doc_id", "left")

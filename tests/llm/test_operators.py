@@ -365,3 +365,64 @@ def test_pipeline_stages(spark):
     for r in out:
         text = secrets._masked(texts[r.doc_id], secrets.find(texts[r.doc_id], RANKS))
         assert list(r.ids) == tool.encode(text, add_special_tokens=False).ids
+
+
+def test_checksum_clash_and_repeated_rows_of_one_id(spark):
+    import time
+    import zlib
+    seen, rng, clash = {}, random.Random(0), None
+    while clash is None:  # two texts of one crc32
+        text = "%016x" % rng.getrandbits(64)
+        other = seen.setdefault(zlib.crc32(text.encode()), text)
+        clash = (text, other) if other != text else None
+    passage = "x" + _prose(random.Random(2), 150)
+    a, b = (head + passage[1:] for head in ("a", "b"))
+    a, b = a + clash[0], b + clash[0]
+    rows = [(None, a, None, None, None, None), (None, b, None, None, None, None)]
+    rows += [(None, clash[0] * 30, None, None, None, None), (None, clash[1] * 30, None, None, None, None)]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, DOCS)).collect()
+    assert len(got) == 4 and sorted(r.n_removed for r in got)[2:] == [len(a) - 1] * 2
+    for n in (100, 400):
+        same = spark.createDataFrame([(None, passage, None, None, None, None)] * n, DOCS)
+        tables = suffix_dedup.Tables(spark, "test")
+        spans = suffix_dedup.repeated_spans(tables, suffix_dedup._keyed(same), 400).collect()
+        assert len(spans) == 1 and len(spans[0].spans) < 40  # whatever the number of equal rows
+    start = time.time()
+    same = spark.createDataFrame([(None, passage, None, None, None, None)] * 10_000, DOCS).repartition(8)
+    got = suffix_dedup.remove_repeats(same).groupBy("n_removed", "n_spans").count().collect()
+    assert [tuple(r) for r in got] == [(len(passage), 1, 10_000)] and time.time() - start < 120
+
+
+def test_dense_family_of_one_component_is_not_dealt(spark, monkeypatch):
+    rng = random.Random(4)
+    words = _prose(rng, 200).split()
+    texts = []
+    for k in range(300):
+        changed = list(words)
+        changed[k % 200] = f"edit{k}"
+        texts.append(" ".join(changed))
+    rows = [(i, t, None, None, None, None) for i, t in enumerate(texts)]
+    kept = {}
+    put = near_dedup.Tables.put
+
+    def counted(self, df, name):
+        out = put(self, df, name)
+        if name in ("mixed", "rest"):
+            kept[name] = out.count()
+        return out
+    monkeypatch.setattr(near_dedup.Tables, "put", counted)
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, DOCS), shingle=3, percent=85).collect()
+    assert {r.component_id for r in got} == {0} and kept["mixed"] == 0
+
+
+def test_stages_keep_columns_with_clashing_names(spark):
+    text = _prose(random.Random(1), 60)
+    rows = [(i, text + f" {i}", "en", "s", 1, "mine", "mine", "mine", "mine", 7) for i in range(70)]
+    docs = spark.createDataFrame(rows, DOCS + ", _id string, _key string, spans string, n_hex long")
+    docs = docs.withColumn("id", docs["_id"]).withColumn("key", docs["_key"])
+    kept = quality_rules.keep_accepted(docs)
+    assert kept.columns == docs.columns
+    assert {tuple(r[5:]) for r in kept.collect()} == {("mine", "mine", "mine", "mine", 7, "mine", "mine")}
+    masked = secrets.mask_secrets(docs, RANKS)
+    assert masked.columns == docs.columns
+    assert {tuple(r[5:]) for r in masked.collect()} == {("mine", "mine", "mine", "mine", 7, "mine", "mine")}
