@@ -45,7 +45,7 @@ from .common import Tables, bounded
 GRAM_SHARE = 0.64     # sample strings are this share of the window
 STEP = 16             # distance of cover places in a block
 BUCKET = 2000         # classes of a bucket that one task sorts
-BLOCK_MB = 8          # class bytes that are sorted at a time
+BLOCK_MB = 3          # class bytes that are grouped at a time, of which numpy holds some eighty times as much
 
 _NULL_ID = -(1 << 63)
 
