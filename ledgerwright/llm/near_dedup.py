@@ -20,7 +20,7 @@ the dense documents (members of a region that is too large) also have an exact s
 a prefix-filter join. Shingles have one order, rare ones first; two documents at the
 threshold share one within the first ``n - ceil(percent * n / 100) + 1`` of each. Pairs
 that share such a shingle pass only if their sizes, the places of the shingle and the
-parities of both sets leave a link possible; all three are bounds that lose no link.
+parities of both sets leave a link possible; all three are bounds that lose no link (sizes and parities also test all pairs of the forest before any set is moved).
 A shingle of many documents is dealt out over pairs of blocks.
 
 Defined cases: a null or word-less text has an empty set and no links; rows that
@@ -78,19 +78,21 @@ def signature(values: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, size: int) -> DataFrame:
-    """One row per document: doc_id, n_shingles, digest of the set, signature."""
+    """One row per document: doc_id, n_shingles, digest of the set, signature, parities."""
     def run(batches):
         for batch in batches:
-            n, digest, sig = [], [], []
+            n, digest, sig, odd = [], [], [], []
             for values in _sets(batch, size):
                 n.append(len(values))
+                odd.append(_parities(values) if len(values) else None)
                 digest.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest())
                 sig.append(signature(values).tobytes() if len(values) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
-                 pa.array(sig, pa.binary())], ["doc_id", "n_shingles", "digest", "sig"])
+                 pa.array(sig, pa.binary()), pa.array(odd, pa.binary())],
+                ["doc_id", "n_shingles", "digest", "sig", "parities"])
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, digest binary, sig binary")
+        run, "doc_id long, n_shingles long, digest binary, sig binary, parities binary")
 
 
 def labels(classes: DataFrame, orders: range) -> DataFrame:
@@ -196,18 +198,17 @@ def forest(tables: Tables, classes: DataFrame, orders: range, percent: int) -> t
             break
         pivots = tables.put(
             large.groupBy(key, F.pmod(F.xxhash64("doc"), F.lit(PIVOTS)).alias("class"))
-            .agg(F.max_by(F.struct("doc", "about"), F.struct("weight", "doc")).alias("pivot")), f"pivots-{d}")
+            .agg(F.max(F.struct("weight", "doc", "about")).alias("pivot")), f"pivots-{d}")
         # a document's pivots over all orders are mostly the same few, so they are gathered before pairs are made
         met = (large.join(bounded(pivots.groupBy(key).agg(F.collect_list("pivot").alias("pivots"))), key)
                .groupBy("doc").agg(F.first("about").alias("about"), F.collect_set("pivots").alias("pivots"))
-               .select("doc", "about", F.explode(F.array_distinct(F.flatten("pivots"))).alias("pivot"))
-               .select(F.col("doc").alias("p"), F.col("about").alias("pa"),
+               .select("doc", "about", F.posexplode(F.sort_array(F.array_distinct(F.flatten("pivots")), asc=False)).alias("k", "pivot"))
+               .select("k", F.col("doc").alias("p"), F.col("about").alias("pa"),
                        F.col("pivot.doc").alias("q"), F.col("pivot.about").alias("qa")))
-        if d == 0:
-            star = tables.put(_ordered(met, percent), "star")
-            found.append(tables.put(_ordered(pairs, percent), f"pairs-{d}"))
-        else:
-            found.append(tables.put(_ordered(pairs.union(met), percent), f"pairs-{d}"))
+        if d == 0:  # the heaviest pivot at first: most others are of its component by then
+            star = tables.put(_ordered(met.where("k = 0").drop("k"), percent), "star")
+            met = met.where("k > 0")
+        found.append(tables.put(_ordered(pairs.union(met.drop("k")), percent), f"pairs-{d}"))
         tables.drop(f"rows-{d}", f"crowded-{d}", f"pivots-{d}")
         rows = large
     return star, found
@@ -342,6 +343,23 @@ def dense_pairs(tables: Tables, sets: DataFrame, dense: DataFrame, joined: DataF
             .mapInArrow(run, "a long, b long").distinct())
 
 
+def possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose set sizes and parities leave a link possible: a bound that loses none, on narrow rows."""
+    def test(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("x", "y"))
+            unlike = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            both = batch.column("both").to_numpy()
+            keep = (100 + percent) * (both - unlike) >= 2 * percent * both
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    def named(side: str, odd: str, size: str) -> DataFrame:
+        return classes.select(F.col("doc").alias(side), F.col("parities").alias(odd), F.col("size").alias(size))
+    return (pairs.join(named("a", "x", "m"), "a").join(named("b", "y", "n"), "b")
+            .select("a", "b", (F.col("m") + F.col("n")).alias("both"), "x", "y").mapInArrow(test, "a long, b long"))
+
+
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets meet ``100 * intersection >= percent * union``."""
     def test(batches):
@@ -373,8 +391,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     sketches = tables.put(sketch(docs, shingle), "sketches")
     filled = sketches.where("n_shingles > 0 and doc_id is not null")
     classes = tables.put(filled.groupBy("digest").agg(F.min("doc_id").alias("doc"), F.max("sig").alias("sig"),
-                                                           F.max("n_shingles").alias("size")), "classes")
+                                                           F.max("n_shingles").alias("size"),
+                                                      F.max("parities").alias("parities")), "classes")
     star, pairs, dense = candidates(tables, classes, percent)
+    star = tables.put(possible(star, classes, percent), "star-possible")
+    pairs = tables.put(possible(pairs, classes, percent), "pairs-possible")
     named = star.union(pairs).union(dense.select("doc", "doc"))
     sets = tables.put(full_sets(docs, named, shingle), "sets")
     near = tables.put(confirm(star, sets, percent), "star-links")
@@ -390,7 +411,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     copies = (filled.join(classes.select("digest", "doc"), "digest").where("doc_id <> doc")
               .select(F.col("doc_id").alias("a"), F.col("doc").alias("b")))
     labelled = components(tables, links.union(copies), "components")
-    tables.drop("pairs", "pairs-first", "dense", "mixed", "star", "weights", "rest", "sets", "classes", "star-links", "links",
+    tables.drop("pairs", "pairs-first", "star-possible", "pairs-possible", "dense", "mixed", "star", "weights", "rest", "sets", "classes", "star-links", "links",
                 *(f"{t}-{d}" for t in ("rows", "crowded", "pivots") for d in range(len(DEPTHS) + 1)))
     return (sketches.select("doc_id", "n_shingles")
             .join(labelled.withColumnRenamed("node", "doc_id"), "doc_id", "left")
