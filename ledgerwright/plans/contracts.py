@@ -1,9 +1,9 @@
-"""Contract suites (NOT NULL, UNIQUE, FOREIGN KEY, CHECK, DEFAULT) over produced tables.
+"""The warehouse's table contracts, and suites (NOT NULL, UNIQUE, FOREIGN KEY, CHECK, DEFAULT) over them.
 
-Each suite also runs over source-shaped inputs that carry planted violations:
-raw delivery lines repeat delivery ids, some order documents have no
-restaurant, user documents share logins and the unshifted driver dates fall
-before the contract years.
+The produced tables carry the constraints of their definitions. Source-shaped inputs carry
+planted violations: raw delivery lines repeat delivery ids, some order documents have no
+restaurant, user documents share logins, orders are updated after their date, and the
+unshifted driver dates fall before the contract years.
 """
 
 from __future__ import annotations
@@ -13,103 +13,126 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import quality as Q
+from ..operators.contract import KINDS, Contract, evaluate, rules, tables_of
 from ..sources import fixtures as fx
-from . import dims
+from .snapshot import Snapshot, stored
 from .warehouse import Warehouse
 
 LEDGER_MONEY = ["orders_total_sum", "order_processing_fee", "courier_order_sum", "courier_tips_sum",
                 "courier_reward_sum"]
 FACT_MONEY = ["price", "total_sum", "bonus_payment", "bonus_grant"]
+REPORT_MONEY = ["orders_total_sum", "orders_bonus_payment_sum", "orders_bonus_granted_sum", "order_processing_fee",
+                "restaurant_reward_sum"]
+
+
+def _in(c: str, lo, hi) -> F.Column:
+    return (F.col(c) >= lo) & (F.col(c) <= hi)
+
+
+def _positive(*columns: str) -> dict[str, F.Column]:
+    return {c: F.col(c) >= 0 for c in columns}
+
+
+def contracts() -> list[Contract]:
+    """Every constraint of the warehouse tables, and the same rules on source-shaped inputs."""
+    restaurants, users = ("dm_restaurants", "restaurant_id"), ("dm_users", "user_id")
+    couriers, orders, times = ("dm_couriers", "courier_id"), ("dm_orders", "order_key"), ("dm_timestamps", "ts")
+    years = {"year": _in("year", 2022, 2200)}
+    return [
+        Contract("dm_restaurants", ["restaurant_id", "restaurant_name", "active_from", "active_to"],
+                 unique=[["restaurant_id"]]),
+        Contract("dm_users", ["user_id", "user_name", "user_login"], unique=[["user_id"], ["user_login"]]),
+        Contract("dm_timestamps", ["ts", "year", "month", "day", "time", "date"],
+                 {**years, "month": _in("month", 1, 12), "day": _in("day", 1, 31)}, ["special_mark"],
+                 [["ts", "special_mark"]]),
+        Contract("dm_products", ["restaurant_id", "product_id", "product_name", "product_price", "active_from", "active_to"],
+                 _positive("product_price"), ["product_price"], foreign={"restaurant_id": restaurants}),
+        Contract("dm_orders", ["order_key", "user_id", "restaurant_id", "order_ts", "order_status"], unique=[["order_key"]],
+                 foreign={"user_id": users, "restaurant_id": restaurants, "order_ts": times}),
+        Contract("fct_product_sales", ["product_id", "order_id", "count", *FACT_MONEY], _positive("count", *FACT_MONEY),
+                 ["count", *FACT_MONEY], [["order_id", "product_id"]],
+                 {"order_id": orders, "product_id": ("dm_products", "product_id")}),
+        Contract("dm_couriers", ["courier_id", "courier_name"], unique=[["courier_id"]]),
+        Contract("dm_deliveries", ["delivery_id", "order_id", "courier_id", "address", "delivery_ts", "rate", "order_sum",
+                                   "tip_sum"], _positive("order_sum"), ["tip_sum"], [["delivery_id"]],
+                 {"courier_id": couriers, "order_id": orders, "delivery_ts": times}),
+        Contract("dm_courier_ledger", ["courier_id", "courier_name", "settlement_year", "settlement_month", "orders_count",
+                                       "rate_avg", *LEDGER_MONEY],
+                 {"settlement_year": _in("settlement_year", 2022, 2200), "settlement_month": _in("settlement_month", 1, 12),
+                  **_positive("orders_count", "rate_avg", *LEDGER_MONEY)}, [*LEDGER_MONEY, "rate_avg"],
+                 [["courier_id", "settlement_year", "settlement_month"]], {"courier_id": couriers}),
+        Contract("dm_settlement_report", ["restaurant_id", "restaurant_name", "settlement_date", "orders_count", *REPORT_MONEY],
+                 {"settlement_date": (F.col("settlement_date") >= F.lit(_dt.date(2022, 1, 1)))
+                  & (F.col("settlement_date") < F.lit(_dt.date(2500, 1, 1))), **_positive("orders_count", *REPORT_MONEY)},
+                 REPORT_MONEY, foreign={"restaurant_id": restaurants}),
+        # source-shaped inputs
+        Contract("ordersystem_orders", ["order_id", "restaurant_id", "order_date", "user_id"],
+                 foreign={"restaurant_id": restaurants, "user_id": users, "order_date": times}),
+        Contract("ordersystem_users", unique=[["user_login"]]),
+        Contract("deliveries_raw", unique=[["delivery_id"]]),
+        Contract("lineitem", checks=years, unique=[["l_orderkey", "l_linenumber"]]),
+    ]
+
+
+#: Warehouse layer behind each produced table.
+_LAYER = {"dm_restaurants": "dim_restaurants", "dm_users": "dim_users", "dm_timestamps": "dim_timestamps",
+          "dm_products": "dim_products", "dm_orders": "dim_orders", "fct_product_sales": "fact_lines",
+          "dm_couriers": "dim_couriers", "dm_deliveries": "dim_deliveries", "ordersystem_orders": "order_headers"}
+
+
+def _tables(w: Warehouse, snapshot: Snapshot, names: set[str]) -> tuple[dict[str, DataFrame], list[str]]:
+    """The named contract tables, produced ones written, and the names written."""
+    marts = {"dm_courier_ledger": ("deliveries", "dim_couriers"), "dm_settlement_report": ("fact_lines", "dim_restaurants")}
+    layers = [_LAYER[n] for n in names if n in _LAYER] + [x for n in names for x in marts.get(n, ())]
+    own, written = stored(w, snapshot, layers)
+    out = {n: getattr(own, _LAYER[n]) for n in names if n in _LAYER}
+    for name, make in (("dm_courier_ledger", own.courier_ledger), ("dm_settlement_report", own.settlement_report)):
+        if name in names:
+            out[name] = snapshot.put(make(), name)
+            written.append(name)
+    raw = {"ordersystem_users": lambda: w.user_docs.select(F.get_json_object("object_value", "$.login").alias("user_login")),
+           "deliveries_raw": lambda: fx.delivery_candidates(w.t),
+           "lineitem": lambda: w.t.lineitem.select("l_orderkey", "l_linenumber", F.year("l_shipdate").alias("year"))}
+    return out | {n: make() for n, make in raw.items() if n in names}, written
+
+
+def suite(w: Warehouse, kinds: tuple[str, ...] = KINDS, arity: int | None = None) -> DataFrame:
+    """Rows (table, rule, violations) of the rules of ``kinds``: every table read once, from its written copy."""
+    found = rules(contracts(), kinds, arity)
+    snapshot = Snapshot(w.spark, "contracts")
+    tables, written = _tables(w, snapshot, tables_of(found))
+    out = snapshot.put(evaluate(tables, found), "violations")
+    snapshot.drop(*written)
+    return out
 
 
 def qc_not_null(w: Warehouse) -> DataFrame:
-    return Q.union_all([
-        Q.not_null(w.dim_orders, "dm_orders", ["order_key", "user_id", "restaurant_id", "order_ts", "order_status"]),
-        Q.not_null(w.dim_deliveries, "dm_deliveries",
-                   ["delivery_id", "order_id", "courier_id", "delivery_ts", "rate", "order_sum", "tip_sum"]),
-        Q.not_null(dims.order_doc_fields(w.order_docs), "ordersystem_orders",
-                   ["order_id", "restaurant_id", "order_date", "user_id"]),
-        Q.not_null(w.courier_ledger(), "dm_courier_ledger", ["courier_id", "courier_name", "rate_avg"]),
-    ])
+    return suite(w, ("not_null",))
 
 
 def qc_unique(w: Warehouse) -> DataFrame:
-    user_docs = w.user_docs.select(
-        F.get_json_object("object_value", "$.login").alias("user_login"))
-    return Q.union_all([
-        Q.unique(w.dim_deliveries, "dm_deliveries", ["delivery_id"]),
-        Q.unique(fx.delivery_candidates(w.t), "deliveries_raw", ["delivery_id"]),
-        Q.unique(w.dim_users, "dm_users", ["user_login"]),
-        Q.unique(w.dim_users, "dm_users", ["user_id"]),
-        Q.unique(user_docs, "ordersystem_users", ["user_login"]),
-        Q.unique(w.dim_restaurants, "dm_restaurants", ["restaurant_id"]),
-        Q.unique(w.dim_couriers, "dm_couriers", ["courier_id"]),
-        Q.unique(w.dim_orders, "dm_orders", ["order_key"]),
-    ])
+    return suite(w, ("unique",), 1)
 
 
 def qc_unique_composite(w: Warehouse) -> DataFrame:
-    return Q.union_all([
-        Q.unique(w.courier_ledger(), "dm_courier_ledger", ["courier_id", "settlement_year", "settlement_month"]),
-        Q.unique(w.fact_lines, "fct_product_sales", ["order_id", "product_id"]),
-        Q.unique(w.t.lineitem, "lineitem", ["l_orderkey", "l_linenumber"]),
-        Q.unique(w.dim_timestamps, "dm_timestamps", ["ts", "special_mark"]),
-    ])
+    return suite(w, ("unique",), 2)
 
 
 def qc_foreign_key(w: Warehouse) -> DataFrame:
-    facts = w.fact_lines
-    checks = [
-        (w.dim_deliveries, "dm_deliveries", "courier_id", "dm_couriers"),
-        (w.dim_deliveries, "dm_deliveries", "order_id", "dm_orders"),
-        (w.dim_orders, "dm_orders", "user_id", "dm_users"),
-        (w.dim_orders, "dm_orders", "restaurant_id", "dm_restaurants"),
-        (facts, "fct_product_sales", "order_id", "dm_orders"),
-        (facts, "fct_product_sales", "product_id", "dm_products"),
-        (w.dim_products, "dm_products", "restaurant_id", "dm_restaurants"),
-        (dims.order_doc_fields(w.order_docs), "ordersystem_orders", "restaurant_id", "dm_restaurants"),
-    ]
-    parents = {"dm_couriers": (w.dim_couriers, "courier_id"), "dm_orders": (w.dim_orders, "order_key"),
-               "dm_users": (w.dim_users, "user_id"), "dm_restaurants": (w.dim_restaurants, "restaurant_id"),
-               "dm_products": (w.dim_products, "product_id")}
-    return Q.foreign_keys(checks, parents)
-
-
-def _in(c: str, lo, hi) -> F.Column:
-    return (F.col(c) >= lo) & (F.col(c) <= hi)
+    return suite(w, ("fk",))
 
 
 def qc_check(w: Warehouse) -> DataFrame:
-    ledger = w.courier_ledger()
-    report = w.settlement_report()
-    return Q.union_all([
-        Q.check(w.dim_timestamps, "dm_timestamps", {
-            "year": _in("year", 2022, 2200), "month": _in("month", 1, 12), "day": _in("day", 1, 31)}),
-        Q.check(w.t.lineitem.select(F.year("l_shipdate").alias("year")), "lineitem", {
-            "year": _in("year", 2022, 2200)}),
-        Q.check(ledger, "dm_courier_ledger", {
-            "settlement_year": _in("settlement_year", 2022, 2200),
-            "settlement_month": _in("settlement_month", 1, 12),
-            "orders_count": F.col("orders_count") >= 0, "rate_avg": F.col("rate_avg") >= 0,
-            **{c: F.col(c) >= 0 for c in LEDGER_MONEY}}),
-        Q.check(w.fact_lines, "fct_product_sales", {
-            "count": F.col("count") >= 0, **{c: F.col(c) >= 0 for c in FACT_MONEY}}),
-        Q.check(w.dim_deliveries, "dm_deliveries", {"order_sum": F.col("order_sum") >= 0}),
-        Q.check(report, "dm_settlement_report", {
-            "settlement_date": (F.col("settlement_date") >= F.lit(_dt.date(2022, 1, 1)))
-            & (F.col("settlement_date") < F.lit(_dt.date(2500, 1, 1))),
-            "restaurant_reward_sum": F.col("restaurant_reward_sum") >= 0}),
-    ])
+    return suite(w, ("check",))
 
 
 def qc_defaults(w: Warehouse) -> DataFrame:
-    return Q.union_all([
-        Q.defaults(w.fact_lines, "fct_product_sales", {c: 0 for c in FACT_MONEY}),
-        Q.defaults(w.dim_products, "dm_products", {"product_price": 0}),
-        Q.defaults(w.dim_timestamps, "dm_timestamps", {"special_mark": 0}),
-        Q.defaults(w.courier_ledger(), "dm_courier_ledger", {c: 0 for c in LEDGER_MONEY + ["rate_avg"]}),
-    ])
+    return suite(w, ("default",))
+
+
+def qc_contracts(w: Warehouse) -> DataFrame:
+    """All rules of all tables in one pass."""
+    return suite(w)
 
 
 # Every table of the warehouse contract, by layer.

@@ -94,7 +94,7 @@ def dim_deliveries(deliveries: DataFrame, timestamps: DataFrame, couriers: DataF
     # split it: the timestamp keys arrive partitioned by the second already)
     j = (counted_salted_join(d, timestamp_keys(timestamps, 1), ["sec"], ["delivery_id"])
           .join(couriers.select("courier_id"), "courier_id"))
-    return j.select("delivery_id", "order_id", "courier_id", "delivery_ts", "rate",
+    return j.select("delivery_id", "order_id", "courier_id", "address", "delivery_ts", "rate",
                     F.col("sum").alias("order_sum"), "tip_sum")
 
 
@@ -214,11 +214,16 @@ def order_statuses_explode(docs: DataFrame) -> DataFrame:
             .select("order_id", F.col("s.status").alias("status"), F.col("s.dttm").alias("dttm")))
 
 
-def _order_candidates(docs: DataFrame, watermark: _dt.datetime | None) -> DataFrame:
-    """Order fields with their second; ``watermark=None`` takes every document."""
-    f = (J.parse_fields(docs, "object_value", J.ORDER_HEADER, "object_id")
-         .select(F.col("object_id").alias("order_id"), F.col("restaurant.id").alias("restaurant_id"),
-                 F.col("date").alias("order_date"), F.col("user.id").alias("user_id"), "final_status"))
+def order_headers(docs: DataFrame) -> DataFrame:
+    """Typed header of each order document: its ids, date, last status and update time, parsed once."""
+    return (J.parse_fields(docs, "object_value", J.ORDER_HEADER, "object_id", "update_ts")
+            .select(F.col("object_id").alias("order_id"), F.col("restaurant.id").alias("restaurant_id"),
+                    F.col("date").alias("order_date"), F.col("user.id").alias("user_id"), "final_status", "update_ts"))
+
+
+def _order_candidates(headers: DataFrame, watermark: _dt.datetime | None) -> DataFrame:
+    """Order headers with their second; ``watermark=None`` takes every order."""
+    f = headers if "order_date" in headers.columns else order_headers(headers)
     if watermark is not None:
         f = f.filter(F.col("order_date") > ntz(watermark))
     return f.withColumn("sec", trunc_second(F.col("order_date")))
@@ -226,7 +231,10 @@ def _order_candidates(docs: DataFrame, watermark: _dt.datetime | None) -> DataFr
 
 def dim_orders(docs: DataFrame, timestamps: DataFrame, users: DataFrame, restaurants: DataFrame,
                watermark: _dt.datetime = params.DEFAULT_WATERMARK) -> DataFrame:
-    """Orders that resolve to an order timestamp (second precision, mark 0), a user and a restaurant."""
+    """Orders that resolve to an order timestamp (second precision, mark 0), a user and a restaurant.
+
+    ``docs`` are order documents, or headers that :func:`order_headers` has parsed.
+    """
     f = _order_candidates(docs, watermark)
     j = (counted_salted_join(f, timestamp_keys(timestamps, 0), ["sec"], ["order_id"])
           .join(users.select("user_id"), "user_id")

@@ -267,7 +267,7 @@ SELECT ts, CAST(year(ts) AS SMALLINT) AS year, CAST(month(ts) AS SMALLINT) AS mo
     "join_second_precision": f"""WITH {DELIVERIES}, {ORDERS}, {TS_ALL}
 SELECT delivery_id, dim_ts FROM deliv JOIN tk1 ON tk1.sec = date_trunc('second', deliv.delivery_ts)""",
     "dim_deliveries": f"""WITH {DELIVERIES}, {COURIERS}, {ORDERS}, {TS_ALL}
-SELECT delivery_id, order_id, deliv.courier_id, delivery_ts, rate, sum AS order_sum, tip_sum
+SELECT delivery_id, order_id, deliv.courier_id, address, delivery_ts, rate, sum AS order_sum, tip_sum
 FROM deliv JOIN tk1 ON tk1.sec = date_trunc('second', deliv.delivery_ts)
            JOIN cour ON cour.courier_id = deliv.courier_id""",
     "dim_restaurants": f"WITH {RESTAURANTS} SELECT restaurant_id, restaurant_name, active_from, active_to FROM rest",
@@ -438,10 +438,11 @@ FROM (SELECT l_returnflag, CAST(sum({m('CAST(round(l_extendedprice * 100) AS BIG
 
 DIM_DELIVERIES = """
 ddel AS (
-  SELECT delivery_id, order_id, deliv.courier_id, delivery_ts, rate, sum AS order_sum, tip_sum
+  SELECT delivery_id, order_id, deliv.courier_id, address, delivery_ts, rate, sum AS order_sum, tip_sum
   FROM deliv JOIN tk1 ON tk1.sec = date_trunc('second', deliv.delivery_ts)
              JOIN cour ON cour.courier_id = deliv.courier_id),
-dts AS (SELECT ts, year(ts) AS year, month(ts) AS month, day(ts) AS day, special_mark FROM tsu)"""
+dts AS (SELECT ts, year(ts) AS year, month(ts) AS month, day(ts) AS day, strftime(ts, '%H:%M:%S.%f') AS time,
+               CAST(ts AS DATE) AS date, special_mark FROM tsu)"""
 
 
 
@@ -487,56 +488,85 @@ def _between(c: str, lo, hi) -> str:
     return f"{c} >= {lo} AND {c} <= {hi}"
 
 
-SQL.update({
-    "qc_not_null": f"{_BASE}\n" + _rows(
-        _nn("dord", "dm_orders", ["order_key", "user_id", "restaurant_id", "order_ts", "order_status"])
-        + _nn("ddel", "dm_deliveries", ["delivery_id", "order_id", "courier_id", "delivery_ts", "rate",
+REPORT_MONEY = ["orders_total_sum", "orders_bonus_payment_sum", "orders_bonus_granted_sum", "order_processing_fee",
+                "restaurant_reward_sum"]
+
+
+def _positive(*columns: str) -> dict[str, str]:
+    return {c: f"{c} >= 0" for c in columns}
+
+
+_QC = {
+    "qc_not_null": (
+        _nn("rest", "dm_restaurants", ["restaurant_id", "restaurant_name", "active_from", "active_to"])
+        + _nn("du", "dm_users", ["user_id", "user_name", "user_login"])
+        + _nn("dts", "dm_timestamps", ["ts", "year", "month", "day", "time", "date"])
+        + _nn("prod", "dm_products", ["restaurant_id", "product_id", "product_name", "product_price", "active_from",
+                                      "active_to"])
+        + _nn("dord", "dm_orders", ["order_key", "user_id", "restaurant_id", "order_ts", "order_status"])
+        + _nn("fl", "fct_product_sales", ["product_id", "order_id", "count", *FACT_MONEY])
+        + _nn("cour", "dm_couriers", ["courier_id", "courier_name"])
+        + _nn("ddel", "dm_deliveries", ["delivery_id", "order_id", "courier_id", "address", "delivery_ts", "rate",
                                         "order_sum", "tip_sum"])
-        + _nn("od", "ordersystem_orders", ["order_id", "restaurant_id", "order_date", "user_id"])
-        + _nn("led", "dm_courier_ledger", ["courier_id", "courier_name", "rate_avg"])),
-    "qc_unique": f"{_BASE}\n" + _rows([
-        _uq("ddel", "dm_deliveries", ["delivery_id"]),
-        _uq("dl", "deliveries_raw", ["delivery_id"]),
-        _uq("du", "dm_users", ["user_login"]),
-        _uq("du", "dm_users", ["user_id"]),
-        _uq("ud", "ordersystem_users", ["user_login"]),
+        + _nn("led", "dm_courier_ledger", ["courier_id", "courier_name", "settlement_year", "settlement_month",
+                                           "orders_count", "rate_avg", *LEDGER_MONEY])
+        + _nn("rep", "dm_settlement_report", ["restaurant_id", "restaurant_name", "settlement_date", "orders_count",
+                                              *REPORT_MONEY])
+        + _nn("od", "ordersystem_orders", ["order_id", "restaurant_id", "order_date", "user_id"])),
+    "qc_unique": [
         _uq("rest", "dm_restaurants", ["restaurant_id"]),
+        _uq("du", "dm_users", ["user_id"]),
+        _uq("du", "dm_users", ["user_login"]),
+        _uq("dord", "dm_orders", ["order_key"]),
         _uq("cour", "dm_couriers", ["courier_id"]),
-        _uq("dord", "dm_orders", ["order_key"])]),
-    "qc_unique_composite": f"{_FULL}\n" + _rows([
-        _uq("led", "dm_courier_ledger", ["courier_id", "settlement_year", "settlement_month"]),
+        _uq("ddel", "dm_deliveries", ["delivery_id"]),
+        _uq("ud", "ordersystem_users", ["user_login"]),
+        _uq("dl", "deliveries_raw", ["delivery_id"])],
+    "qc_unique_composite": [
+        _uq("tsu", "dm_timestamps", ["ts", "special_mark"]),
         _uq("fl", "fct_product_sales", ["order_id", "product_id"]),
-        _uq("lineitem", "lineitem", ["l_orderkey", "l_linenumber"]),
-        _uq("tsu", "dm_timestamps", ["ts", "special_mark"])]),
-    "qc_foreign_key": f"{_FULL}\n" + _rows([
-        _fk("ddel", "dm_deliveries", "courier_id", "cour", "courier_id", "dm_couriers"),
-        _fk("ddel", "dm_deliveries", "order_id", "dord", "order_key", "dm_orders"),
+        _uq("led", "dm_courier_ledger", ["courier_id", "settlement_year", "settlement_month"]),
+        _uq("lineitem", "lineitem", ["l_orderkey", "l_linenumber"])],
+    "qc_foreign_key": [
+        _fk("prod", "dm_products", "restaurant_id", "rest", "restaurant_id", "dm_restaurants"),
         _fk("dord", "dm_orders", "user_id", "du", "user_id", "dm_users"),
         _fk("dord", "dm_orders", "restaurant_id", "rest", "restaurant_id", "dm_restaurants"),
+        _fk("dord", "dm_orders", "order_ts", "tsu", "ts", "dm_timestamps"),
         _fk("fl", "fct_product_sales", "order_id", "dord", "order_key", "dm_orders"),
         _fk("fl", "fct_product_sales", "product_id", "prod", "product_id", "dm_products"),
-        _fk("prod", "dm_products", "restaurant_id", "rest", "restaurant_id", "dm_restaurants"),
-        _fk("od", "ordersystem_orders", "restaurant_id", "rest", "restaurant_id", "dm_restaurants")]),
-    "qc_check": f"{_FULL}, li AS (SELECT year(l_shipdate) AS year FROM lineitem)\n" + _rows(
+        _fk("ddel", "dm_deliveries", "courier_id", "cour", "courier_id", "dm_couriers"),
+        _fk("ddel", "dm_deliveries", "order_id", "dord", "order_key", "dm_orders"),
+        _fk("ddel", "dm_deliveries", "delivery_ts", "tsu", "ts", "dm_timestamps"),
+        _fk("led", "dm_courier_ledger", "courier_id", "cour", "courier_id", "dm_couriers"),
+        _fk("rep", "dm_settlement_report", "restaurant_id", "rest", "restaurant_id", "dm_restaurants"),
+        _fk("od", "ordersystem_orders", "restaurant_id", "rest", "restaurant_id", "dm_restaurants"),
+        _fk("od", "ordersystem_orders", "user_id", "du", "user_id", "dm_users"),
+        _fk("od", "ordersystem_orders", "order_date", "tsu", "ts", "dm_timestamps")],
+    "qc_check": (
         _ck("dts", "dm_timestamps", {"year": _between("year", 2022, 2200), "month": _between("month", 1, 12),
                                      "day": _between("day", 1, 31)})
-        + _ck("li", "lineitem", {"year": _between("year", 2022, 2200)})
+        + _ck("prod", "dm_products", _positive("product_price"))
+        + _ck("fl", "fct_product_sales", _positive("count", *FACT_MONEY))
+        + _ck("ddel", "dm_deliveries", _positive("order_sum"))
         + _ck("led", "dm_courier_ledger", {
             "settlement_year": _between("settlement_year", 2022, 2200),
             "settlement_month": _between("settlement_month", 1, 12),
-            "orders_count": "orders_count >= 0", "rate_avg": "rate_avg >= 0",
-            **{c: f"{c} >= 0" for c in LEDGER_MONEY}})
-        + _ck("fl", "fct_product_sales", {"count": "count >= 0", **{c: f"{c} >= 0" for c in FACT_MONEY}})
-        + _ck("ddel", "dm_deliveries", {"order_sum": "order_sum >= 0"})
+            **_positive("orders_count", "rate_avg", *LEDGER_MONEY)})
         + _ck("rep", "dm_settlement_report", {
             "settlement_date": "settlement_date >= DATE '2022-01-01' AND settlement_date < DATE '2500-01-01'",
-            "restaurant_reward_sum": "restaurant_reward_sum >= 0"})),
-    "qc_defaults": f"{_FULL}\n" + _rows(
-        _df("fl", "fct_product_sales", FACT_MONEY)
+            **_positive("orders_count", *REPORT_MONEY)})
+        + _ck("li", "lineitem", {"year": _between("year", 2022, 2200)})),
+    "qc_defaults": (
+        _df("tsu", "dm_timestamps", ["special_mark"])
         + _df("prod", "dm_products", ["product_price"])
-        + _df("tsu", "dm_timestamps", ["special_mark"])
-        + _df("led", "dm_courier_ledger", LEDGER_MONEY + ["rate_avg"])),
-})
+        + _df("fl", "fct_product_sales", ["count", *FACT_MONEY])
+        + _df("ddel", "dm_deliveries", ["tip_sum"])
+        + _df("led", "dm_courier_ledger", LEDGER_MONEY + ["rate_avg"])
+        + _df("rep", "dm_settlement_report", REPORT_MONEY)),
+}
+_QC["qc_contracts"] = [part for parts in list(_QC.values()) for part in parts]
+SQL.update({name: f"{_FULL}, li AS (SELECT year(l_shipdate) AS year FROM lineitem)\n" + _rows(parts)
+            for name, parts in _QC.items()})
 
 _PRESENT = {
     "bonussystem_events": "orders", "ordersystem_orders": "od", "ordersystem_restaurants": "r1",

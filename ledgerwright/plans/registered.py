@@ -321,5 +321,6 @@ def fee_arithmetic(w: Warehouse):
 
 # ---------------------------------------------------------------- contracts
 
-for _name in ("qc_not_null", "qc_unique", "qc_unique_composite", "qc_foreign_key", "qc_check", "qc_defaults"):
+for _name in ("qc_not_null", "qc_unique", "qc_unique_composite", "qc_foreign_key", "qc_check", "qc_defaults",
+              "qc_contracts"):
     query(_name)(getattr(contracts, _name))

@@ -25,6 +25,18 @@ class Warehouse:
         self.spark = spark
         self.t = Tables(spark, sf_dir)
 
+    def copy(self) -> Warehouse:
+        """The same warehouse without anything replaced."""
+        out = object.__new__(Warehouse)
+        out.spark, out.t = self.spark, self.t
+        return out
+
+    def replace(self, name: str, table: DataFrame) -> None:
+        """Read a layer from ``table`` from now on, and build the layers above it from that."""
+        self.__dict__[name] = table
+        if name == "order_headers":
+            self.__dict__["order_times"] = table.select("update_ts")
+
     # ------------------------------------------------ sources (staging contents)
     @cached_property
     def deliveries(self) -> DataFrame:
@@ -39,6 +51,15 @@ class Warehouse:
     def order_docs(self) -> DataFrame:
         return fx.order_documents(self.t)
 
+    @cached_property
+    def order_headers(self) -> DataFrame:
+        return dims.order_headers(self.order_docs)
+
+    @cached_property
+    def order_times(self) -> DataFrame:
+        """Update times of orders: unparsed, so the documents' text is not even rendered."""
+        return self.order_docs.select("update_ts")
+
     @cached_property
     def restaurant_docs_v1(self) -> DataFrame:
         return fx.restaurant_documents(self.t, 1)
@@ -69,7 +90,7 @@ class Warehouse:
 
     @cached_property
     def dim_timestamps(self) -> DataFrame:
-        return dims.dim_timestamps(self.order_docs, self.deliveries)
+        return dims.dim_timestamps(self.order_times, self.deliveries)
 
     @cached_property
     def dim_deliveries(self) -> DataFrame:
@@ -93,7 +114,7 @@ class Warehouse:
 
     @cached_property
     def dim_orders(self) -> DataFrame:
-        return dims.dim_orders(self.order_docs, self.dim_timestamps, self.dim_users, self.dim_restaurants)
+        return dims.dim_orders(self.order_headers, self.dim_timestamps, self.dim_users, self.dim_restaurants)
 
     @cached_property
     def payment_lines(self) -> DataFrame:
