@@ -8,12 +8,22 @@ field, so a reader can step over a record without inflating it.
 Reading: one partition per archive file (by the manifest, or every ``.warc`` and
 ``.warc.gz`` file below the path). Predicates on columns that come from headers
 (equal, in, null checks, comparisons) are pushed to the reader. Of each record the
-headers are inflated and parsed first; the payload of a record that the predicates
-reject, or that nobody asks for (option ``payload`` = ``false``), is never decoded.
-
-Defined cases: a null payload is empty; a missing header is null; control characters in
-header values are percent-encoded; equal records are written each; an empty input
-writes an empty manifest and reads back as an empty table.
+headers are inflated and parsed first. The payload of a record that the predicates
+reject, or that nobody asks for (option ``payload`` = ``false``), is not made a value; in
+archives written here it is not inflated either, and its size comes from the lengths told.
+
+Archives from elsewhere are read whole: any number of records in a gzip member, a record
+over several members, plain files, header names in any case, folded header lines. The
+payload is the block less its HTTP head where the block is HTTP, the whole block
+otherwise (``resource``, ``conversion``, ``metadata``, ...), as transferred; a revisit has
+none, and its size is the one its HTTP head tells (null if it tells none).
+
+Defined cases: a null payload is empty; a missing header is null, a repeated one is joined
+by commas; control characters in header values are percent-encoded; equal records are
+written each; an empty input writes an empty manifest and reads back as an empty table;
+zero bytes after the last member are ignored. A damaged archive (a member or record
+that ends early, a wrong checksum of what is inflated, no record where one must start, no
+valid Content-Length) is an error that names the file, never a row.
 """
 
 from __future__ import annotations
@@ -37,6 +47,8 @@ from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceWrit
 from .common import Tables, bounded
 
 ARCHIVE_BYTES = 64 << 20     # an archive is closed beyond this size
+RAW_BYTES = 1 << 16          # read from a file at once
+PART_BYTES = 1 << 13         # inflated at least at once
 MANIFEST = "_manifest.json"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -132,106 +144,194 @@ class _File(InputPartition):
     path: str
 
 
-class _Source:
-    """Inflates records one after another; payloads only on demand."""
+class _Archive:
+    """Records of an archive, inflated only as far as they are asked for."""
 
-    def __init__(self, stream, packed: bool):
-        self.stream, self.packed, self.ahead = stream, packed, b""
+    def __init__(self, stream):
+        self.stream, self.size = stream, stream.size()
+        self.raw = stream.read(RAW_BYTES)                  # read from the file, not yet used
+        self.packed = self.raw[:2] == b"\x1f\x8b"
+        self.ready, self.inflater = bytearray(), None      # inflated, not yet used
+        self.member_end = self.alone_to = None             # where members end that tell their length
+        self.left = self.inflated = 0                      # bytes of the block not yet used; bytes inflated in all
 
-    def _more(self) -> bytes:
-        return self.stream.read(1 << 16)
+    def record(self) -> dict[str, str] | None:
+        """Headers of the next record, whose block is not read yet; None at the end."""
+        if self.alone_to is not None:
+            self._leave()
+        else:
+            self._drop(self.left)
+        fresh, line = self._fresh(), self._line()
+        while line in (b"\r\n", b"\n"):
+            fresh, line = self._fresh(), self._line()
+        if not line:
+            return None
+        if not line.startswith(b"WARC/"):
+            raise ValueError("no record where one must start")
+        self.alone_to = self.member_end if fresh else None
+        lines = []
+        while (line := self._line()).strip(b"\r\n"):
+            lines.append(line)
+        if not line:
+            raise ValueError("ends within the headers of a record")
+        headers = _parse(lines)
+        length = _header(headers, "Content-Length") or ""
+        if not (length.isascii() and length.isdigit()):
+            raise ValueError(f"no valid Content-Length: {length!r}")
+        self.left = int(length)
+        return headers
+
+    def payload(self, headers: dict[str, str], decode: bool) -> tuple[int | None, bytes | None]:
+        """Size and, if it is to be decoded, bytes of the payload of the record just met."""
+        kind, content = _header(headers, "WARC-Type"), _header(headers, "Content-Type")
+        http = {}
+        if (content or "").lower().startswith("application/http") or (
+                content is None and kind in ("response", "request", "revisit")):
+            http = _parse(self._head().split(b"\n")[1:])
+        if kind == "revisit":
+            told = _header(http, "Content-Length") or ""
+            return (int(told) if told.isascii() and told.isdigit() else None), None
+        size = self.left
+        return size, self._take(size) if decode else None
+
+    def _more(self, want: int) -> bool:
+        """Some more of the file in ``ready``; False at its end."""
+        if not self.raw:
+            self.raw = self.stream.read(RAW_BYTES)
+        if not self.packed:
+            self.ready += self.raw
+            more, self.raw = bool(self.raw), b""
+            return more
+        if self.inflater is None and not self._open():
+            return False
+        if not self.raw:
+            raise ValueError("ends within a gzip member")
+        out = self.inflater.decompress(self.raw, min(max(want, PART_BYTES), 16 * RAW_BYTES))
+        self.ready += out
+        self.inflated += len(out)
+        if self.inflater.eof:
+            self.raw, self.inflater = self.inflater.unused_data, None
+        else:
+            self.raw = self.inflater.unconsumed_tail
+        return True
 
-    def _raw(self, n: int) -> bytes:
-        while len(self.ahead) < n:
-            more = self._more()
+    def _open(self) -> bool:
+        """Start the next member; False where none is left."""
+        while True:
+            if self.raw[:1] == b"\0":
+                self.raw = self.raw.lstrip(b"\0")
+            if len(self.raw) >= 20:
+                break
+            more = self.stream.read(RAW_BYTES)
             if not more:
                 break
-            self.ahead += more
-        out, self.ahead = self.ahead[:n], self.ahead[n:]
-        return out
+            self.raw += more
+        if not self.raw:
+            return False
+        start = self.stream.tell() - len(self.raw)
+        own = len(self.raw) >= 20 and self.raw[3:4] == b"\x04" and self.raw[12:16] == b"sl\x04\0"
+        self.member_end = start + struct.unpack("<I", self.raw[16:20])[0] if own else None
+        self.inflater = zlib.decompressobj(31)
+        return True
 
-    def _skip(self, n: int) -> None:
-        if n <= len(self.ahead):
-            self.ahead = self.ahead[n:]
-            return
-        self.stream.seek(self.stream.tell() + n - len(self.ahead))
-        self.ahead = b""
+    def _fresh(self) -> bool:
+        """Whether the next byte is the first of a member."""
+        while not self.ready and self.inflater is not None:
+            self._more(PART_BYTES)
+        return self.packed and not self.ready
+
+    def _leave(self) -> None:
+        """Step over what is left of a member that holds one record."""
+        self.ready.clear()
+        if self.inflater is not None:
+            self.inflater = None
+            beyond = self.stream.tell() - self.alone_to
+            if self.alone_to > self.size or beyond > len(self.raw):
+                raise ValueError("ends within a gzip member")
+            if beyond < 0:
+                self.stream.seek(self.alone_to)
+            self.raw = self.raw[len(self.raw) - beyond:] if beyond > 0 else b""
+        self.left, self.alone_to = 0, None
+
+    def _drop(self, n: int) -> None:
+        used = min(n, len(self.ready))
+        del self.ready[:used]
+        n -= used
+        if n and not self.packed:
+            at = self.stream.tell() - len(self.raw) + n
+            if at > self.size:
+                raise ValueError("ends within a record")
+            self.stream.seek(at)
+            self.raw, n = b"", 0
+        while n:
+            if not self.ready and not self._more(n):
+                raise ValueError("ends within a record")
+            used = min(n, len(self.ready))
+            del self.ready[:used]
+            n -= used
+        self.left = 0
+
+    def _take(self, n: int) -> bytes:
+        while len(self.ready) < n:
+            if not self._more(n - len(self.ready)):
+                raise ValueError("ends within a record")
+        out = bytes(self.ready[:n])
+        del self.ready[:n]
+        self.left -= n
+        return out
 
-    def records(self):
-        """Yields (headers, read): ``read()`` gives the record's block and must come before the next record."""
-        while True:
-            if self.packed:
-                head = self._raw(20)
-                if not head:
-                    return
-                own = struct.unpack("<I", head[16:20])[0] if head[3] & 4 and head[12:14] == b"sl" else None
-                self.ahead = head + self.ahead
-                inflater, used, text = zlib.decompressobj(31), 0, b""
-                while b"\r\n\r\n" not in text and not inflater.eof:
-                    part = self._raw(4096)
-                    if not part:
-                        break
-                    used += len(part)
-                    text += inflater.decompress(part, 16384)
-                    while inflater.unconsumed_tail and b"\r\n\r\n" not in text:
-                        text += inflater.decompress(inflater.unconsumed_tail, 16384)
-                at = text.find(b"\r\n\r\n") + 4
-                headers = _parse(text[:at])
-                state = {"text": text, "used": used}
-
-                def read(inflater=inflater, state=state, at=at, headers=headers):
-                    return self._rest(inflater, state)[at:at + int(headers.get("Content-Length", 0))]
-                yield headers, read
-                if inflater.eof:
-                    self.ahead = inflater.unused_data + self.ahead
-                elif own is not None:  # step over what is left of the member
-                    self._skip(own - state["used"])
-                else:
-                    self._rest(inflater, state)
-                    self.ahead = inflater.unused_data + self.ahead
-            else:
-                text = b""
-                while b"\r\n\r\n" not in text:
-                    part = self._raw(4096)
-                    if not part:
-                        return
-                    text += part
-                at = text.find(b"\r\n\r\n") + 4
-                self.ahead = text[at:] + self.ahead
-                headers, left = _parse(text[:at]), {}
-
-                def read_plain(headers=headers, left=left):
-                    left["done"] = True
-                    return self._raw(int(headers.get("Content-Length", 0)))
-                yield headers, read_plain
-                self._skip((0 if left else int(headers.get("Content-Length", 0))) + 4)
-
-    def _rest(self, inflater, state) -> bytes:
-        out = [state["text"], inflater.decompress(inflater.unconsumed_tail)]
-        while not inflater.eof:
-            part = self._raw(1 << 16)
-            if not part:
+    def _head(self) -> bytes:
+        """The block up to its first empty line, or all of it."""
+        seen = 0
+        while (at := self.ready.find(b"\r\n\r\n", seen, self.left)) < 0:
+            if len(self.ready) >= self.left:
+                return self._take(self.left)
+            seen = max(0, len(self.ready) - 3)
+            if not self._more(PART_BYTES):
+                raise ValueError("ends within a record")
+        return self._take(at + 4)
+
+    def _line(self) -> bytes:
+        """The bytes to the next line feed; what is left at the end of the file."""
+        seen = 0
+        while (at := self.ready.find(b"\n", seen)) < 0:
+            seen = len(self.ready)
+            if not self._more(PART_BYTES):
+                at = len(self.ready)
                 break
-            state["used"] += len(part)
-            out.append(inflater.decompress(part))
-        state["text"] = b"".join(out)
-        return state["text"]
-
-
-def _parse(head: bytes) -> dict[str, str]:
-    out = {}
-    for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
-        name, colon, value = line.partition(":")
+        line = bytes(self.ready[:at + 1])
+        del self.ready[:at + 1]
+        return line
+
+
+def _parse(lines: list[bytes]) -> dict[str, str]:
+    """Header names as written (the first spelling, where cases differ) and their values."""
+    out, spelling, last = {}, {}, None
+    for line in lines:
+        text = line.decode("utf-8", "replace").rstrip("\r\n")
+        if text[:1] in (" ", "\t") and last is not None:
+            out[last] += " " + text.strip()
+            continue
+        name, colon, value = text.partition(":")
         if colon:
-            out[name.strip()] = value.strip()
+            last = spelling.setdefault(name.strip().lower(), name.strip())
+            out[last] = f"{out[last]}, {value.strip()}" if last in out else value.strip()
     return out
 
 
+def _header(headers: dict[str, str], name: str) -> str | None:
+    if name in headers:
+        return headers[name]
+    return next((v for k, v in headers.items() if k.lower() == name.lower()), None)
+
+
 def _values(headers: dict[str, str]) -> dict:
-    row = {column: headers.get(name) for column, name in _HEADER_OF.items()}
+    row = {column: _header(headers, name) for column, name in _HEADER_OF.items()}
     for column in ("record_id", "refers_to"):
         if row[column]:
             row[column] = row[column].strip("<>")
+    if row["record_type"]:
+        row["record_type"] = row["record_type"].lower()
     if row["payload_digest"]:
         row["payload_digest"] = row["payload_digest"].removeprefix("sha1:")
     return row
@@ -283,19 +383,16 @@ class WarcReader(DataSourceReader):
             return
         fs, _ = _folder(self.path)
         with fs.open_input_file(partition.path) as stream:
-            for headers, read in _Source(stream, partition.path.endswith(".gz")).records():
-                row = _values(headers)
-                if not self._wanted(row):
-                    continue
-                payload = size = None
-                if row["record_type"] == "revisit" or self.payload:
-                    head, _, payload = read().partition(b"\r\n\r\n")
-                    http = _parse(head)
-                    size = len(payload)
-                    if row["record_type"] == "revisit":  # its headers tell of the payload it leaves out
-                        size, payload = int(http.get("Content-Length", 0)), None
-                yield (*(row[c] for c in ("record_id", "record_type", "target_uri", "date", "payload_digest")),
-                       size, row["refers_to"], headers, payload)
+            try:
+                archive = _Archive(stream)
+                while (headers := archive.record()) is not None:
+                    row = _values(headers)
+                    if self._wanted(row):
+                        size, payload = archive.payload(headers, self.payload)
+                        yield (*(row[c] for c in ("record_id", "record_type", "target_uri", "date", "payload_digest")),
+                               size, row["refers_to"], headers, payload)
+            except (ValueError, zlib.error) as damage:
+                raise ValueError(f"damaged archive {partition.path}: {damage}") from damage
 
 
 class WarcDataSource(DataSource):
@@ -360,6 +457,6 @@ def page_archive(pages: DataFrame) -> DataFrame:
                                named("refers_to").alias("refers_to"), "target_uri", F.lit(None).alias("date"),
                                "payload"), tables.path("archives"))
     number = lambda c: F.expr(f"try_cast(substring({c}, 10) as long)")
-    return read_archives(pages.sparkSession, tables.path("archives")).select(
+    return read_archives(pages.sparkSession, tables.path("archives"), payload=False).select(
         number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         number("refers_to").alias("refers_to"))
