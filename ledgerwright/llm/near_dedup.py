@@ -214,16 +214,18 @@ def forest(tables: Tables, classes: DataFrame, orders: range, percent: int) -> t
     return star, found
 
 
-def full_sets(docs: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
-    """Rows (doc_id, items): the whole sets of all documents that ``pairs`` name."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """Rows (doc_id, items): the whole sets of the documents ``wanted`` names (a written table of ids).
+
+    While its ids are within the broadcast bound no text is shuffled.
+    """
 
     def full(batches):
         for batch in batches:
             sets = [values.tobytes() for values in _sets(batch, size)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())],
                                              ["doc_id", "items"])
-    return (docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id", "left_semi")
+    return (docs.select(F.col("doc_id").cast("long"), "text").join(bounded(wanted), "doc_id", "left_semi")
             .mapInArrow(full, "doc_id long, items binary"))
 
 
@@ -309,8 +311,8 @@ def _meet(cell: dict, percent: int, across: bool):
 
 def dense_pairs(tables: Tables, sets: DataFrame, dense: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
     """Pairs (a < b) of dense documents of different components: all that may be linked, found exactly."""
-    members = (sets.join(dense.withColumnRenamed("doc", "doc_id"), "doc_id", "left_semi")
-               .join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    members = (sets.join(bounded(dense.withColumnRenamed("doc", "doc_id")), "doc_id", "left_semi")
+               .join(bounded(joined.withColumnRenamed("node", "doc_id")), "doc_id", "left")
                .select("doc_id", F.coalesce("component", "doc_id").alias("component"), "items"))
     rows = heads(members, rarity(members), percent)
     # a shingle whose documents are one component already can't add a link: of a joined family nothing is dealt
@@ -397,7 +399,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     star = tables.put(possible(star, classes, percent), "star-possible")
     pairs = tables.put(possible(pairs, classes, percent), "pairs-possible")
     named = star.union(pairs).union(dense.select("doc", "doc"))
-    sets = tables.put(full_sets(docs, named, shingle), "sets")
+    wanted = tables.put(named.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
+    sets = tables.put(full_sets(docs, wanted, shingle), "sets")
     near = tables.put(confirm(star, sets, percent), "star-links")
     joined = components(tables, near, "star-components")
     # a pair within one component can't change the components, so only the others are confirmed
@@ -411,7 +414,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     copies = (filled.join(classes.select("digest", "doc"), "digest").where("doc_id <> doc")
               .select(F.col("doc_id").alias("a"), F.col("doc").alias("b")))
     labelled = components(tables, links.union(copies), "components")
-    tables.drop("pairs", "pairs-first", "star-possible", "pairs-possible", "dense", "mixed", "star", "weights", "rest", "sets", "classes", "star-links", "links",
+    tables.drop("pairs", "pairs-first", "star-possible", "pairs-possible", "dense", "mixed", "star", "weights", "rest", "wanted", "sets", "classes", "star-links", "links",
                 *(f"{t}-{d}" for t in ("rows", "crowded", "pivots") for d in range(len(DEPTHS) + 1)))
     return (sketches.select("doc_id", "n_shingles")
             .join(labelled.withColumnRenamed("node", "doc_id"), "doc_id", "left")
