@@ -11,6 +11,8 @@ from .. import params
 from ..functions import json as J
 from ..functions.money import MONEY
 from ..functions.timeparts import ntz
+from ..operators.skew import DEFAULT_HOT_ROWS
+from ..operators.validity import valid_at
 
 FACT_COLUMNS = ["order_id", "product_id", "count", "price", "total_sum", "bonus_payment", "bonus_grant"]
 
@@ -55,6 +57,21 @@ def fact_lines(lines: DataFrame, orders: DataFrame, products: DataFrame) -> Data
     return _resolve(lines, orders, products, "inner")
 
 
+def fact_lines_by_time(lines: DataFrame, orders: DataFrame, versions: DataFrame,
+                       hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """:func:`fact_lines` with the product version found by time (``operators.validity``).
+
+    ``versions`` are the product versions as appended, not closed: each is valid until the
+    next one of its product. No line is paired with a version that isn't its own, so a
+    product with many versions, or with most of the lines, costs no more than its rows.
+    """
+    o = orders.select(F.col("order_key").alias("order_id"), "restaurant_id", "order_ts", "order_status")
+    v = versions.select("product_id", "active_from", F.col("active_from").alias("version_from"))
+    found = valid_at(lines.join(o, "order_id"), v, "product_id", "order_date", "active_from", ["version_from"],
+                     ["event_id", "line"], hot_rows)
+    return found.where(F.col("version_from").isNotNull() & (F.col("order_date") < ntz(params.OPEN_END)))
+
+
 def fct_product_sales(lines: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     return fact_lines(lines, orders, products).select(*FACT_COLUMNS)
 

@@ -319,6 +319,9 @@ GROUP BY 1""",
 })
 
 
+SQL["fct_product_sales_by_time"] = SQL["fct_product_sales"]
+
+
 # ---------------------------------------------------------------- ledger / report as CTEs
 
 def ledger_cte(name: str, where: str = "") -> str:

@@ -154,6 +154,12 @@ def fct_product_sales(w: Warehouse):
     return facts.fct_product_sales(w.payment_lines, w.dim_orders, w.products_closed)
 
 
+@query("fct_product_sales_by_time")
+def fct_product_sales_by_time(w: Warehouse):
+    """The same facts, each line's product version carried forward in time instead of joined by range."""
+    return facts.fact_lines_by_time(w.payment_lines, w.dim_orders, w.dim_products).select(*facts.FACT_COLUMNS)
+
+
 @query("facts_unmatched")
 def facts_unmatched(w: Warehouse):
     return facts.facts_unmatched(w.payment_lines, w.dim_orders, w.products_closed)
