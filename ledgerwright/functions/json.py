@@ -82,4 +82,11 @@ BONUS_EVENT = T.StructType([
     T.StructField("order_date", T.StringType()),
     T.StructField("product_payments", T.ArrayType(PAYMENT))])
 
+def as_text(schema: T.DataType) -> T.DataType:
+    """``schema`` with every scalar read as text, so that no value is lost before it is checked."""
+    if isinstance(schema, T.StructType):
+        return T.StructType([T.StructField(f.name, as_text(f.dataType)) for f in schema.fields])
+    return T.ArrayType(as_text(schema.elementType)) if isinstance(schema, T.ArrayType) else T.StringType()
+
+
 ORDER_DATE_FORMAT = "yyyy-MM-dd HH:mm:ss"

@@ -18,7 +18,7 @@ from ..functions.timeparts import calendar_parts, ntz, time_of_day, trunc_second
 from ..operators.conflict import insert_if_absent, insert_if_absent_all, upsert_partial_all
 from ..operators.dedup import last_by
 from ..operators.skew import counted_salted_join
-from ..sources.extract import quarantine_split
+from ..sources.extract import routed
 
 OPEN_END = params.OPEN_END
 
@@ -31,32 +31,37 @@ def land_pages(pages: DataFrame, run_ts: _dt.datetime = params.RUN_TS) -> DataFr
     Each page is a JSON array; its elements are kept as their raw JSON text
     (typing happens in staging, where bad values are quarantined rather than
     nulled). Pages overlap, so the same entity arrives more than once;
-    uniqueness on the whole content keeps one copy. ``load_ts`` is the run
-    time parameter.
+    uniqueness on the whole content keeps one copy. A page that is no JSON array
+    lands as a single entity, its whole text, which staging rejects unless it
+    is an object: no page vanishes. ``load_ts`` is the run time parameter.
     """
     items = J.parse(F.col("content"), J.T.ArrayType(J.T.StringType()))
-    return (pages.select(F.explode(items).alias("content"))
+    return (pages.select(F.explode(F.coalesce(items, F.array("content"))).alias("content"))
             .distinct()
             .withColumn("load_ts", ntz(run_ts)))
 
 
 def stg_couriers(landing: DataFrame) -> DataFrame:
+    """Typed couriers; landed text that is no JSON object holds none and stays in the landing table."""
     e = J.parse(F.col("content"), J.COURIER)
-    return landing.select(e["_id"].alias("courier_id"), e["name"].alias("courier_name"), "load_ts")
+    return (landing.filter(F.json_object_keys("content").isNotNull())
+            .select(e["_id"].alias("courier_id"), e["name"].alias("courier_name"), "load_ts"))
 
 
-def stg_deliveries_checked(landing: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Landing -> staging deliveries, row-tolerant: (typed rows, quarantined rows).
+def route_deliveries(landing: DataFrame) -> DataFrame:
+    """Landing -> staging deliveries, every landed row with its status (see ``extract.routed``).
 
-    Every field is read as text and cast with ``try_cast`` to its contract
-    type; a delivery whose value does not cast (a rating "4.7", an amount
-    "abc") is quarantined with the failing columns instead of becoming NULL.
+    Text that is no JSON object, and a delivery whose value does not cast (a rating
+    "4.7", an amount "abc"), are rejected with the reason instead of becoming NULL.
     """
-    text = J.T.StructType([J.T.StructField(f.name, J.T.StringType()) for f in J.DELIVERY.fields])
-    raw = J.parse_fields(landing, "content", text, "load_ts").select(*text.names, "load_ts")
-    casts = {f.name: f.dataType.simpleString() for f in J.DELIVERY.fields
-             if not isinstance(f.dataType, J.T.StringType)}
-    return quarantine_split(raw, casts)
+    return routed(landing, "content", J.DELIVERY, "load_ts")
+
+
+def stg_deliveries_checked(landing: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """:func:`route_deliveries` as (typed rows, rejected rows)."""
+    every = route_deliveries(landing)
+    return (every.filter("status = 'good'").select(*J.DELIVERY.names, "load_ts"),
+            every.filter("status = 'rejected'").drop("status"))
 
 
 def stg_deliveries(landing: DataFrame) -> DataFrame:

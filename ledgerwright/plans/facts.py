@@ -13,28 +13,54 @@ from ..functions.money import MONEY
 from ..functions.timeparts import ntz
 from ..operators.skew import DEFAULT_HOT_ROWS
 from ..operators.validity import valid_at
+from ..sources.extract import failed_casts
 
 FACT_COLUMNS = ["order_id", "product_id", "count", "price", "total_sum", "bonus_payment", "bonus_grant"]
 
 
-def payment_lines(events: DataFrame, watermark: _dt.datetime = params.DEFAULT_WATERMARK) -> DataFrame:
-    """``bonus_transaction`` events after the watermark -> one row per product payment.
+def route_payment_lines(events: DataFrame, watermark: _dt.datetime = params.DEFAULT_WATERMARK) -> DataFrame:
+    """``bonus_transaction`` events after the watermark -> one row per product payment, with its status.
 
-    The event type and the order date are filtered before the payment array is
-    exploded, so only qualifying payloads are expanded.
+    One pass. Rejected rows carry the reason and the text: an event that is no JSON object
+    ("event"), has no readable date ("order_date") or no list of payments
+    ("product_payments") is one row without a line; a payment that is NULL ("payment") or
+    whose amounts do not cast (their names) is its line. An absent amount is no failure.
+    The event type and the order date are filtered before the payment array is exploded,
+    so only qualifying payloads are expanded.
     """
+    payments = J.as_text(J.BONUS_EVENT)["product_payments"].dataType
     bonus = events.filter(F.col("event_type") == "bonus_transaction")
-    e = (J.parse_fields(bonus, "event_value", J.BONUS_EVENT, "id")
-         .select(F.col("id").alias("event_id"), "order_id",
-                 F.try_to_timestamp(F.col("order_date"), F.lit(J.ORDER_DATE_FORMAT)).cast("timestamp_ntz").alias("order_date"),
-                 F.col("product_payments").alias("pp"))
-         .filter(F.col("order_date") > ntz(watermark)))
-    return (e.select("event_id", "order_id", "order_date", F.posexplode("pp").alias("line", "p"))
-            .select("event_id", "line", "order_id", "order_date", "p.*")
-            .select("event_id", "line", "order_id", "order_date", "product_id",
-                    F.col("quantity").alias("count"), "price",
-                    (F.col("quantity") * F.col("price")).cast(MONEY).alias("total_sum"),
-                    "bonus_payment", "bonus_grant"))
+    e = (J.parse_fields(bonus, "event_value", J.as_text(J.BONUS_EVENT), "id", "event_value")
+         .select(F.col("id").alias("event_id"), "order_id", "event_value", "product_payments",
+                 F.try_to_timestamp(F.col("order_date"), F.lit(J.ORDER_DATE_FORMAT)).cast("timestamp_ntz").alias("order_date"))
+         .withColumn("fault", F.when(F.json_object_keys("event_value").isNull(), F.lit("event"))
+                     .when(F.col("order_date").isNull(), F.lit("order_date"))
+                     .when(F.col("product_payments").isNull(), F.lit("product_payments")))
+         .filter(F.col("fault").isNotNull() | (F.col("order_date") > ntz(watermark))))
+    whole = F.col("fault").isNotNull()
+    items = F.when(whole, F.array(F.lit(None).cast(payments.elementType))).otherwise(F.col("product_payments"))
+    lines = e.select("event_id", "order_id", "order_date", "fault", F.when(whole, F.col("event_value")).alias("event_value"),
+                     F.posexplode(items).alias("line", "p"))
+    casts = {c: J.PAYMENT[c].dataType.simpleString() for c in ("quantity", "price", "bonus_payment", "bonus_grant")}
+    failed = F.concat_ws(",", failed_casts(casts, lambda c: F.col(f"p.{c}")))
+    reason = F.coalesce("fault", F.when(F.col("p").isNull(), F.lit("payment")), F.when(failed != "", failed))
+    value = {c: F.col(f"p.{c}").try_cast(t) for c, t in casts.items()}
+    return (lines.withColumn("reason", reason)
+            .select("event_id", F.when(F.col("fault").isNull(), F.col("line")).alias("line"), "order_id", "order_date",
+                    F.col("p.product_id").alias("product_id"), value["quantity"].alias("count"), value["price"].alias("price"),
+                    (value["quantity"] * value["price"]).cast(MONEY).alias("total_sum"),
+                    value["bonus_payment"].alias("bonus_payment"), value["bonus_grant"].alias("bonus_grant"),
+                    F.when(F.col("reason").isNull(), F.lit("good")).otherwise(F.lit("rejected")).alias("status"), "reason",
+                    F.when(F.col("reason").isNotNull(), F.coalesce("event_value", J.to_text(F.col("p")))).alias("raw")))
+
+
+def payment_lines(events: DataFrame, watermark: _dt.datetime = params.DEFAULT_WATERMARK) -> DataFrame:
+    """The good rows of :func:`route_payment_lines`: one per product payment."""
+    return good_lines(route_payment_lines(events, watermark))
+
+
+def good_lines(routed: DataFrame) -> DataFrame:
+    return routed.filter("status = 'good'").drop("status", "reason", "raw")
 
 
 def _resolve(lines: DataFrame, orders: DataFrame, products: DataFrame, how: str) -> DataFrame:

@@ -319,6 +319,28 @@ GROUP BY 1""",
 })
 
 
+SQL["route_deliveries"] = f"""WITH {DELIVERIES},
+pe AS (
+  SELECT l_orderkey // 40 AS page_no, l_orderkey, delivery_id FROM deliv
+  UNION ALL
+  SELECT l_orderkey // 40 - 1, l_orderkey, delivery_id FROM deliv WHERE l_orderkey % 40 < 10 AND l_orderkey >= 40)
+SELECT DISTINCT CASE WHEN l_orderkey % 17 = 2 OR l_orderkey % 13 = 5 THEN 'rejected' ELSE 'good' END AS status,
+       CASE WHEN l_orderkey % 17 = 2 THEN 'not an object' WHEN l_orderkey % 13 = 5 THEN 'rate' END AS reason,
+       delivery_id AS item
+FROM pe WHERE page_no % 11 <> 3
+UNION ALL
+SELECT 'rejected', 'not an object', 'page' FROM (SELECT DISTINCT page_no FROM pe WHERE page_no % 11 = 3)"""
+SQL["route_payment_lines"] = f"""WITH {PAYMENTS},
+ev AS (SELECT o_orderkey, CASE WHEN o_orderkey % 31 = 4 THEN 'event' WHEN o_orderkey % 29 = 3 THEN 'order_date' END AS fault
+       FROM orders WHERE o_orderkey % 10 <> 0)
+SELECT o_orderkey AS event_id, CAST(NULL AS INTEGER) AS line, 'rejected' AS status, fault AS reason,
+       CAST(NULL AS VARCHAR) AS product_id, CAST(NULL AS {MONEY}) AS total_sum
+FROM ev WHERE fault IS NOT NULL
+UNION ALL
+SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY product_id) - 1 AS INTEGER),
+       CASE WHEN l_orderkey % 37 = 5 THEN 'rejected' ELSE 'good' END, CASE WHEN l_orderkey % 37 = 5 THEN 'price' END,
+       product_id, CASE WHEN l_orderkey % 37 = 5 THEN NULL ELSE {m('cost_cents')} END
+FROM pl JOIN ev ON o_orderkey = l_orderkey WHERE fault IS NULL"""
 SQL["fct_product_sales_by_time"] = SQL["fct_product_sales"]
 
 

@@ -11,6 +11,7 @@ from ..functions.text import strip_brackets
 from ..functions.timeparts import calendar_parts, trunc_second
 from ..operators import conflict
 from ..sources import extract
+from ..sources import fixtures as fx
 from . import contracts, dims, facts, incremental, marts
 from .catalog import query
 from .warehouse import Warehouse
@@ -77,6 +78,21 @@ def stg_deliveries(w: Warehouse):
     return dims.stg_deliveries(w.delivery_landing()).drop("load_ts")
 
 
+@query("route_deliveries")
+def route_deliveries(w: Warehouse):
+    """Deliveries of damaged pages: each landed row once, good or rejected with its reason."""
+    out = dims.route_deliveries(dims.land_pages(fx.damaged_delivery_pages(w.t)))
+    item = F.when(F.col("raw").startswith("["), F.lit("page")).otherwise(F.coalesce("delivery_id", "raw"))
+    return out.select("status", "reason", item.alias("item"))
+
+
+@query("route_payment_lines")
+def route_payment_lines(w: Warehouse):
+    """Payment lines of damaged events: bad events, dates and amounts are rows, not gaps."""
+    return facts.route_payment_lines(fx.damaged_bonus_events(w.t)) \
+        .select("event_id", "line", "status", "reason", "product_id", "total_sum")
+
+
 # ---------------------------------------------------------------- dds
 
 @query("dim_couriers")

@@ -65,6 +65,31 @@ def quarantine_split(raw: DataFrame, casts: dict[str, str]) -> tuple[DataFrame,
     return good, bad
 
 
+def failed_casts(casts: dict[str, str], value=F.col) -> Column:
+    """Names of the text columns of ``casts`` whose text is there but does not cast to its type."""
+    return F.filter(F.array(*[F.when(value(c).isNotNull() & value(c).try_cast(t).isNull(), F.lit(c))
+                              for c, t in casts.items()]), lambda x: x.isNotNull())
+
+
+def routed(documents: DataFrame, text_column: str, schema: T.StructType, *keep: str) -> DataFrame:
+    """Every document as one row, in one pass: typed by ``schema``, with where it belongs.
+
+    Added are ``status`` (good or rejected), ``reason`` (NULL, "not an object", or the
+    columns that do not cast, comma-joined), ``failed_columns`` and, for rejected rows,
+    ``raw``, the document's text. Write it partitioned by ``status``: what reads the good
+    rows prunes the others, and good + rejected is the input.
+    """
+    casts = {f.name: f.dataType.simpleString() for f in schema.fields if not isinstance(f.dataType, T.StringType)}
+    text = J.parse_fields(documents, text_column, J.as_text(schema), *keep, text_column)
+    no_object = F.json_object_keys(text_column).isNull()
+    checked = text.select("*", failed_casts(casts).alias("failed_columns"))
+    reason = F.when(no_object, F.lit("not an object")).when(F.size("failed_columns") > 0, F.concat_ws(",", "failed_columns"))
+    return (checked.withColumn("reason", reason)
+            .select(*keep, *[F.col(c).try_cast(casts[c]).alias(c) if c in casts else F.col(c) for c in schema.names],
+                    F.when(F.col("reason").isNull(), F.lit("good")).otherwise(F.lit("rejected")).alias("status"),
+                    "reason", "failed_columns", F.when(F.col("reason").isNotNull(), F.col(text_column)).alias("raw")))
+
+
 def since(source: DataFrame, ts_column: str, watermark: _dt.datetime) -> DataFrame:
     """Rows strictly after the watermark (pushed to the scan)."""
     return source.filter(F.col(ts_column) > ntz(watermark))

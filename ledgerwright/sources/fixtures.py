@@ -146,6 +146,26 @@ def pages(entities: DataFrame, stride: int = PAGE_STRIDE, overlap: int = PAGE_OV
             .select("page_no", to_text(F.transform("items", lambda x: x["e"])).alias("content")))
 
 
+def damaged_delivery_pages(t: Tables) -> DataFrame:
+    """Delivery pages with planted damage: cut pages, elements that are no objects, ratings that are no numbers.
+
+    Orders with l_orderkey % 17 = 2 send bare ids, those with l_orderkey % 13 = 5 a rating
+    "high"; pages with page_no % 11 = 3 lack their last character.
+    """
+    e = delivery_entities(t)
+    k = F.col("page_key")
+    text = to_text(F.struct(*[F.col(c) for c in e.columns if c != "page_key"]))
+    text = (F.when(k % 17 == 2, F.concat(F.lit('"'), F.col("delivery_id"), F.lit('"')))
+            .when(k % 13 == 5, F.regexp_replace(text, '"rate":[0-9]+', '"rate":"high"')).otherwise(text))
+    own = e.select(idiv(k, PAGE_STRIDE).alias("page_no"), k, text.alias("e"))
+    prev = own.filter((k % PAGE_STRIDE < PAGE_OVERLAP) & (k >= PAGE_STRIDE)).withColumn("page_no", F.col("page_no") - 1)
+    page = (own.unionByName(prev).groupBy("page_no")
+            .agg(F.sort_array(F.collect_list(F.struct(k.alias("k"), F.col("e")))).alias("items"))
+            .select("page_no", F.concat(F.lit("["), F.concat_ws(",", F.transform("items", lambda x: x["e"])), F.lit("]")).alias("content")))
+    cut = F.expr("substring(content, 1, length(content) - 1)")
+    return page.select("page_no", F.when(F.col("page_no") % 11 == 3, cut).otherwise(F.col("content")).alias("content"))
+
+
 # ---------------------------------------------------------------- payment lines
 
 def payment_lines(t: Tables) -> DataFrame:
@@ -293,3 +313,12 @@ def bonus_events(t: Tables) -> DataFrame:
         plus_seconds(date, F.lit(300)).alias("event_ts"),
         F.when(bonus, F.lit("bonus_transaction")).otherwise(F.lit("user_rank")).alias("event_type"),
         to_text(value).alias("event_value"))
+
+
+def damaged_bonus_events(t: Tables) -> DataFrame:
+    """Bonus events with planted damage: id % 31 = 4 cut text, id % 29 = 3 no date, id % 37 = 5 prices that are no numbers."""
+    v = F.col("event_value")
+    return bonus_events(t).withColumn("event_value", F.when(F.col("id") % 31 == 4, F.expr("substring(event_value, 1, length(event_value) - 2)"))
+                                      .when(F.col("id") % 29 == 3, F.regexp_replace(v, '"order_date":"[^"]*"', '"order_date":"someday"'))
+                                      .when(F.col("id") % 37 == 5, F.regexp_replace(v, '"price":[0-9.]+', '"price":"1x"'))
+                                      .otherwise(v))
