@@ -18,6 +18,7 @@ from ..functions.timeparts import calendar_parts, ntz, time_of_day, trunc_second
 from ..operators.conflict import insert_if_absent, insert_if_absent_all, upsert_partial_all
 from ..operators.dedup import last_by
 from ..operators.skew import counted_salted_join
+from ..operators.waiting import Lookup
 from ..sources.extract import routed
 
 OPEN_END = params.OPEN_END
@@ -103,6 +104,18 @@ def dim_deliveries(deliveries: DataFrame, timestamps: DataFrame, couriers: DataF
                     F.col("sum").alias("order_sum"), "tip_sum")
 
 
+def delivery_lookups(timestamps: DataFrame, couriers: DataFrame) -> list[Lookup]:
+    """What a delivery needs: a timestamp of its second and its courier, in this order."""
+    return [Lookup("timestamp", timestamp_keys(timestamps, 1), "sec"), Lookup("courier", couriers.select("courier_id"), "courier_id")]
+
+
+def resolved_deliveries(resolved: DataFrame) -> DataFrame:
+    """:func:`dim_deliveries` of rows that :func:`delivery_lookups` were tried on."""
+    return (resolved.filter(F.col("missing").isNull())
+            .select("delivery_id", "order_id", "courier_id", "address", "delivery_ts", "rate",
+                    F.col("sum").alias("order_sum"), "tip_sum"))
+
+
 def join_second_precision(deliveries: DataFrame, timestamps: DataFrame) -> DataFrame:
     d = deliveries.select("delivery_id", trunc_second(F.col("delivery_ts")).alias("sec"))
     return counted_salted_join(d, timestamp_keys(timestamps, 1), ["sec"], ["delivery_id"]) \
@@ -248,6 +261,25 @@ def dim_orders(docs: DataFrame, timestamps: DataFrame, users: DataFrame, restaur
                     F.col("dim_ts").alias("order_ts"), F.col("final_status").alias("order_status"))
 
 
+def order_candidates(docs: DataFrame, watermark: _dt.datetime = params.DEFAULT_WATERMARK) -> DataFrame:
+    """Headers of the orders dated after the watermark, with the second that their timestamp is found by."""
+    return _order_candidates(docs, watermark)
+
+
+def order_lookups(timestamps: DataFrame, users: DataFrame, restaurants: DataFrame) -> list[Lookup]:
+    """What an order needs: a timestamp of its second, its restaurant and its user, in this order."""
+    return [Lookup("timestamp", timestamp_keys(timestamps, 0), "sec"),
+            Lookup("restaurant", restaurants.select("restaurant_id"), "restaurant_id"),
+            Lookup("user", users.select("user_id"), "user_id")]
+
+
+def resolved_orders(resolved: DataFrame) -> DataFrame:
+    """:func:`dim_orders` of rows that :func:`order_lookups` were tried on."""
+    return (resolved.filter(F.col("missing").isNull())
+            .select(F.col("order_id").alias("order_key"), "user_id", "restaurant_id",
+                    F.col("dim_ts").alias("order_ts"), F.col("final_status").alias("order_status")))
+
+
 def orders_unmatched(docs: DataFrame, timestamps: DataFrame, users: DataFrame, restaurants: DataFrame,
                      watermark: _dt.datetime | None = params.DEFAULT_WATERMARK) -> DataFrame:
     """Orders the inner joins of :func:`dim_orders` drop, with the first failing lookup."""

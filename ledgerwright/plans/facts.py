@@ -13,6 +13,7 @@ from ..functions.money import MONEY
 from ..functions.timeparts import ntz
 from ..operators.skew import DEFAULT_HOT_ROWS
 from ..operators.validity import valid_at
+from ..operators.waiting import Lookup, resolve
 from ..sources.extract import failed_casts
 
 FACT_COLUMNS = ["order_id", "product_id", "count", "price", "total_sum", "bonus_payment", "bonus_grant"]
@@ -98,6 +99,27 @@ def fact_lines_by_time(lines: DataFrame, orders: DataFrame, versions: DataFrame,
     return found.where(F.col("version_from").isNotNull() & (F.col("order_date") < ntz(params.OPEN_END)))
 
 
+def line_lookups(orders: DataFrame, versions: DataFrame) -> list[Lookup]:
+    """What a payment line needs: its order, then a version of its product that started by its date."""
+    return [Lookup("order", orders.select(F.col("order_key").alias("order_id"), "restaurant_id", "order_ts", "order_status"), "order_id"),
+            Lookup("product", versions.select("product_id", "active_from"), "product_id", ("order_date", "active_from"))]
+
+
+def resolve_lines(lines: DataFrame, orders: DataFrame, versions: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """Every payment line with its order, the start of its product version, and the first of the two that is ``missing``."""
+    order, product = line_lookups(orders, versions)
+    found = resolve(lines, [order], ["event_id", "line"], hot_rows)
+    v = product.keys.withColumn("version_from", F.col("active_from"))
+    found = valid_at(found, v, "product_id", "order_date", "active_from", ["version_from"], ["event_id", "line"], hot_rows)
+    none = F.col("missing").isNull() & (F.col("version_from").isNull() | (F.col("order_date") >= ntz(params.OPEN_END)))
+    return (found.withColumn("missing_key", F.when(none, F.col("product_id")).otherwise(F.col("missing_key")))
+            .withColumn("missing", F.when(none, F.lit(product.name)).otherwise(F.col("missing"))))
+
+
+def resolved_lines(resolved: DataFrame) -> DataFrame:
+    return resolved.filter(F.col("missing").isNull()).drop("missing", "missing_key")
+
+
 def fct_product_sales(lines: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     return fact_lines(lines, orders, products).select(*FACT_COLUMNS)
 
