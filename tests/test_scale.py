@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerwright.operators import contract as C
 from ledgerwright.operators import skew
-from ledgerwright.plans import contracts, dims
+from ledgerwright.plans import contracts, dims, marts
 from ledgerwright.plans.snapshot import Snapshot
 from ledgerwright.plans.warehouse import Warehouse
 from ledgerwright.sources import fixtures as fx
@@ -106,3 +106,51 @@ def test_a_suite_writes_only_the_columns_it_reads(spark):
     for kind in C.KINDS:
         part = {(r.table, r.rule): r.violations for r in contracts.suite(w, (kind,)).collect()}
         assert part == {k: v for k, v in whole.items() if k[1].startswith(f"{kind}:")}
+
+
+def test_fact_lines_shuffle_neither_totals_nor_what_the_order_brings(spark, no_broadcast):
+    lines = [c for c in exchanged(Warehouse(spark, SF_SMOKE).fact_lines) if "bonus_grant#" in c]
+    assert len(lines) == 2   # to their product versions, then to their orders
+    assert not any("total_sum#" in c or "order_status#" in c or "order_ts#" in c for c in lines)
+
+
+def test_timestamps_are_shuffled_once_for_a_join_by_second(spark, no_broadcast):
+    w = Warehouse(spark, SF_SMOKE)
+    snapshot = Snapshot(spark, "test")
+    moved = exchanged(dims.join_second_precision(snapshot.put(w.deliveries, "d"), snapshot.put(w.dim_timestamps, "t")))
+    assert sum("min#" in c for c in moved) == 1 and not any("dim_ts#" in c for c in moved)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_measures_of_a_fanned_side_are_those_of_its_keys(spark, how):
+    large = spark.range(500).select(F.when(F.col("id") < 300, F.lit(0)).when(F.col("id") < 310, F.lit(None))
+                                    .otherwise(F.col("id")).alias("k"), "id")
+    small = spark.createDataFrame([(0, 7), (0, 5), (400, 9), (400, 2), (None, 1), (9999, 3)], "k long, v long")
+    least = F.min("v").alias("v")
+    got = skew.counted_salted_join(large, small, ["k"], ["id"], hot_rows=50, salts=4, how=how, measures=[least])
+    want = large.join(small.groupBy("k").agg(least), "k", how)
+    assert sorted(map(str, got.select("k", "id", "v").collect())) == sorted(map(str, want.select("k", "id", "v").collect()))
+
+
+def test_the_ledger_shuffles_no_decimal_sums(spark):
+    d = spark.createDataFrame([("C1", "D1", 5, "999999999999.99", "0.01"), ("C1", "D2", 3, None, "1.00"),
+                               ("C2", "D3", 4, "-12.34", None)], "courier_id string, delivery_id string, rate int, o string, t string")
+    d = d.select("courier_id", "delivery_id", "rate", F.col("o").cast("decimal(14,2)").alias("order_sum"),
+                 F.col("t").cast("decimal(14,2)").alias("tip_sum"), F.lit("2024-10-05 10:00:00").cast("timestamp_ntz").alias("delivery_ts"))
+    couriers = spark.createDataFrame([("C1", "a"), ("C2", "b")], "courier_id string, courier_name string")
+    ledger = marts.courier_ledger(d, couriers)
+    assert not any("isEmpty#" in c for c in exchanged(ledger))
+    got = {r.courier_id: tuple(None if v is None else str(v) for v in (r.orders_total_sum, r.courier_order_sum, r.courier_tips_sum,
+                                                                       r.courier_reward_sum)) for r in ledger.collect()}
+    assert got == {"C1": ("999999999999.99", "70000000150.00", "1.01", "70000000150.96"), "C2": ("-12.34", "150.00", None, None)}
+
+
+def test_a_suite_writes_only_the_columns_of_the_deliveries_that_are_read(spark):
+    for kind, kept in (("check", {"rate", "sum", "tip_sum"}), ("fk", {"order_id", "rate", "sum", "tip_sum"}),
+                       ("not_null", {"order_id", "address", "rate", "sum", "tip_sum"})):
+        found = C.rules(contracts.contracts(), (kind,))
+        assert contracts._layer_columns(C.columns_of(found))["deliveries"] == {"delivery_id", "courier_id", "delivery_ts"} | kept
+    w = Warehouse(spark, SF_SMOKE)
+    narrow = dims.dim_deliveries(w.deliveries.drop("address", "rate"), w.dim_timestamps, w.dim_couriers)
+    assert narrow.columns == ["delivery_id", "order_id", "courier_id", "delivery_ts", "order_sum", "tip_sum"]
+    assert narrow.exceptAll(w.dim_deliveries.select(*narrow.columns)).count() == 0 and narrow.count() == w.dim_deliveries.count()
