@@ -426,12 +426,14 @@ def keep_one_of_each_group(docs: DataFrame, shingle: int = 5, percent: int = 80)
     """The rows of ``docs`` that stay: one document of each near-duplicate group.
 
     Rows that repeat a doc_id count as copies; of them the first in the order of
-    all columns stays. All columns and their order are kept.
+    all columns stays. All columns and their order are kept. While the ids of rows
+    that go, or repeat, are within the broadcast bound no text but of repeated ids is shuffled.
     """
     tables = Tables(docs.sparkSession, "near-dedup-kept")
-    gone = tables.put(near_duplicates(docs, shingle, percent).where("not kept").select("doc_id").distinct(), "gone")
-    again = tables.put(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
-                       .where("n > 1").select("doc_id"), "again")
+    gone = bounded(tables.put(
+        near_duplicates(docs, shingle, percent).where("not kept").select("doc_id").distinct(), "gone"))
+    again = bounded(tables.put(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
+                               .where("n > 1").select("doc_id"), "again"))
     stay = docs.join(gone, "doc_id", "left_anti")
     repeated = stay.join(again, "doc_id", "left_semi")
     first = repeated.groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")

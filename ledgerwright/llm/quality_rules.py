@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Tables
+from .common import Tables, bounded
 
 SPACES = r"[\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -249,10 +249,13 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
 
 
 def keep_accepted(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all columns, whatever their names."""
+    """The rows of ``docs`` that the rules keep, with all columns, whatever their names.
+
+    While the keys of rejected rows are within the broadcast bound no text is shuffled.
+    """
     judged, tables = judge(docs)
-    gone = tables.put(judged.where(~F.col("kept")).select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "key").distinct(), "gone")
+    gone = bounded(tables.put(judged.where(~F.col("kept")).select(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "key").distinct(), "gone"))
     tables.drop("rows", "estimate")
     same = (F.coalesce(docs["doc_id"].cast("string"), F.lit("")) == gone["id"]) & (F.xxhash64(docs["text"]) == gone["key"])
     return docs.join(gone, same, "left_anti")

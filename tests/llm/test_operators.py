@@ -12,7 +12,7 @@ import pytest
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from ledgerwright.llm import (bpe, decontaminate, language_id, licenses, near_dedup, quality_classifier, quality_rules,
+from ledgerwright.llm import (bpe, common, decontaminate, language_id, licenses, near_dedup, quality_classifier, quality_rules,
                               secrets, suffix_dedup, textops, warc)
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept string"
@@ -426,3 +426,29 @@ def test_stages_keep_columns_with_clashing_names(spark):
     masked = secrets.mask_secrets(docs, RANKS)
     assert masked.columns == docs.columns
     assert {tuple(r[5:]) for r in masked.collect()} == {("mine", "mine", "mine", "mine", 7, "mine", "mine")}
+
+
+@pytest.mark.parametrize("bound", [common.BROADCAST_BYTES, 0])
+def test_stages_that_drop_rows_shuffle_no_whole_table(spark, monkeypatch, bound):
+    rng = random.Random(6)
+    rows = [(i, _prose(rng, 100), "en", "s", 0, None) for i in range(150)]
+    rows += [(1000 + i, " ".join(w + "###" for w in _prose(rng, 100).split()), "en", "s", 0, None) for i in range(10)]
+    rows += [(200 + i, rows[i][1], "en", "s", 0, None) for i in range(5)] + [rows[9]]  # copies, and a row that comes twice
+    path = common.Tables(spark, "test-docs").path("documents")
+    spark.createDataFrame(rows, DOCS).write.parquet(path)
+    docs = spark.read.parquet(path)
+    monkeypatch.setattr(common, "BROADCAST_BYTES", bound)
+    limits = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in limits}
+    try:
+        for k in limits:
+            spark.conf.set(k, "-1")  # as if the keys were more than the planner broadcasts by itself
+        for stage, want in ((quality_rules.keep_accepted, [*range(150), *range(200, 205), 9]),
+                            (near_dedup.keep_one_of_each_group, [*range(150), *range(1000, 1010)])):
+            out = stage(docs)
+            assert sorted(r.doc_id for r in out.collect()) == sorted(want)
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert ("SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan) == (bound > 0)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
