@@ -229,19 +229,31 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             .mapInArrow(full, "doc_id long, items binary"))
 
 
-def rarity(sets: DataFrame) -> np.ndarray:
-    """Documents that hold a shingle, counted by the lowest bits of its hash: a fixed number of counters."""
-    def count(batches):
-        total = np.zeros(BUCKETS, dtype=np.int64)
-        for batch in batches:
-            for items in batch.column("items"):
-                np.add.at(total, np.frombuffer(items.as_py(), dtype=np.uint64) % np.uint64(BUCKETS), 1)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["bucket", "n"])
-    counted = sets.select("items").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    found = counted.toArrow()
+def rarity(sets: DataFrame, percent: int) -> np.ndarray:
+    """Documents that hold a shingle, counted by the lowest bits of its hash: a fixed number of counters.
+
+    The lower half of the counters is filled first. A counter of one is a shingle of one document alone,
+    and a document with too many of these has no link whatever its other shingles are (``heads`` gives no row
+    of it either), so the upper half counts the others only; that saves rows where ``percent`` is over 50.
+    """
+    half = BUCKETS // 2
     out = np.zeros(BUCKETS, dtype=np.int64)
-    out[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
+    for low in (0, half):
+        lower = sets.sparkSession.sparkContext.broadcast(out[:low].copy())
+
+        def count(batches, low=low, lower=lower):
+            total = np.zeros(BUCKETS, dtype=np.int64)
+            for batch in batches:
+                for items in batch.column("items"):
+                    bucket = np.frombuffer(items.as_py(), dtype=np.uint64) % np.uint64(BUCKETS)
+                    alone = np.count_nonzero(lower.value[bucket[bucket < low]] == 1)
+                    if 100 * (len(bucket) - alone) >= percent * len(bucket):
+                        np.add.at(total, bucket[(bucket >= low) & (bucket < low + half)], 1)
+            some = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["bucket", "n"])
+        counted = sets.select("items").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+        found = counted.toArrow()
+        out[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
     return out
 
 
@@ -314,7 +326,7 @@ def dense_pairs(tables: Tables, sets: DataFrame, dense: DataFrame, joined: DataF
     members = (sets.join(bounded(dense.withColumnRenamed("doc", "doc_id")), "doc_id", "left_semi")
                .join(bounded(joined.withColumnRenamed("node", "doc_id")), "doc_id", "left")
                .select("doc_id", F.coalesce("component", "doc_id").alias("component"), "items"))
-    rows = heads(members, rarity(members), percent)
+    rows = heads(members, rarity(members, percent), percent)
     # a shingle whose documents are one component already can't add a link: of a joined family nothing is dealt
     mixed = rows.groupBy("token").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
     mixed = tables.put(mixed.where("low <> high").select("token", F.ceil(F.col("n") / BLOCK).alias("blocks")), "mixed")

@@ -125,6 +125,30 @@ def test_dense_families_equal_brute_force(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == dict(enumerate(want.tolist()))
 
 
+@pytest.mark.parametrize("percent", [85, 60])
+def test_counted_shingles_leave_out_only_documents_without_links(spark, percent):
+    """All linked documents still meet at a shingle, as they do with all shingles counted, and fewer counters are filled."""
+    rng = np.random.default_rng(3)
+    base, other = (rng.integers(0, 2**63, 200, dtype=np.uint64) * np.uint64(2) for _ in range(2))
+    sets = [np.unique(np.concatenate([base[:k], rng.integers(0, 2**63, 200 - k, dtype=np.uint64)])) for k in range(0, 201, 5)]
+    sets += [np.unique(np.concatenate([other[k:], base[:1]])) for k in range(0, 60, 3)]
+    sets += [base[:1], np.sort(base[:2]), np.sort(rng.integers(0, 2**63, 1, dtype=np.uint64))]
+    rows = [(k, k, bytearray(v.tobytes())) for k, v in enumerate(sets)]
+    table = spark.createDataFrame(rows, "doc_id long, component long, items binary").repartition(4)
+    every = np.bincount(np.concatenate(sets) % np.uint64(near_dedup.BUCKETS), minlength=near_dedup.BUCKETS)
+    counts = near_dedup.rarity(table, percent)
+    assert np.count_nonzero(counts) < np.count_nonzero(every) and (counts <= every).all()
+
+    def meet(known):
+        held = {}
+        for r in near_dedup.heads(table, known, percent).collect():
+            held.setdefault(r.token, set()).add(r.doc)
+        return {(a, b) for docs in held.values() for a in docs for b in docs if a < b}
+    common = {(a, b): len(np.intersect1d(sets[a], sets[b])) for b in range(len(sets)) for a in range(b)}
+    linked = {(a, b) for (a, b), n in common.items() if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n)}
+    assert len(linked) > 20 and linked <= meet(counts) and linked <= meet(every)
+
+
 @pytest.mark.parametrize("bucket", [2000, 1])
 def test_suffix_dedup_equals_brute_force(docs, empty, monkeypatch, bucket):
     monkeypatch.setattr(suffix_dedup, "BUCKET", bucket)
